@@ -36,7 +36,19 @@ def load_batch(
     batch_id: int,
     dedup_keys: list[str] | None = None,
 ) -> BatchResult:
-    enriched = X.enrich(transactions, products, customers).persist()
+    """E1-E3 then ``load_enriched``: one batch of raw transactions."""
+    return load_enriched(wh, X.enrich(transactions, products, customers), batch_id, dedup_keys)
+
+
+def load_enriched(
+    wh: Warehouse, enriched: DataFrame, batch_id: int, dedup_keys: list[str] | None = None
+) -> BatchResult:
+    """Write one batch of master-joined rows: quarantine, dimensions, fact.
+
+    Each table overwrites only partition ``batch_id``, so running the same
+    batch again (a replayed micro-batch, a retried job) gives the same tables.
+    """
+    enriched = enriched.persist()
     try:
         wh.write("quarantine", X.quarantined_rows(enriched).withColumn("batch_id", F.lit(batch_id)))
         matched = X.matched_rows(enriched)

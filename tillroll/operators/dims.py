@@ -8,6 +8,8 @@ partition.  Replaying the batch reproduces the same partition.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -87,5 +89,16 @@ def upsert_dimension(wh: Warehouse, table: str, candidates: DataFrame, batch_id:
     return wh.read(table, upto_batch=batch_id)
 
 
-def upsert_all(wh: Warehouse, matched: DataFrame, batch_id: int) -> dict[str, DataFrame]:
-    return {t: upsert_dimension(wh, t, CANDIDATES[t](matched), batch_id) for t in UPSERT_ORDER}
+def upsert_all(wh: Warehouse, matched: DataFrame, batch_id: int, parallel: bool = True) -> dict[str, DataFrame]:
+    """All five dimensions of a batch.
+
+    They are independent (store and supplier come from the batch's products,
+    not from product_dim), so they run as concurrent Spark jobs: a small
+    dimension alone would leave most of a cluster idle.
+    """
+    run = lambda t: upsert_dimension(wh, t, CANDIDATES[t](matched), batch_id)
+    if not parallel:
+        return {t: run(t) for t in UPSERT_ORDER}
+    with ThreadPoolExecutor(max_workers=len(UPSERT_ORDER)) as pool:
+        futures = {t: pool.submit(run, t) for t in UPSERT_ORDER}
+        return {t: f.result() for t, f in futures.items()}
