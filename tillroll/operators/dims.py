@@ -73,17 +73,20 @@ def new_members(candidates: DataFrame, existing: DataFrame, natural: str) -> Dat
     return candidates.join(existing.select(natural), natural, "left_anti")
 
 
-def assign_new_keys(new: DataFrame, existing: DataFrame, natural: str, sk: str) -> DataFrame:
+def assign_new_keys(new: DataFrame, existing: DataFrame | None, natural: str, sk: str) -> DataFrame:
     """New ids get max(stored key) + rank of the id among the new ones."""
-    start = existing.agg(F.max(sk)).first()[0] or 0  # one scalar to the driver
+    start = 0 if existing is None else existing.agg(F.max(sk)).first()[0] or 0  # one scalar
     return dense_keys(new, [natural], sk, start=int(start))
 
 
 def upsert_dimension(wh: Warehouse, table: str, candidates: DataFrame, batch_id: int) -> DataFrame:
     """Insert-if-absent for one batch; returns the dimension up to it."""
     _, natural, sk = DIMENSIONS[table]
-    existing = wh.read(table, before_batch=batch_id)
-    new = new_members(candidates, existing, natural)
+    if wh.exists(table):
+        existing = wh.read(table, before_batch=batch_id)
+        new = new_members(candidates, existing, natural)
+    else:  # first batch: nothing stored, nothing to anti-join or number after
+        existing, new = None, candidates
     keyed = assign_new_keys(new, existing, natural, sk).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     wh.write(table, keyed)
     return wh.read(table, upto_batch=batch_id)

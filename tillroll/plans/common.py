@@ -21,10 +21,13 @@ from tillroll.functions.exprs import as_double, day_type, season
 from tillroll.warehouse import Star
 
 
-def fact(star: Star, *cols: str, year: int | None = None) -> DataFrame:
+def fact(star: Star, *cols: str, year: int | None = None, years: list[int] | None = None) -> DataFrame:
+    """The fact's columns, optionally pruned to some ``sale_year`` partitions."""
     f = star.sales_fact
     if year is not None:
         f = f.where(F.col("sale_year") == F.lit(year))
+    if years is not None:
+        f = f.where(F.col("sale_year").isin(years) if years else F.lit(False))
     return f.select(*cols)
 
 

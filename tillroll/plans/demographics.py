@@ -80,16 +80,21 @@ def q4_gender_age_quarter(star: Star, year: int = 2019) -> DataFrame:
 
 def q6_city_marital_recent(star: Star, months: int = 6) -> DataFrame:
     """By city, marital status and month over the latest ``months`` months of date_dim."""
-    # Global top-k over the distinct months only: at most ``months`` rows.
-    recent = (
-        star.date_dim.select("year", "month").distinct()
-        .orderBy(F.col("year").desc(), F.col("month").desc()).limit(months)
-    )
-    d = star.date_dim.select("date_sk", "year", "month").join(F.broadcast(recent), ["year", "month"])
-    # Joining on sale_year too lets dynamic partition pruning skip other years.
-    f = fact(star, "customer_sk", "date_sk", "sale_year", "order_id", "total_price", "quantity")
-    j = f.join(d, (f.date_sk == d.date_sk) & (f.sale_year == d.year)).drop(d.date_sk)
-    per_order = j.groupBy("customer_sk", "year", "month", "order_id").agg(
+    # Global top-k over the distinct months: ``months`` rows at most, so the
+    # list may come to the driver and turn into static filters -- the fact
+    # scan then reads only the partitions of those months' years.
+    recent = [
+        (r.year, r.month)
+        for r in star.date_dim.select("year", "month").distinct()
+        .orderBy(F.col("year").desc(), F.col("month").desc()).limit(months).collect()
+    ]
+    if not recent:
+        recent = [(None, None)]
+    years = sorted({y for y, _ in recent if y is not None})
+    in_recent = F.struct("year", "month").isin([F.struct(F.lit(y), F.lit(m)) for y, m in recent])
+    d = star.date_dim.where(F.col("year").isin(years) & in_recent).select("date_sk", "year", "month")
+    f = fact(star, "customer_sk", "date_sk", "order_id", "total_price", "quantity", years=years)
+    per_order = f.join(d, "date_sk").groupBy("customer_sk", "year", "month", "order_id").agg(
         F.sum("total_price").alias("_rev"), F.sum("quantity").cast("bigint").alias("_qty")
     )
     return (

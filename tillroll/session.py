@@ -18,8 +18,12 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "tillroll") -> SparkSession:
     """Session for tests and the bench: local mode, AQE on, UTC, no UI."""
+    builder = SparkSession.builder
+    event_dir = os.environ.get("TILLROLL_EVENT_LOG_DIR")
+    if event_dir:  # stage/task timings without the UI
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
@@ -27,6 +31,7 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "tillr
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
