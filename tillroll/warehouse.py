@@ -27,10 +27,17 @@ class Star:
     date_dim: DataFrame
     sales_fact: DataFrame
 
-    def register(self, suffix: str = "") -> None:
-        """Expose the tables as temp views for SQL users."""
+    def register(self, suffix: str = "") -> list[str]:
+        """Expose the tables as temp views, e.g. ``suffix="_v2"`` for the
+        table names the reference's SQL uses.  Partition columns are left out
+        so ``SELECT *`` shows the reference's columns."""
+        names = []
         for name in ("customer_dim", "product_dim", "store_dim", "supplier_dim", "date_dim", "sales_fact"):
-            getattr(self, name).createOrReplaceTempView(name + suffix)
+            df = getattr(self, name)
+            keep = [c for c in df.columns if c not in ("batch_id", "sale_year")]
+            df.select(*keep).createOrReplaceTempView(name + suffix)
+            names.append(name + suffix)
+        return names
 
 
 class Warehouse:
@@ -70,6 +77,18 @@ class Warehouse:
             .parquet(self.path(table))
         )
 
+    def create(self) -> None:
+        """Create every table empty, with its declared schema, if absent."""
+        for table, schema in TABLE_SCHEMAS.items():
+            if not self.exists(table):
+                self.write(table, self.spark.createDataFrame([], schema))
+
+    def drop_all(self) -> None:
+        """DROP TABLE IF EXISTS for every table, fact first."""
+        for table in ("sales_fact", "quarantine", "supplier_dim", "store_dim", "date_dim", "product_dim",
+                      "customer_dim", "_batches"):
+            self.drop(table)
+
     def drop(self, table: str) -> None:
         """DROP TABLE IF EXISTS."""
         jvm = self.spark._jvm
