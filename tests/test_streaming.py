@@ -64,3 +64,22 @@ def test_stream_equals_batch_and_replay(spark, tmp_path):
     assert [r.batch_id for r in replay] == [last]
     after = natural_facts(wh.star()), sorted(map(tuple, wh.read("product_dim").collect()))
     assert after == before
+
+
+def test_csv_backfill_in_bounded_batches(spark, tmp_path):
+    from tillroll.streaming.pipeline import backfill
+
+    src = str(tmp_path / "csv")
+    tx = testdata.transactions(spark, SF_SMALL)
+    raw = tx.select(
+        F.col("order_id").alias("orderID"), F.col("customer_id").alias("Customer_ID"),
+        F.col("product_id").alias("Product_ID"), F.col("quantity").cast("string").alias("quantity"),
+        F.date_format("date", "yyyy-MM-dd").alias("date"),
+    )
+    raw.repartition(6).write.option("header", True).csv(src)
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    pm, cm = testdata.product_master(spark, SF_SMALL), testdata.customer_master(spark, SF_SMALL)
+    results = backfill(wh, src, pm, cm, str(tmp_path / "ckpt"), fmt="csv", max_bytes_per_trigger=40_000)
+    assert len(results) >= 2
+    assert sum(r.input_rows for r in results) == tx.count() == wh.read("sales_fact").count()
+    assert sum(r.quarantined_rows for r in results) == 0

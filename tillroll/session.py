@@ -76,11 +76,25 @@ def fs_write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
-def input_fingerprint(paths: list[str]) -> str:
-    """Cheap identity of a set of input files: names, sizes and mtimes."""
+def code_version() -> str:
+    """Hash of this package's source, so a stored build from other code is not reused."""
     import hashlib
 
+    root = os.path.dirname(os.path.abspath(__file__))
     h = hashlib.sha1()
+    for dirpath, _, files in sorted(os.walk(root)):
+        for f in sorted(files):
+            if f.endswith(".py"):
+                with open(os.path.join(dirpath, f), "rb") as fh:
+                    h.update(f.encode() + fh.read())
+    return h.hexdigest()[:8]
+
+
+def input_fingerprint(paths: list[str]) -> str:
+    """Identity of a set of input files (names, sizes, mtimes) and of the code."""
+    import hashlib
+
+    h = hashlib.sha1(code_version().encode())
     for p in sorted(paths):
         try:
             st = os.stat(p)

@@ -42,7 +42,7 @@ def stream_transactions(
     path: str,
     fmt: str = "csv",
     max_files_per_trigger: int | None = None,
-    max_bytes_per_trigger: str | None = None,
+    max_bytes_per_trigger: int | None = None,
     schema=None,
     glob: str | None = None,
 ) -> DataFrame:
@@ -56,7 +56,7 @@ def stream_transactions(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     if max_bytes_per_trigger:
-        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+        reader = reader.option("maxBytesPerTrigger", int(max_bytes_per_trigger))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if fmt == "csv":

@@ -82,3 +82,30 @@ def run_to_end(*args, **kwargs) -> list[BatchResult]:
     if q.exception() is not None:
         raise q.exception()
     return list(q.batch_results)  # type: ignore[attr-defined]
+
+
+def backfill(
+    wh: Warehouse,
+    path: str,
+    products: DataFrame,
+    customers: DataFrame,
+    checkpoint: str,
+    fmt: str = "csv",
+    max_bytes_per_trigger: int = 64 << 30,
+    schema=None,
+) -> list[BatchResult]:
+    """Load a large folder of transaction files in size-bounded batches.
+
+    An ``availableNow`` stream with ``maxBytesPerTrigger`` cuts the input into
+    micro-batches of bounded size, so each batch (and the copy of it kept for
+    its several writes) stays bounded however large the folder is; a crash
+    resumes at the first uncommitted batch.
+    """
+    from tillroll.schemas import TRANSACTIONS
+    from tillroll.sources.transactions import stream_transactions
+
+    stream = stream_transactions(
+        wh.spark, path, fmt=fmt, max_bytes_per_trigger=max_bytes_per_trigger,
+        schema=schema if schema is not None else (None if fmt == "csv" else TRANSACTIONS),
+    )
+    return run_to_end(wh, stream, products, customers, checkpoint)
