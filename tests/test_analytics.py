@@ -134,3 +134,15 @@ def test_view_and_counts(load, spark):
     v = {(r.store_id, r.quarter): r.unique_customers for r in views.q20_store_quarterly_view(star).collect()}
     assert v == {("S1", 1): 1, ("S1", 2): 1, ("S2", 2): 1}
     assert spark.table("STORE_QUARTERLY_SALES").count() == 3
+
+
+def test_basket_hot_order_prunes_to_dominant_products(load):
+    # One big order with two dominant products (5 lines each) and many
+    # one-line products; small orders elsewhere.
+    items = [f"x{i:02d}" for i in range(20)]
+    rows = [tx("big", "c1", "A", 1, "2020-01-01")] * 5 + [tx("big", "c1", "B", 1, "2020-01-01")] * 5
+    rows += [tx("big", "c1", i, 1, "2020-01-01") for i in items]
+    rows += [tx("o2", "c1", "A", 1, "2020-01-02"), tx("o2", "c1", "x00", 1, "2020-01-02")]
+    star = load([product(p) for p in ["A", "B", *items]], [customer("c1")], rows)
+    got = [tuple(r) for r in basket.q16_basket_pairs(star, n=3, seed=4).collect()]
+    assert got == [("A", "B", 25), ("A", "x00", 6), ("A", "x01", 5)]

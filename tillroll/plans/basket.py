@@ -10,17 +10,21 @@ the plan prunes first, exactly:
 
 1. Collapse the fact to basket lines ``(order, product, m)`` (partial
    aggregation; a huge order is spread over the product hash).
-2. Take the ``seed`` most frequent products (a bounded top-k), count the
+2. Bound every product: with ``M(o)`` the largest multiplicity inside order
+   o, ``C(a, b) = sum_o m_a(o) m_b(o) <= sum_o m_a(o) M(o) = u(a)``.
+3. Take the ``seed`` products of largest ``u`` (a bounded top-k), count the
    pairs among them only -- at most ``seed^2/2`` pairs per order whatever its
-   size -- and let ``L`` be the n-th largest of those counts.  ``L`` is a
-   lower bound of the final n-th count.
-3. ``C(a, b) <= f(a) * mu`` with ``f(a)`` a's line count and ``mu`` the
-   largest multiplicity anywhere; products with ``f * mu < L`` cannot be in
-   any top pair, strictly, so they are dropped before the pair join.
-4. Count pairs among the survivors and take the top n (ties broken by the
-   product ids).
+   size -- and let ``L`` be the n-th largest of those counts, a lower bound
+   of the final n-th count.
+4. Products with ``u < L`` cannot be in any top pair (their pairs count
+   strictly less than L), so they are dropped before the pair join; count
+   pairs among the survivors and take the top n (ties broken by product id).
 
-The answer is exact; the pruning only removes pairs that provably lose.
+The answer is exact; the pruning only removes pairs that provably lose.  A
+huge order with a few dominant products (one order holding a third of all
+lines) keeps only those products.  What it cannot prune is a flat case --
+every count tiny and equal -- where a huge order still pairs all of its
+surviving products.
 """
 
 from __future__ import annotations
@@ -50,15 +54,15 @@ def pair_counts(lines: DataFrame) -> DataFrame:
 
 def q16_basket_pairs(star: Star, n: int = 5, seed: int = 64) -> DataFrame:
     lines = basket_lines(star).persist()
-    support = lines.groupBy("product_sk").agg(F.sum("m").alias("f"))
-    mu = lines.agg(F.max("m")).first()[0] or 0  # one scalar
-    top = support.orderBy(F.col("f").desc(), "product_sk").limit(seed)  # bounded: seed rows
+    order_max = lines.groupBy("order_id").agg(F.max("m").alias("_M"))
+    support = lines.join(order_max, "order_id").groupBy("product_sk").agg(F.sum(F.col("m") * F.col("_M")).alias("u"))
+    top = support.orderBy(F.col("u").desc(), "product_sk").limit(seed)  # bounded: seed rows
     seed_counts = pair_counts(lines.join(F.broadcast(top.select("product_sk")), "product_sk"))
     best = [r["times_bought_together"] for r in seed_counts.orderBy(F.col("times_bought_together").desc()).limit(n).collect()]
     bound = best[-1] if len(best) == n else 0
     survivors = lines
     if bound > 0:
-        keep = support.where(F.col("f") * F.lit(mu) >= F.lit(bound)).select("product_sk")
+        keep = support.where(F.col("u") >= F.lit(bound)).select("product_sk")
         survivors = lines.join(keep, "product_sk", "left_semi")
     ids = star.product_dim.select("product_sk", "product_id")
     counts = (
