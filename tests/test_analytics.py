@@ -57,7 +57,7 @@ def test_basket_pairs_count_row_pairs(load):
          tx("o1", "c1", "B", 1, "2020-01-01"), tx("o2", "c1", "B", 1, "2020-01-01"),
          tx("o2", "c1", "C", 1, "2020-01-01")],
     )
-    got = [tuple(r) for r in basket.q16_basket_pairs(star, n=5, seed=1).collect()]
+    got = [tuple(r) for r in basket.q16_basket_pairs(star, n=5, seed=1, max_basket=1).collect()]
     assert got == [("A", "B", 2), ("B", "C", 1)]
 
 
@@ -65,7 +65,7 @@ def test_basket_pruning_is_exact_on_test_data(spark):
     from tillroll.etl import testdata_star
 
     star = testdata_star(spark, "/root/testdata/sf0.001")
-    pruned = [tuple(r) for r in basket.q16_basket_pairs(star, n=5, seed=8).collect()]
+    pruned = [tuple(r) for r in basket.q16_basket_pairs(star, n=5, seed=8, max_basket=2).collect()]
     full = (basket.pair_counts(basket.basket_lines(star))
             .join(star.product_dim.selectExpr("product_sk as sk_a", "product_id as a"), "sk_a")
             .join(star.product_dim.selectExpr("product_sk as sk_b", "product_id as b"), "sk_b")
@@ -144,5 +144,5 @@ def test_basket_hot_order_prunes_to_dominant_products(load):
     rows += [tx("big", "c1", i, 1, "2020-01-01") for i in items]
     rows += [tx("o2", "c1", "A", 1, "2020-01-02"), tx("o2", "c1", "x00", 1, "2020-01-02")]
     star = load([product(p) for p in ["A", "B", *items]], [customer("c1")], rows)
-    got = [tuple(r) for r in basket.q16_basket_pairs(star, n=3, seed=4).collect()]
+    got = [tuple(r) for r in basket.q16_basket_pairs(star, n=3, seed=4, max_basket=2).collect()]
     assert got == [("A", "B", 25), ("A", "x00", 6), ("A", "x01", 5)]
