@@ -102,8 +102,10 @@ def fact_key_lookup(spark, sf_dir):
 
 
 def surrogate_keys(spark, sf_dir):
+    """E10 on every distinct order id, through the distributed (range +
+    checkpoint + offsets) path that large key sets take."""
     orders = _tx(spark, sf_dir).select("order_id").distinct()
-    return K.dense_keys(orders, ["order_id"], "order_sk")
+    return K.dense_keys(orders, ["order_id"], "order_sk", single_task_rows=0)
 
 
 def dedup_orders(spark, sf_dir):
