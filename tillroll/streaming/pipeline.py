@@ -44,14 +44,19 @@ def start_ingest(
     stream: DataFrame,
     products: DataFrame,
     customers: DataFrame,
-    checkpoint: str,
+    checkpoint: str | None = None,
     available_now: bool = True,
     processing_time: str | None = None,
     dedup_keys: list[str] | None = None,
     dedup_delay: str = "7 days",
     on_batch=None,
 ) -> StreamingQuery:
-    """Start the ingest query; ``availableNow`` drains the input and stops."""
+    """Start the ingest query; ``availableNow`` drains the input and stops.
+
+    The checkpoint defaults to a folder next to the warehouse, i.e. in the
+    shared folder, never on one machine's disk.
+    """
+    checkpoint = checkpoint or f"{wh.root}/_stream_checkpoint"
     results: list[BatchResult] = []
 
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -89,7 +94,7 @@ def backfill(
     path: str,
     products: DataFrame,
     customers: DataFrame,
-    checkpoint: str,
+    checkpoint: str | None = None,
     fmt: str = "csv",
     max_bytes_per_trigger: int = 64 << 30,
     schema=None,
