@@ -126,6 +126,19 @@ def dim_first_write_wins(spark, sf_dir):
     return wh.read("product_dim").select("product_id", "product_sk", "batch_id")
 
 
+def stream_ingest_fact(spark, sf_dir):
+    """S3-S5, E1, E2, E12, E13 end to end: the fact loaded by the streaming
+    pipeline, in natural keys (surrogates depend on batch cuts)."""
+    star = etl.testdata_stream_warehouse(spark, sf_dir).star()
+    out = (
+        star.sales_fact.join(star.customer_dim.select("customer_sk", "customer_id"), "customer_sk")
+        .join(star.product_dim.select("product_sk", "product_id", "store_id", "supplier_id"), "product_sk")
+        .join(star.date_dim.select("date_sk", "date"), "date_sk")
+        .select("order_id", "customer_id", "product_id", "store_id", "supplier_id", "date", "quantity", "total_price")
+    )
+    return _dbl(out, "total_price")
+
+
 def constraint_check(spark, sf_dir):
     return constraint_report(_star(spark, sf_dir))
 
@@ -149,6 +162,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dim_last_in_batch": dim_last_in_batch,
         "dim_first_write_wins": dim_first_write_wins,
         "constraint_check": constraint_check,
+        "stream_ingest_fact": stream_ingest_fact,
         # Analytics
         "fact_row_count": _analytic(views.fact_row_count),
         "available_years": _analytic(views.available_years),

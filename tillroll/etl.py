@@ -132,3 +132,23 @@ def testdata_two_batch_warehouse(spark: SparkSession, sf_dir: str, cutover: str)
         fs_write_text(spark, f"{wh.root}/_BUILD_OK", "ok\n")
     _BUILT[memo] = wh
     return wh
+
+
+def testdata_stream_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The test feed loaded through the Structured Streaming path
+    (readStream -> stream-static joins -> foreachBatch), availableNow."""
+    from tillroll.streaming.pipeline import run_to_end
+
+    fp = input_fingerprint(testdata.table_paths(sf_dir)) + "-stream"
+    memo = (spark.sparkContext.applicationId, fp)
+    if memo in _BUILT:
+        return _BUILT[memo]
+    wh = Warehouse.in_shared_dir(spark, fp)
+    if not fs_exists(spark, f"{wh.root}/_BUILD_OK"):
+        for t in ("quarantine", *D.UPSERT_ORDER, "sales_fact", "_batches", "_stream_checkpoint"):
+            wh.drop(t)
+        stream = testdata.stream_transactions_from_tables(spark, sf_dir)
+        run_to_end(wh, stream, testdata.product_master(spark, sf_dir), testdata.customer_master(spark, sf_dir))
+        fs_write_text(spark, f"{wh.root}/_BUILD_OK", "ok\n")
+    _BUILT[memo] = wh
+    return wh

@@ -92,3 +92,26 @@ def transactions(spark: SparkSession, sf_dir: str, with_position: bool = False)
         ).alias("_pos"),
     )
     return out if with_position else out.select(*TRANSACTION_COLS)
+
+
+def stream_transactions_from_tables(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
+    """The transaction feed as a stream: ``lineitem.parquet`` streamed out of
+    the shared test folder (``pathGlobFilter``), joined to ``orders`` as the
+    static side of a stream-static join."""
+    path = sf_dir.rstrip("/")
+    schema = table(spark, sf_dir, "lineitem").schema
+    li = (
+        spark.readStream.schema(schema)
+        .option("pathGlobFilter", "lineitem.parquet")
+        .option("maxFilesPerTrigger", max_files_per_trigger)
+        .parquet(path)
+        .select("l_orderkey", "l_partkey", "l_quantity")
+    )
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    return li.join(o, li.l_orderkey == o.o_orderkey).select(
+        F.col("l_orderkey").cast("string").alias("order_id"),
+        F.col("o_custkey").cast("string").alias("customer_id"),
+        F.col("l_partkey").cast("string").alias("product_id"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+        F.col("o_orderdate").cast("date").alias("date"),
+    )
