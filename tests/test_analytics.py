@@ -146,3 +146,23 @@ def test_basket_hot_order_prunes_to_dominant_products(load):
     star = load([product(p) for p in ["A", "B", *items]], [customer("c1")], rows)
     got = [tuple(r) for r in basket.q16_basket_pairs(star, n=3, seed=4, max_basket=2).collect()]
     assert got == [("A", "B", 25), ("A", "x00", 6), ("A", "x01", 5)]
+
+
+def test_basket_flat_giant_order_matches_brute_force(load, spark):
+    """A giant order whose products all have tiny, equal counts: exact answer,
+    decided by the id tie-break, without pairing the whole order."""
+    from pyspark.sql import functions as F
+
+    items = [f"g{i:02d}" for i in range(30)]
+    rows = [tx("giant", "c1", i, 1, "2020-01-01") for i in items]
+    rows += [tx("s1", "c1", "g17", 1, "2020-01-02"), tx("s1", "c1", "g25", 1, "2020-01-02"),
+             tx("s2", "c1", "g03", 1, "2020-01-02"), tx("s2", "c1", "z9", 1, "2020-01-02")]
+    star = load([product(p) for p in [*items, "z9"]], [customer("c1")], rows)
+    got = [tuple(r) for r in basket.q16_basket_pairs(star, n=5, seed=2, max_basket=3).collect()]
+    brute = (basket.pair_counts(basket.basket_lines(star))
+             .join(star.product_dim.selectExpr("product_sk as sk_a", "product_id as a"), "sk_a")
+             .join(star.product_dim.selectExpr("product_sk as sk_b", "product_id as b"), "sk_b")
+             .select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"), "times_bought_together")
+             .orderBy(F.col("times_bought_together").desc(), "x", "y").limit(5))
+    assert got == [tuple(r) for r in brute.collect()]
+    assert got[0] == ("g17", "g25", 2)

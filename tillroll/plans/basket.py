@@ -3,10 +3,12 @@
 The reference counts *row* pairs: two lines of products a and b in one order
 (a's key below b's) count once each, so a product on two lines of an order
 counts twice.  With ``m_a(o)`` lines of a in order o the count is
-``C(a, b) = sum_o m_a(o) * m_b(o)``.
+``C(a, b) = sum_o m_a(o) * m_b(o)``.  Pairs rank by the key
+``(C desc, product_a, product_b)`` (ids as text; the reference leaves ties open).
 
-Enumerating every pair inside every order is quadratic in the order size, so
-the plan prunes first, exactly:
+Enumerating every pair inside every order is quadratic in the order size.
+Orders of at most ``max_basket`` distinct products are small enough to pair
+everything; when a larger order exists the plan prunes first, exactly:
 
 1. Collapse the fact to basket lines ``(order, product, m)`` (partial
    aggregation; a huge order is spread over the product hash).
@@ -14,17 +16,19 @@ the plan prunes first, exactly:
    o, ``C(a, b) = sum_o m_a(o) m_b(o) <= sum_o m_a(o) M(o) = u(a)``.
 3. Take the ``seed`` products of largest ``u`` (a bounded top-k), count the
    pairs among them only -- at most ``seed^2/2`` pairs per order whatever its
-   size -- and let ``L`` be the n-th largest of those counts, a lower bound
-   of the final n-th count.
-4. Products with ``u < L`` cannot be in any top pair (their pairs count
-   strictly less than L), so they are dropped before the pair join; count
-   pairs among the survivors and take the top n (ties broken by product id).
-
-The answer is exact; the pruning only removes pairs that provably lose.  A
-huge order with a few dominant products (one order holding a third of all
-lines) keeps only those products.  What it cannot prune is a flat case --
-every count tiny and equal -- where a huge order still pairs all of its
-surviving products.
+   size -- and let ``K = (T, x, y)`` be the n-th best key found.  The final
+   n-th key is at least as good as K.
+4. A pair can only beat K if its count exceeds T, or equals T with a smaller
+   id pair, i.e. with its smaller id at most x.  So products with ``u < T``
+   are dropped; products with ``u > T``, or ``u = T`` and id <= x, are
+   *leaders*; the remaining survivors (``u = T``, id > x) can only win paired
+   with a leader.  The pair join takes leaders on one side and survivors on
+   the other, so an order emits (its leaders) x (its survivors) pairs: a huge
+   order with few leaders costs time linear in its size, whether its counts
+   are dominated by a few products or all tiny and equal.
+5. Count those pairs over all orders (exact counts) and take the top n.
+
+The answer is exact; the pruning only removes pairs that provably lose.
 """
 
 from __future__ import annotations
@@ -52,33 +56,23 @@ def pair_counts(lines: DataFrame) -> DataFrame:
     )
 
 
-def q16_basket_pairs(star: Star, n: int = 5, seed: int = 64, max_basket: int = 256) -> DataFrame:
-    """Top-n pairs.  Orders of at most ``max_basket`` distinct products pair
-    everything (at most max_basket^2/2 pairs each); the pruning of steps 2-4
-    runs only when a larger order exists."""
-    lines = basket_lines(star).persist()
-    orders = lines.groupBy("order_id").agg(F.count(F.lit(1)).alias("_d"), F.max("m").alias("_M"))
-    largest = orders.agg(F.max("_d")).first()[0] or 0  # one scalar
-    survivors = lines
-    if largest > max_basket:
-        support = (
-            lines.join(orders, "order_id")
-            .groupBy("product_sk")
-            .agg(F.sum(F.col("m") * F.col("_M")).alias("u"))
-            .persist()
-        )
-        top = support.orderBy(F.col("u").desc(), "product_sk").limit(seed)  # bounded: seed rows
-        seed_counts = pair_counts(lines.join(F.broadcast(top.select("product_sk")), "product_sk"))
-        best = [r["times_bought_together"]
-                for r in seed_counts.orderBy(F.col("times_bought_together").desc()).limit(n).collect()]
-        bound = best[-1] if len(best) == n else 0
-        if bound > 0:
-            keep = support.where(F.col("u") >= F.lit(bound)).select("product_sk")
-            survivors = lines.join(keep, "product_sk", "left_semi")
-    ids = star.product_dim.select("product_sk", "product_id")
-    counts = (
-        pair_counts(survivors)
-        .join(ids.select(F.col("product_sk").alias("sk_a"), F.col("product_id").alias("id_a")), "sk_a")
+def led_pair_counts(lines: DataFrame) -> DataFrame:
+    """C(a, b) for pairs with at least one leader (``lines.leader``), each once."""
+    a = lines.where(F.col("leader")).select(
+        "order_id", F.col("product_sk").alias("sk_1"), F.col("m").alias("m_1")
+    )
+    b = lines.select("order_id", F.col("product_sk").alias("sk_2"), F.col("m").alias("m_2"), F.col("leader").alias("l_2"))
+    return (
+        a.join(b, "order_id")
+        .where((F.col("sk_1") != F.col("sk_2")) & (~F.col("l_2") | (F.col("sk_1") < F.col("sk_2"))))
+        .groupBy(F.least("sk_1", "sk_2").alias("sk_a"), F.greatest("sk_1", "sk_2").alias("sk_b"))
+        .agg(F.sum(F.col("m_1") * F.col("m_2")).alias("times_bought_together"))
+    )
+
+
+def _named(pairs: DataFrame, ids: DataFrame) -> DataFrame:
+    return (
+        pairs.join(ids.select(F.col("product_sk").alias("sk_a"), F.col("product_id").alias("id_a")), "sk_a")
         .join(ids.select(F.col("product_sk").alias("sk_b"), F.col("product_id").alias("id_b")), "sk_b")
         .select(
             F.least("id_a", "id_b").alias("product_a"),
@@ -86,4 +80,44 @@ def q16_basket_pairs(star: Star, n: int = 5, seed: int = 64, max_basket: int = 2
             "times_bought_together",
         )
     )
-    return counts.orderBy(F.col("times_bought_together").desc(), "product_a", "product_b").limit(n)
+
+
+def _ranked(df: DataFrame) -> DataFrame:
+    return df.orderBy(F.col("times_bought_together").desc(), "product_a", "product_b")
+
+
+def q16_basket_pairs(star: Star, n: int = 5, seed: int = 64, max_basket: int = 256) -> DataFrame:
+    ids = star.product_dim.select("product_sk", "product_id")
+    lines = basket_lines(star).persist()
+    orders = lines.groupBy("order_id").agg(F.count(F.lit(1)).alias("_d"), F.max("m").alias("_M"))
+    biggest = orders.orderBy(F.col("_d").desc(), "order_id").limit(1).collect()  # one row
+    if not biggest or biggest[0]["_d"] <= max_basket:  # every order pairs <= max_basket^2/2 products
+        return _ranked(_named(pair_counts(lines), ids)).limit(n)
+
+    support = (
+        lines.join(orders, "order_id")
+        .groupBy("product_sk")
+        .agg(F.sum(F.col("m") * F.col("_M")).alias("u"))
+        .join(ids, "product_sk")
+        .persist()
+    )
+    # Seed: the top-u products plus the n+1 heaviest products of the largest
+    # order, which pair with each other there -- so the seed has >= n pairs.
+    top = _ranked_support(support).limit(seed).select("product_sk")  # bounded: seed rows
+    own = (
+        lines.where(F.col("order_id") == F.lit(biggest[0]["order_id"]))
+        .orderBy(F.col("m").desc(), "product_sk").limit(n + 1).select("product_sk")
+    )
+    seed_lines = lines.join(F.broadcast(top.union(own).distinct()), "product_sk")
+    best = _ranked(_named(pair_counts(seed_lines), ids)).limit(n).collect()  # at most n rows
+    if len(best) < n:  # only when max_basket < n (the seed then may hold < n pairs)
+        return _ranked(_named(pair_counts(lines), ids)).limit(n)
+    t, x = best[-1]["times_bought_together"], best[-1]["product_a"]
+    leader = (F.col("u") > F.lit(t)) | ((F.col("u") == F.lit(t)) & (F.col("product_id") <= F.lit(x)))
+    marks = support.where(F.col("u") >= F.lit(t)).select("product_sk", leader.alias("leader"))
+    survivors = lines.join(marks, "product_sk")
+    return _ranked(_named(led_pair_counts(survivors), ids)).limit(n)
+
+
+def _ranked_support(support: DataFrame) -> DataFrame:
+    return support.orderBy(F.col("u").desc(), "product_id")
