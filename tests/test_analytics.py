@@ -166,3 +166,29 @@ def test_basket_flat_giant_order_matches_brute_force(load, spark):
              .orderBy(F.col("times_bought_together").desc(), "x", "y").limit(5))
     assert got == [tuple(r) for r in brute.collect()]
     assert got[0] == ("g17", "g25", 2)
+
+
+def test_basket_pruning_random_against_brute_force(load):
+    """Random baskets with one giant order and skewed multiplicities: the
+    pruned answer equals counting every row pair."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(7)
+    for trial in range(2):
+        prods = [f"p{i:03d}" for i in range(40)]
+        rows = []
+        for i in rng.sample(prods, 30):  # the giant order
+            rows += [tx("giant", "c1", i, 1, "2020-01-01")] * rng.choice([1, 1, 1, 2, 3])
+        for o in range(25):  # small orders with popular products
+            for i in rng.sample(prods[:12], rng.randint(2, 4)):
+                rows += [tx(f"o{o}", "c1", i, 1, "2020-01-02")] * rng.choice([1, 1, 2])
+        star = load([product(p) for p in prods], [customer("c1")], rows, batch_id=trial)
+        got = [tuple(r) for r in basket.q16_basket_pairs(star, n=5, seed=3, max_basket=5).collect()]
+        brute = (basket.pair_counts(basket.basket_lines(star))
+                 .join(star.product_dim.selectExpr("product_sk as sk_a", "product_id as a"), "sk_a")
+                 .join(star.product_dim.selectExpr("product_sk as sk_b", "product_id as b"), "sk_b")
+                 .select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"), "times_bought_together")
+                 .orderBy(F.col("times_bought_together").desc(), "x", "y").limit(5))
+        assert got == [tuple(r) for r in brute.collect()], trial
