@@ -69,27 +69,52 @@ UPSERT_ORDER = ["customer_dim", "store_dim", "supplier_dim", "product_dim", "dat
 
 
 def new_members(candidates: DataFrame, existing: DataFrame, natural: str) -> DataFrame:
-    """Ids already stored are skipped; their attributes are not refreshed."""
-    return candidates.join(existing.select(natural), natural, "left_anti")
+    """Ids already stored are skipped; their attributes are not refreshed.
+
+    The stored dimension is probed with the batch's ids (semi join: the ids
+    are the small side, broadcast by the threshold or by AQE), so a large
+    dimension is scanned but not shuffled for every batch.
+    """
+    known = existing.select(natural).join(candidates.select(natural), natural, "left_semi")
+    return candidates.join(known, natural, "left_anti")
+
+
+def stored_max_key(wh: Warehouse, table: str, sk: str, batch_id: int) -> int:
+    """Largest key stored by batches before ``batch_id``.
+
+    Each batch numbers its new ids above every earlier key, so the maximum
+    sits in the latest non-empty batch partition: one partition is scanned,
+    not the whole dimension (partition directories exist only with rows).
+    """
+    earlier = [b for b in wh.batch_partitions(table) if b < batch_id]
+    if not earlier:
+        return 0
+    last = wh.read(table).where(F.col("batch_id") == F.lit(max(earlier)))
+    return int(last.agg(F.max(sk)).first()[0] or 0)  # one scalar
 
 
-def assign_new_keys(new: DataFrame, existing: DataFrame | None, natural: str, sk: str) -> DataFrame:
+def assign_new_keys(new: DataFrame, start: int, natural: str, sk: str) -> DataFrame:
     """New ids get max(stored key) + rank of the id among the new ones."""
-    start = 0 if existing is None else existing.agg(F.max(sk)).first()[0] or 0  # one scalar
     return dense_keys(new, [natural], sk, start=int(start))
 
 
 def upsert_dimension(wh: Warehouse, table: str, candidates: DataFrame, batch_id: int) -> DataFrame:
-    """Insert-if-absent for one batch; returns the dimension up to it."""
+    """Insert-if-absent for one batch.
+
+    Returns the key map (natural key, surrogate key) of this batch's members
+    only -- read back from storage, so it holds exactly the written keys --
+    which keeps the fact's key lookups batch-sized.
+    """
     _, natural, sk = DIMENSIONS[table]
-    if wh.exists(table):
-        existing = wh.read(table, before_batch=batch_id)
-        new = new_members(candidates, existing, natural)
-    else:  # first batch: nothing stored, nothing to anti-join or number after
-        existing, new = None, candidates
-    keyed = assign_new_keys(new, existing, natural, sk).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    start = stored_max_key(wh, table, sk, batch_id)
+    if start > 0:
+        new = new_members(candidates, wh.read(table, before_batch=batch_id), natural)
+    else:  # nothing stored before this batch: every candidate is new
+        new = candidates
+    keyed = assign_new_keys(new, start, natural, sk).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     wh.write(table, keyed)
-    return wh.read(table, upto_batch=batch_id)
+    stored = wh.read(table, upto_batch=batch_id).select(natural, sk)
+    return stored.join(candidates.select(natural), natural, "left_semi")
 
 
 def upsert_all(wh: Warehouse, matched: DataFrame, batch_id: int, parallel: bool = True) -> dict[str, DataFrame]:

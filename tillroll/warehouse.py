@@ -77,6 +77,20 @@ class Warehouse:
             .parquet(self.path(table))
         )
 
+    def batch_partitions(self, table: str) -> list[int]:
+        """batch_id values present in a table, from the directory listing only."""
+        if not self.exists(table):
+            return []
+        jvm = self.spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self.path(table))
+        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        out = []
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith("batch_id="):
+                out.append(int(name.split("=", 1)[1]))
+        return sorted(out)
+
     def create(self) -> None:
         """Create every table empty, with its declared schema, if absent."""
         for table, schema in TABLE_SCHEMAS.items():
