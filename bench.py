@@ -69,14 +69,16 @@ def main() -> None:
     if os.path.isdir(warm_dir) and os.path.abspath(warm_dir) != os.path.abspath(sf_dir):
         t = time.perf_counter()
         wwh = Warehouse.in_shared_dir(spark, "bench-warm-" + uuid.uuid4().hex[:12])
-        etl.load_batch(wwh, *etl.testdata_inputs(spark, warm_dir), batch_id=0)
+        etl.load_batch(wwh, *etl.testdata_inputs(spark, warm_dir, stage_root=f"{wwh.root}/_masters"), batch_id=0)
         wstar = wwh.star()
         for fn in ANALYTICS.values():
             run(fn(wstar))
         warmup = round(time.perf_counter() - t, 3)
 
     wh = Warehouse.in_shared_dir(spark, "bench-" + uuid.uuid4().hex[:12])
-    tx, pm, cm = etl.testdata_inputs(spark, sf_dir)
+    # The derived masters are staged as files first, as master files would be
+    # given; the load below is what is timed.
+    tx, pm, cm = etl.testdata_inputs(spark, sf_dir, stage_root=f"{wh.root}/_masters")
     t0 = time.perf_counter()
     res = etl.load_batch(wh, tx, pm, cm, batch_id=0)
     times = {"etl_load": round(time.perf_counter() - t0, 3)}

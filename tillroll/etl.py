@@ -37,18 +37,33 @@ def load_batch(
     dedup_keys: list[str] | None = None,
 ) -> BatchResult:
     """E1-E3 then ``load_enriched``: one batch of raw transactions."""
-    return load_enriched(wh, X.enrich(transactions, products, customers), batch_id, dedup_keys)
+    return load_enriched(wh, X.enrich(transactions, products, customers), batch_id, products, customers, dedup_keys)
+
+
+# What the quarantine and the fact need from a master-joined row; dimension
+# attributes are taken from the masters for the batch's ids instead, so the
+# copy of the batch kept for its several writes stays narrow.
+BATCH_COLUMNS = [
+    "order_id", "customer_id", "product_id", "quantity", "date",
+    "price", "store_id", "supplier_id", "reason",
+]
 
 
 def load_enriched(
-    wh: Warehouse, enriched: DataFrame, batch_id: int, dedup_keys: list[str] | None = None
+    wh: Warehouse,
+    enriched: DataFrame,
+    batch_id: int,
+    products: DataFrame,
+    customers: DataFrame,
+    dedup_keys: list[str] | None = None,
 ) -> BatchResult:
     """Write one batch of master-joined rows: quarantine, dimensions, fact.
 
     Each table overwrites only partition ``batch_id``, so running the same
     batch again (a replayed micro-batch, a retried job) gives the same tables.
     """
-    enriched = enriched.persist()
+    keep = BATCH_COLUMNS + (["_pos"] if "_pos" in enriched.columns else [])
+    enriched = enriched.select(*keep).persist()
     try:
         wh.write("quarantine", X.quarantined_rows(enriched).withColumn("batch_id", F.lit(batch_id)))
         matched = X.matched_rows(enriched)
@@ -56,7 +71,7 @@ def load_enriched(
             matched = X.dedup_lines(matched, dedup_keys)
         if "_pos" in matched.columns:
             matched = matched.drop("_pos")
-        dims = D.upsert_all(wh, matched, batch_id)
+        dims = D.upsert_all(wh, matched, batch_id, products, customers)
         wh.write("sales_fact", X.build_fact(matched, dims, batch_id))
         m = ingest_metrics(enriched).first().asDict()  # E14: one row of counters
     finally:
@@ -80,12 +95,23 @@ def ingest_metrics(enriched: DataFrame) -> DataFrame:
 _BUILT: dict[tuple[str, str], Warehouse] = {}
 
 
-def testdata_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return (
-        testdata.transactions(spark, sf_dir),
-        testdata.product_master(spark, sf_dir),
-        testdata.customer_master(spark, sf_dir),
-    )
+def testdata_inputs(
+    spark: SparkSession, sf_dir: str, stage_root: str | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Transactions and the two masters derived from the test tables.
+
+    With ``stage_root`` the derived masters are written there once as Parquet
+    and read back: real masters are files whose size the optimizer knows,
+    while a master derived by joins gets a size estimate (product of its
+    inputs) that rules out broadcasting it.
+    """
+    pm, cm = testdata.product_master(spark, sf_dir), testdata.customer_master(spark, sf_dir)
+    if stage_root:
+        pm.write.mode("overwrite").parquet(f"{stage_root}/product_master")
+        cm.write.mode("overwrite").parquet(f"{stage_root}/customer_master")
+        pm = spark.read.parquet(f"{stage_root}/product_master")
+        cm = spark.read.parquet(f"{stage_root}/customer_master")
+    return testdata.transactions(spark, sf_dir), pm, cm
 
 
 def testdata_warehouse(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Warehouse:
@@ -103,7 +129,7 @@ def testdata_warehouse(spark: SparkSession, sf_dir: str, rebuild: bool = False)
     if rebuild or not fs_exists(spark, done):
         for t in ("quarantine", *D.UPSERT_ORDER, "sales_fact", "_batches"):
             wh.drop(t)
-        tx, pm, cm = testdata_inputs(spark, sf_dir)
+        tx, pm, cm = testdata_inputs(spark, sf_dir, stage_root=f"{wh.root}/_masters")
         load_batch(wh, tx, pm, cm, batch_id=0)
         fs_write_text(spark, done, "ok\n")
     _BUILT[memo] = wh
@@ -125,7 +151,7 @@ def testdata_two_batch_warehouse(spark: SparkSession, sf_dir: str, cutover: str)
     if not fs_exists(spark, f"{wh.root}/_BUILD_OK"):
         for t in ("quarantine", *D.UPSERT_ORDER, "sales_fact", "_batches"):
             wh.drop(t)
-        tx, pm, cm = testdata_inputs(spark, sf_dir)
+        tx, pm, cm = testdata_inputs(spark, sf_dir, stage_root=f"{wh.root}/_masters")
         early = F.coalesce(F.col("date") < F.lit(cutover).cast("date"), F.lit(False))
         load_batch(wh, tx.where(early), pm, cm, batch_id=0)
         load_batch(wh, tx.where(~early), pm, cm, batch_id=1)
@@ -147,8 +173,9 @@ def testdata_stream_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     if not fs_exists(spark, f"{wh.root}/_BUILD_OK"):
         for t in ("quarantine", *D.UPSERT_ORDER, "sales_fact", "_batches", "_stream_checkpoint"):
             wh.drop(t)
+        _, pm, cm = testdata_inputs(spark, sf_dir, stage_root=f"{wh.root}/_masters")
         stream = testdata.stream_transactions_from_tables(spark, sf_dir)
-        run_to_end(wh, stream, testdata.product_master(spark, sf_dir), testdata.customer_master(spark, sf_dir))
+        run_to_end(wh, stream, pm, cm)
         fs_write_text(spark, f"{wh.root}/_BUILD_OK", "ok\n")
     _BUILT[memo] = wh
     return wh

@@ -18,34 +18,42 @@ from tillroll.schemas import CUSTOMER_ATTRS, DIMENSIONS, PRODUCT_ATTRS
 from tillroll.warehouse import Warehouse
 
 
-def customer_candidates(matched: DataFrame) -> DataFrame:
-    """Customers of the batch's matched rows (attributes come from the master)."""
-    return matched.where(F.col("customer_id").isNotNull()).select(*CUSTOMER_ATTRS).dropDuplicates(["customer_id"])
+def _seen(master: DataFrame, matched: DataFrame, key: str, attrs: list[str]) -> DataFrame:
+    """Master rows of the ids the batch matched (semi join: the batch's
+    distinct ids are the small side).  A matched row carries exactly its
+    master row's attributes, so this equals projecting the matched rows."""
+    ids = matched.where(F.col(key).isNotNull()).select(key).distinct()
+    return master.select(*attrs).join(ids, key, "left_semi").dropDuplicates([key])
 
 
-def product_candidates(matched: DataFrame) -> DataFrame:
-    return matched.where(F.col("product_id").isNotNull()).select(*PRODUCT_ATTRS).dropDuplicates(["product_id"])
+def customer_candidates(matched: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
+    """Customers of the batch's matched rows, attributes from the master."""
+    return _seen(customers, matched, "customer_id", CUSTOMER_ATTRS)
 
 
-def _named_entity(matched: DataFrame, id_col: str, name_col: str) -> DataFrame:
+def product_candidates(matched: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
+    return _seen(products, matched, "product_id", PRODUCT_ATTRS)
+
+
+def _named_entity(products: DataFrame, id_col: str, name_col: str) -> DataFrame:
     """A store / supplier id seen with several names takes the name of its
     smallest product_id -- arrival order is not stable on a cluster."""
     return (
-        matched.where(F.col(id_col).isNotNull())
+        products.where(F.col(id_col).isNotNull())
         .groupBy(id_col)
         .agg(F.min_by(F.col(name_col), F.col("product_id")).alias(name_col))
     )
 
 
-def store_candidates(matched: DataFrame) -> DataFrame:
-    return _named_entity(matched, "store_id", "store_name")
+def store_candidates(matched: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
+    return _named_entity(product_candidates(matched, products, customers), "store_id", "store_name")
 
 
-def supplier_candidates(matched: DataFrame) -> DataFrame:
-    return _named_entity(matched, "supplier_id", "supplier_name")
+def supplier_candidates(matched: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
+    return _named_entity(product_candidates(matched, products, customers), "supplier_id", "supplier_name")
 
 
-def date_candidates(matched: DataFrame) -> DataFrame:
+def date_candidates(matched: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
     """Only dates seen in matched transactions, not a calendar."""
     d = matched.where(F.col("date").isNotNull()).select("date").distinct()
     return d.select(
@@ -117,14 +125,21 @@ def upsert_dimension(wh: Warehouse, table: str, candidates: DataFrame, batch_id:
     return stored.join(candidates.select(natural), natural, "left_semi")
 
 
-def upsert_all(wh: Warehouse, matched: DataFrame, batch_id: int, parallel: bool = True) -> dict[str, DataFrame]:
+def upsert_all(
+    wh: Warehouse,
+    matched: DataFrame,
+    batch_id: int,
+    products: DataFrame,
+    customers: DataFrame,
+    parallel: bool = True,
+) -> dict[str, DataFrame]:
     """All five dimensions of a batch.
 
     They are independent (store and supplier come from the batch's products,
     not from product_dim), so they run as concurrent Spark jobs: a small
     dimension alone would leave most of a cluster idle.
     """
-    run = lambda t: upsert_dimension(wh, t, CANDIDATES[t](matched), batch_id)
+    run = lambda t: upsert_dimension(wh, t, CANDIDATES[t](matched, products, customers), batch_id)
     if not parallel:
         return {t: run(t) for t in UPSERT_ORDER}
     with ThreadPoolExecutor(max_workers=len(UPSERT_ORDER)) as pool:

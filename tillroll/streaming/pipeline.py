@@ -60,7 +60,7 @@ def start_ingest(
     results: list[BatchResult] = []
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        r = load_enriched(wh, batch, int(batch_id))
+        r = load_enriched(wh, batch, int(batch_id), products, customers)
         results.append(r)
         if on_batch is not None:
             on_batch(r)
