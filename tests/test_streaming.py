@@ -83,3 +83,19 @@ def test_csv_backfill_in_bounded_batches(spark, tmp_path):
     assert len(results) >= 2
     assert sum(r.input_rows for r in results) == tx.count() == wh.read("sales_fact").count()
     assert sum(r.quarantined_rows for r in results) == 0
+
+
+def test_stream_dedup_drops_repeated_lines_only(spark, tmp_path):
+    from tillroll.streaming.pipeline import start_ingest
+
+    src = str(tmp_path / "dup")
+    tx = testdata.transactions(spark, SF_SMALL)
+    tx.write.parquet(src + "/a")
+    tx.where(F.col("quantity") > 40).write.parquet(src + "/b")  # the same lines again
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    pm, cm = testdata.product_master(spark, SF_SMALL), testdata.customer_master(spark, SF_SMALL)
+    stream = stream_transactions(spark, src + "/*", fmt="parquet", max_files_per_trigger=1, schema=TRANSACTIONS)
+    keys = ["order_id", "customer_id", "product_id", "quantity", "date"]
+    q = start_ingest(wh, stream, pm, cm, str(tmp_path / "ckpt"), dedup_keys=keys)
+    q.awaitTermination()
+    assert wh.read("sales_fact").count() == tx.dropDuplicates(keys).count()

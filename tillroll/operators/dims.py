@@ -106,7 +106,9 @@ def assign_new_keys(new: DataFrame, start: int, natural: str, sk: str) -> DataFr
     return dense_keys(new, [natural], sk, start=int(start))
 
 
-def upsert_dimension(wh: Warehouse, table: str, candidates: DataFrame, batch_id: int) -> DataFrame:
+def upsert_dimension(
+    wh: Warehouse, table: str, candidates: DataFrame, batch_id: int, ids: DataFrame | None = None
+) -> DataFrame:
     """Insert-if-absent for one batch.
 
     Returns the key map (natural key, surrogate key) of this batch's members
@@ -122,7 +124,7 @@ def upsert_dimension(wh: Warehouse, table: str, candidates: DataFrame, batch_id:
     keyed = assign_new_keys(new, start, natural, sk).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     wh.write(table, keyed)
     stored = wh.read(table, upto_batch=batch_id).select(natural, sk)
-    return stored.join(candidates.select(natural), natural, "left_semi")
+    return stored.join(ids if ids is not None else candidates.select(natural), natural, "left_semi")
 
 
 def upsert_all(
@@ -139,7 +141,11 @@ def upsert_all(
     not from product_dim), so they run as concurrent Spark jobs: a small
     dimension alone would leave most of a cluster idle.
     """
-    run = lambda t: upsert_dimension(wh, t, CANDIDATES[t](matched, products, customers), batch_id)
+    def run(t: str) -> DataFrame:
+        natural = DIMENSIONS[t][1]
+        ids = matched.where(F.col(natural).isNotNull()).select(natural).distinct()
+        return upsert_dimension(wh, t, CANDIDATES[t](matched, products, customers), batch_id, ids)
+
     if not parallel:
         return {t: run(t) for t in UPSERT_ORDER}
     with ThreadPoolExecutor(max_workers=len(UPSERT_ORDER)) as pool:

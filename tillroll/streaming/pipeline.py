@@ -28,9 +28,17 @@ def enriched_stream(
     products: DataFrame,
     customers: DataFrame,
     dedup_keys: list[str] | None = None,
-    dedup_delay: str = "7 days",
+    dedup_delay: str = "36500 days",
 ) -> DataFrame:
-    """E1 + E2 (+ E15 opt-in) on the streaming side of the plan."""
+    """E1 + E2 (+ E15 opt-in) on the streaming side of the plan.
+
+    E15 uses ``dropDuplicatesWithinWatermark``: a duplicate is dropped if it
+    arrives within ``dedup_delay`` of the latest event time seen.  Spark also
+    drops rows that arrive *behind* the watermark, duplicates or not, so the
+    default delay spans the whole feed (nothing is dropped for lateness; the
+    de-dup state is bounded by that delay).  A shorter delay bounds the state
+    and is only right when the feed is never later than it.
+    """
     if dedup_keys:
         # Event time is the transaction date; the watermark bounds the state.
         stream = X.dedup_stream(
@@ -48,7 +56,7 @@ def start_ingest(
     available_now: bool = True,
     processing_time: str | None = None,
     dedup_keys: list[str] | None = None,
-    dedup_delay: str = "7 days",
+    dedup_delay: str = "36500 days",
     on_batch=None,
 ) -> StreamingQuery:
     """Start the ingest query; ``availableNow`` drains the input and stops.
