@@ -72,7 +72,7 @@ def load_enriched(
         if "_pos" in matched.columns:
             matched = matched.drop("_pos")
         dims = D.upsert_all(wh, matched, batch_id, products, customers)
-        wh.write("sales_fact", X.build_fact(matched, dims, batch_id))
+        wh.write("sales_fact", X.cluster_for_write(X.build_fact(matched, dims, batch_id)))
         m = ingest_metrics(enriched).first().asDict()  # E14: one row of counters
     finally:
         enriched.unpersist()

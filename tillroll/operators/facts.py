@@ -90,6 +90,17 @@ def build_fact(matched: DataFrame, dims: dict[str, DataFrame], batch_id: int) ->
     )
 
 
+def cluster_for_write(fact: DataFrame) -> DataFrame:
+    """Range-partition the fact rows on (sale_year, date_sk) before writing.
+
+    Each task then holds a contiguous slice of one or two years, so it writes
+    into few ``sale_year`` directories (no task x year file explosion), a hot
+    year is still spread over many tasks (range, not hash, on a finer key),
+    and rows of a file are clustered by date.
+    """
+    return fact.repartitionByRange("sale_year", "date_sk")
+
+
 def dedup_lines(df: DataFrame, keys: list[str], position: str = "_pos") -> DataFrame:
     """E15 (opt-in, batch): keep the first line per key by ingest position."""
     return keep_first(df, keys, position)
