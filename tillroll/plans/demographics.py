@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.exprs import mean
 from tillroll.plans.common import dates, fact, money
-from tillroll.plans.topn import category_by_customer_attr
 from tillroll.warehouse import Star
 
 UNKNOWN = "Unknown"
@@ -148,5 +147,5 @@ def q10_age_daytype(star: Star, year: int = 2020) -> DataFrame:
 
 __all__ = [
     "q2_demographics", "q3_category_occupation", "q4_gender_age_quarter", "q6_city_marital_recent",
-    "q7_avg_purchase", "q10_age_daytype", "category_by_customer_attr",
+    "q7_avg_purchase", "q10_age_daytype",
 ]
