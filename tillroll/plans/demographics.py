@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.exprs import mean
 from tillroll.plans.common import dates, fact, money
+from tillroll.plans.topn import category_by_customer
 from tillroll.warehouse import Star
 
 UNKNOWN = "Unknown"
@@ -49,11 +50,10 @@ def q2_demographics(star: Star) -> DataFrame:
 
 def q3_category_occupation(star: Star) -> DataFrame:
     rev = (
-        fact(star, "product_sk", "customer_sk", "total_price", "quantity")
-        .join(star.product_dim.select("product_sk", "product_category"), "product_sk")
+        category_by_customer(star, with_qty=True)
         .join(star.customer_dim.select("customer_sk", "occupation"), "customer_sk")
         .groupBy("product_category", "occupation")
-        .agg(F.sum("total_price").alias("_rev"), F.sum("quantity").cast("bigint").alias("qty"))
+        .agg(F.sum("_rev").alias("_rev"), F.sum("_qty").cast("bigint").alias("qty"))
     )
     return rev.select(
         _unknown("product_category"), _unknown("occupation"), money("_rev", "revenue"), "qty"

@@ -37,14 +37,29 @@ def q1_top_products_daytype(star: Star, year: int = 2015, n: int = 5) -> DataFra
     )
 
 
+def category_by_customer(star: Star, with_qty: bool = False) -> DataFrame:
+    """Fact aggregated to (product_category, customer_sk) right after the
+    product join: the customer join then sees one row per customer and
+    category instead of one per line (at scale both joins are shuffles)."""
+    aggs = [F.sum("total_price").alias("_rev")]
+    if with_qty:
+        aggs.append(F.sum("quantity").cast("bigint").alias("_qty"))
+    cols = ["product_sk", "customer_sk", "total_price"] + (["quantity"] if with_qty else [])
+    return (
+        fact(star, *cols)
+        .join(star.product_dim.select("product_sk", "product_category"), "product_sk")
+        .groupBy("product_category", "customer_sk")
+        .agg(*aggs)
+    )
+
+
 def category_by_customer_attr(star: Star, attr: str) -> DataFrame:
     """Revenue by (product_category, a customer attribute), raw group values."""
     return (
-        fact(star, "product_sk", "customer_sk", "total_price")
-        .join(star.product_dim.select("product_sk", "product_category"), "product_sk")
+        category_by_customer(star)
         .join(star.customer_dim.select("customer_sk", attr), "customer_sk")
         .groupBy("product_category", attr)
-        .agg(F.sum("total_price").alias("_rev"))
+        .agg(F.sum("_rev").alias("_rev"))
     )
 
 
