@@ -143,3 +143,19 @@ def test_constraint_report_finds_orphans(load, spark):
                   star.date_dim, star.sales_fact)
     got = {r.check_name: r.violations for r in constraint_report(broken).collect()}
     assert got["sales_fact.customer_sk references customer_dim"] == 1
+
+
+def test_batch_dedup_with_and_without_position(spark, tmp_path):
+    from tillroll.sources.transactions import read_transactions
+    from tillroll.warehouse import Warehouse
+
+    p = tmp_path / "tx.csv"
+    p.write_text("orderID,Customer_ID,Product_ID,quantity,date\n"
+                 "o1,c1,p1,3,2020-02-01\no1,c1,p1,5,2020-02-01\no2,c1,p1,1,2020-02-02\n")
+    pm = spark.createDataFrame([product("p1")], PRODUCT_MASTER)
+    cm = spark.createDataFrame([customer("c1")], CUSTOMER_MASTER)
+    for with_position, want in ((True, [1, 3]), (False, [1, 3])):
+        wh = Warehouse(spark, str(tmp_path / f"wh{with_position}"))
+        t = read_transactions(spark, str(p), with_position=with_position)
+        load_batch(wh, t, pm, cm, 0, dedup_keys=["order_id", "product_id"])
+        assert sorted(r.quantity for r in wh.read("sales_fact").collect()) == want

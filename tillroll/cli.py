@@ -2,6 +2,7 @@
 
     python -m tillroll.cli load --warehouse W --products P.csv --customers C.csv \\
         --transactions DIR [--format csv|parquet] [--stream [--max-bytes N]] [--batch-id B]
+        [--dedup order_id,product_id]
     python -m tillroll.cli query --warehouse W q1_top_products_daytype --param year=2015
     python -m tillroll.cli sql --warehouse W "SELECT COUNT(*) FROM sales_fact_v2" [--suffix _v2]
 
@@ -72,12 +73,17 @@ def cmd_load(spark: SparkSession, a: argparse.Namespace) -> None:
     wh = _warehouse(spark, a.warehouse)
     products = read_product_master(spark, a.products, a.master_format)
     customers = read_customer_master(spark, a.customers, a.master_format)
+    dedup = [k for k in (a.dedup or "").split(",") if k]
     if a.stream:
+        if dedup:
+            raise SystemExit("--dedup applies to batch loads; a stream de-duplicates with a watermark "
+                             "(streaming.pipeline.start_ingest(dedup_keys=...))")
         results = backfill(wh, a.transactions, products, customers, fmt=a.format,
                            max_bytes_per_trigger=a.max_bytes)
     else:
         batch = a.batch_id if a.batch_id is not None else max(wh.committed_batches(), default=-1) + 1
-        results = [etl.load_batch(wh, read_transactions(spark, a.transactions, a.format), products, customers, batch)]
+        tx = read_transactions(spark, a.transactions, a.format, with_position=bool(dedup))
+        results = [etl.load_batch(wh, tx, products, customers, batch, dedup_keys=dedup or None)]
     for r in results:
         print(f"batch {r.batch_id}: read {r.input_rows}, loaded {r.matched_rows}, set aside {r.quarantined_rows}")
     print(f"warehouse: {wh.root}")
@@ -117,6 +123,7 @@ def main(argv: list[str] | None = None) -> None:
     load.add_argument("--stream", action="store_true", help="availableNow stream in bounded batches")
     load.add_argument("--max-bytes", type=int, default=64 << 30)
     load.add_argument("--batch-id", type=int)
+    load.add_argument("--dedup", help="opt-in: keep the first line per these comma-separated keys")
 
     for name, help_ in (("query", "run a named analytic"), ("sql", "run SQL on the star views")):
         q = sub.add_parser(name, help=help_)

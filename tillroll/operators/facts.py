@@ -102,7 +102,14 @@ def cluster_for_write(fact: DataFrame) -> DataFrame:
 
 
 def dedup_lines(df: DataFrame, keys: list[str], position: str = "_pos") -> DataFrame:
-    """E15 (opt-in, batch): keep the first line per key by ingest position."""
+    """E15 (opt-in, batch): keep the first line per key by ingest position.
+
+    Without a position column the smallest line per key (by its other values)
+    is kept: still one line per key and the same on every run.
+    """
+    if position not in df.columns:
+        rest = [c for c in df.columns if c not in keys]
+        df = df.withColumn(position, F.struct(*[F.col(c) for c in rest]))
     return keep_first(df, keys, position)
 
 

@@ -16,25 +16,33 @@ DATE_FORMAT = "yyyy-MM-dd"
 
 
 def parse_transactions(raw: DataFrame) -> DataFrame:
-    """Raw string columns -> typed transactions; malformed values become NULL.
-
-    ``raw_quantity`` / ``raw_date`` keep the text for the quarantine report.
-    """
+    """Raw string columns -> typed transactions; malformed values become NULL."""
+    extra = [F.col("_pos")] if "_pos" in raw.columns else []
     return raw.select(
         F.col("orderID").alias("order_id"),
         F.col("Customer_ID").alias("customer_id"),
         F.col("Product_ID").alias("product_id"),
         F.expr("try_cast(trim(quantity) as int)").alias("quantity"),
         F.expr(f"try_to_date(trim(`date`), '{DATE_FORMAT}')").alias("date"),
+        *extra,
     )
 
 
-def read_transactions(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """Batch scan of transaction files (all strings for CSV)."""
+def read_transactions(spark: SparkSession, path: str, fmt: str = "csv", with_position: bool = False) -> DataFrame:
+    """Batch scan of transaction files (all strings for CSV).
+
+    ``with_position`` adds ``_pos`` (file, split start, row in split), the
+    ingest order that the opt-in de-duplication keeps the first line by.
+    """
+    from tillroll.sources.masters import with_ingest_position
+
     if fmt == "csv":
         raw = spark.read.schema(RAW_TRANSACTIONS).option("header", True).csv(path)
-        return parse_transactions(raw)
-    return spark.read.format(fmt).load(path).select(*TRANSACTION_COLS)
+        return parse_transactions(with_ingest_position(raw) if with_position else raw)
+    df = spark.read.format(fmt).load(path)
+    return (with_ingest_position(df) if with_position else df).select(
+        *TRANSACTION_COLS, *(["_pos"] if with_position else [])
+    )
 
 
 def stream_transactions(
