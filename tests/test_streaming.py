@@ -99,3 +99,21 @@ def test_stream_dedup_drops_repeated_lines_only(spark, tmp_path):
     q = start_ingest(wh, stream, pm, cm, str(tmp_path / "ckpt"), dedup_keys=keys)
     q.awaitTermination()
     assert wh.read("sales_fact").count() == tx.dropDuplicates(keys).count()
+
+
+def test_stream_after_batch_load_does_not_overwrite(spark, tmp_path):
+    from tillroll.etl import load_batch, testdata_star
+
+    tx = testdata.transactions(spark, SF_SMALL)
+    early = F.col("date") < F.lit("1998-01-01").cast("date")
+    pm, cm = testdata.product_master(spark, SF_SMALL), testdata.customer_master(spark, SF_SMALL)
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    load_batch(wh, tx.where(early), pm, cm, 0)
+    src = str(tmp_path / "later")
+    tx.where(~early).repartition(2).write.parquet(src)
+    ckpt = str(tmp_path / "ckpt")
+    stream = stream_transactions(spark, src, fmt="parquet", max_files_per_trigger=1, schema=TRANSACTIONS)
+    results = run_to_end(wh, stream, pm, cm, ckpt)
+    assert [r.batch_id for r in results] == [1, 2]
+    assert wh.read("sales_fact").count() == tx.count()
+    assert natural_facts(wh.star()) == natural_facts(testdata_star(spark, SF_SMALL))

@@ -90,6 +90,18 @@ def code_version() -> str:
     return h.hexdigest()[:8]
 
 
+def fs_read_text(spark: SparkSession, path: str) -> str:
+    jvm = spark._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    stream = fs.open(jpath)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        return reader.readLine() or ""
+    finally:
+        stream.close()
+
+
 def input_fingerprint(paths: list[str]) -> str:
     """Identity of a set of input files (names, sizes, mtimes) and of the code."""
     import hashlib

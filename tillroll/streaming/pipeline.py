@@ -47,6 +47,24 @@ def enriched_stream(
     return X.enrich(stream, products, customers)
 
 
+def warehouse_base_batch(wh: Warehouse, checkpoint: str) -> int:
+    """Warehouse batch id of this stream's micro-batch 0.
+
+    Fixed when the stream first starts (one past the last committed batch, so
+    earlier batch loads are never overwritten) and kept in the stream's
+    checkpoint folder, so a restart maps replayed micro-batches to the same
+    warehouse batches.
+    """
+    from tillroll.session import fs_exists, fs_read_text, fs_write_text
+
+    marker = f"{checkpoint.rstrip('/')}/_warehouse_base_batch"
+    if fs_exists(wh.spark, marker):
+        return int(fs_read_text(wh.spark, marker).strip())
+    base = max(wh.committed_batches(), default=-1) + 1
+    fs_write_text(wh.spark, marker, f"{base}\n")
+    return base
+
+
 def start_ingest(
     wh: Warehouse,
     stream: DataFrame,
@@ -65,10 +83,11 @@ def start_ingest(
     shared folder, never on one machine's disk.
     """
     checkpoint = checkpoint or f"{wh.root}/_stream_checkpoint"
+    base = warehouse_base_batch(wh, checkpoint)
     results: list[BatchResult] = []
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        r = load_enriched(wh, batch, int(batch_id), products, customers)
+        r = load_enriched(wh, batch, base + int(batch_id), products, customers)
         results.append(r)
         if on_batch is not None:
             on_batch(r)
