@@ -159,3 +159,22 @@ def test_batch_dedup_with_and_without_position(spark, tmp_path):
         t = read_transactions(spark, str(p), with_position=with_position)
         load_batch(wh, t, pm, cm, 0, dedup_keys=["order_id", "product_id"])
         assert sorted(r.quantity for r in wh.read("sales_fact").collect()) == want
+
+
+def test_keep_last_across_files_and_parquet(spark, tmp_path):
+    from tillroll.sources.masters import read_product_master
+
+    d = tmp_path / "products"
+    d.mkdir()
+    header = "Product_ID,Product_Category,price$,storeID,supplierID,storeName,supplierName\n"
+    (d / "part-0.csv").write_text(header + "p1,Old,1.00,S1,P1,Store S1,Supp P1\np2,Keep,2.50,S1,P1,Store S1,Supp P1\n")
+    (d / "part-1.csv").write_text(header + "p1,New,1.10,S2,P1,Store S2,Supp P1\n")
+    rows = {r.product_id: r for r in read_product_master(spark, str(d)).collect()}
+    assert rows["p1"].product_category == "New" and str(rows["p1"].price) == "1.10"
+    assert rows["p2"].product_category == "Keep" and len(rows) == 2
+
+    pq = tmp_path / "products_pq"
+    spark.read.option("header", True).csv(str(d / "part-0.csv")).write.parquet(str(pq / "a"))
+    spark.read.option("header", True).csv(str(d / "part-1.csv")).write.parquet(str(pq / "b"))
+    rows = {r.product_id: r for r in read_product_master(spark, str(pq / "*"), fmt="parquet").collect()}
+    assert rows["p1"].product_category == "New" and len(rows) == 2
