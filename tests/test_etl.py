@@ -157,8 +157,9 @@ def test_batch_dedup_with_and_without_position(spark, tmp_path):
     for with_position, want in ((True, [1, 3]), (False, [1, 3])):
         wh = Warehouse(spark, str(tmp_path / f"wh{with_position}"))
         t = read_transactions(spark, str(p), with_position=with_position)
-        load_batch(wh, t, pm, cm, 0, dedup_keys=["order_id", "product_id"])
-        assert sorted(r.quantity for r in wh.read("sales_fact").collect()) == want
+        r = load_batch(wh, t, pm, cm, 0, dedup_keys=["order_id", "product_id"])
+        assert sorted(x.quantity for x in wh.read("sales_fact").collect()) == want
+        assert (r.input_rows, r.matched_rows, r.duplicates_dropped) == (3, 2, 1)
 
 
 def test_keep_last_across_files_and_parquet(spark, tmp_path):

@@ -85,7 +85,8 @@ def cmd_load(spark: SparkSession, a: argparse.Namespace) -> None:
         tx = read_transactions(spark, a.transactions, a.format, with_position=bool(dedup))
         results = [etl.load_batch(wh, tx, products, customers, batch, dedup_keys=dedup or None)]
     for r in results:
-        print(f"batch {r.batch_id}: read {r.input_rows}, loaded {r.matched_rows}, set aside {r.quarantined_rows}")
+        print(f"batch {r.batch_id}: read {r.input_rows}, loaded {r.matched_rows}, set aside {r.quarantined_rows}"
+              + (f", duplicates dropped {r.duplicates_dropped}" if r.duplicates_dropped else ""))
     print(f"warehouse: {wh.root}")
 
 

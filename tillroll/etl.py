@@ -1,7 +1,8 @@
 """Batch loader: one batch of transactions -> quarantine, dimensions, fact.
 
-``load_batch`` is what the streaming sink calls for every micro-batch and
-what the batch build calls once.  Write order follows the reference:
+``load_batch`` joins raw transactions to the masters and hands the result to
+``load_enriched``, which is also what the streaming sink calls for every
+micro-batch (the stream does the master joins in its own plan).  Write order follows the reference:
 dimensions before the fact, each table overwriting only this batch's
 partitions, and a batch marker last.
 """
@@ -26,6 +27,7 @@ class BatchResult:
     input_rows: int
     matched_rows: int
     quarantined_rows: int
+    duplicates_dropped: int = 0
 
 
 def load_batch(
@@ -67,8 +69,11 @@ def load_enriched(
     try:
         wh.write("quarantine", X.quarantined_rows(enriched).withColumn("batch_id", F.lit(batch_id)))
         matched = X.matched_rows(enriched)
+        dropped = 0
         if dedup_keys:
-            matched = X.dedup_lines(matched, dedup_keys)
+            before = matched.count()
+            matched = X.dedup_lines(matched, dedup_keys).persist()
+            dropped = before - matched.count()
         if "_pos" in matched.columns:
             matched = matched.drop("_pos")
         dims = D.upsert_all(wh, matched, batch_id, products, customers)
@@ -77,7 +82,11 @@ def load_enriched(
     finally:
         enriched.unpersist()
     fs_write_text(wh.spark, f"{wh.path('_batches')}/{batch_id}", f"{batch_id}\n")
-    return BatchResult(batch_id, int(m["input_rows"]), int(m["matched_rows"]), int(m["quarantined_rows"]))
+    if dedup_keys:
+        matched.unpersist()
+    return BatchResult(
+        batch_id, int(m["input_rows"]), int(m["matched_rows"]) - dropped, int(m["quarantined_rows"]), dropped
+    )
 
 
 def ingest_metrics(enriched: DataFrame) -> DataFrame:
