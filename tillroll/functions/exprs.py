@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 
 from tillroll.schemas import MONEY
 
+# Output labels of the analytics.
+WEEKEND, WEEKDAY = "Weekend", "Weekday"
+SPRING, SUMMER, FALL, WINTER = "Spring", "Summer", "Fall", "Winter"
+
 
 def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -20,24 +24,24 @@ def col(c: str | Column) -> Column:
 
 def day_type(date: str | Column) -> Column:
     """'Weekend' for Sunday (1) and Saturday (7) under Spark's dayofweek."""
-    return F.when(F.dayofweek(col(date)).isin(1, 7), F.lit("Weekend")).otherwise(F.lit("Weekday"))
+    return F.when(F.dayofweek(col(date)).isin(1, 7), F.lit(WEEKEND)).otherwise(F.lit(WEEKDAY))
 
 
 def season(month: str | Column) -> Column:
     """Meteorological season; no ELSE branch, so a bad month gives NULL."""
     m = col(month)
     return (
-        F.when(m.isin(3, 4, 5), F.lit("Spring"))
-        .when(m.isin(6, 7, 8), F.lit("Summer"))
-        .when(m.isin(9, 10, 11), F.lit("Fall"))
-        .when(m.isin(12, 1, 2), F.lit("Winter"))
+        F.when(m.isin(3, 4, 5), F.lit(SPRING))
+        .when(m.isin(6, 7, 8), F.lit(SUMMER))
+        .when(m.isin(9, 10, 11), F.lit(FALL))
+        .when(m.isin(12, 1, 2), F.lit(WINTER))
     )
 
 
 def season_rank(season_col: str | Column) -> Column:
     s = col(season_col)
     return (
-        F.when(s == "Spring", 1).when(s == "Summer", 2).when(s == "Fall", 3).when(s == "Winter", 4)
+        F.when(s == SPRING, 1).when(s == SUMMER, 2).when(s == FALL, 3).when(s == WINTER, 4)
     )
 
 

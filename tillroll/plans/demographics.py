@@ -15,6 +15,7 @@ from tillroll.plans.common import dates, fact, money
 from tillroll.plans.topn import category_by_customer
 from tillroll.warehouse import Star
 
+# Fixed value: the label shown for a missing customer attribute.
 UNKNOWN = "Unknown"
 
 
