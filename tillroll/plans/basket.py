@@ -26,7 +26,8 @@ everything; when a larger order exists the plan prunes first, exactly:
    the other, so an order emits (its leaders) x (its survivors) pairs: a huge
    order with few leaders costs time linear in its size, whether its counts
    are dominated by a few products or all tiny and equal.
-5. Count those pairs over all orders (exact counts) and take the top n.
+5. Count those pairs over all orders (exact counts) and take the top n; ids
+   are joined only onto pairs whose count reaches the n-th largest count.
 
 The answer is exact; the pruning only removes pairs that provably lose.
 """
@@ -86,13 +87,25 @@ def _ranked(df: DataFrame) -> DataFrame:
     return df.orderBy(F.col("times_bought_together").desc(), "product_a", "product_b")
 
 
+def _top_named(counts: DataFrame, ids: DataFrame, n: int) -> DataFrame:
+    """Top n pairs by (count desc, ids).  Only pairs whose count reaches the
+    n-th largest count can be in it, so that count is found first (a top-n of
+    numbers) and only those pairs -- ties included -- get their ids joined,
+    instead of joining ids onto every pair."""
+    counts = counts.persist()
+    top = counts.select("times_bought_together").orderBy(F.col("times_bought_together").desc()).limit(n).collect()
+    if len(top) == n:
+        counts = counts.where(F.col("times_bought_together") >= F.lit(top[-1][0]))
+    return _ranked(_named(counts, ids)).limit(n)
+
+
 def q16_basket_pairs(star: Star, n: int = 5, seed: int = 64, max_basket: int = 256) -> DataFrame:
     ids = star.product_dim.select("product_sk", "product_id")
     lines = basket_lines(star).persist()
     orders = lines.groupBy("order_id").agg(F.count(F.lit(1)).alias("_d"), F.max("m").alias("_M"))
     biggest = orders.orderBy(F.col("_d").desc(), "order_id").limit(1).collect()  # one row
     if not biggest or biggest[0]["_d"] <= max_basket:  # every order pairs <= max_basket^2/2 products
-        return _ranked(_named(pair_counts(lines), ids)).limit(n)
+        return _top_named(pair_counts(lines), ids, n)
 
     support = (
         lines.join(orders, "order_id")
@@ -111,12 +124,12 @@ def q16_basket_pairs(star: Star, n: int = 5, seed: int = 64, max_basket: int = 2
     seed_lines = lines.join(F.broadcast(top.union(own).distinct()), "product_sk")
     best = _ranked(_named(pair_counts(seed_lines), ids)).limit(n).collect()  # at most n rows
     if len(best) < n:  # only when max_basket < n (the seed then may hold < n pairs)
-        return _ranked(_named(pair_counts(lines), ids)).limit(n)
+        return _top_named(pair_counts(lines), ids, n)
     t, x = best[-1]["times_bought_together"], best[-1]["product_a"]
     leader = (F.col("u") > F.lit(t)) | ((F.col("u") == F.lit(t)) & (F.col("product_id") <= F.lit(x)))
     marks = support.where(F.col("u") >= F.lit(t)).select("product_sk", leader.alias("leader"))
     survivors = lines.join(marks, "product_sk")
-    return _ranked(_named(led_pair_counts(survivors), ids)).limit(n)
+    return _top_named(led_pair_counts(survivors), ids, n)
 
 
 def _ranked_support(support: DataFrame) -> DataFrame:
