@@ -93,3 +93,30 @@ def rollup_aggs() -> list[Column]:
         F.sum("_qty").cast("bigint").alias("_qty"),
         F.sum("_n").cast("bigint").alias("_n"),
     ]
+
+
+def by_customer(
+    rows: DataFrame, customers: DataFrame, keys: list[str], measures: list[tuple[str, str | None]]
+) -> DataFrame:
+    """Aggregate fact-side ``rows`` (with ``customer_sk``) by ``keys`` plus the
+    attributes in ``customers``.  ``measures`` are (name, column) sums, or
+    (name, None) row counts.
+
+    A broadcastable customer dimension joins in the scan stage and one
+    aggregation follows.  A bigger one would make the join a shuffle of every
+    line, so the rows are first aggregated per (customer, keys) -- sums and
+    counts re-aggregate exactly -- and only that is shuffled to the join.
+    """
+    attrs = [c for c in customers.columns if c != "customer_sk"]
+
+    def agg(col: str | None, name: str) -> Column:
+        return (F.count(F.lit(1)) if col is None else F.sum(col)).alias(name)
+
+    if broadcastable(customers):
+        return rows.join(customers, "customer_sk").groupBy(*keys, *attrs).agg(*[agg(c, n) for n, c in measures])
+    partial = rows.groupBy("customer_sk", *keys).agg(*[agg(c, n) for n, c in measures])
+    return (
+        partial.join(customers, "customer_sk")
+        .groupBy(*keys, *attrs)
+        .agg(*[F.sum(n).alias(n) for n, _ in measures])
+    )

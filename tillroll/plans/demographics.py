@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.exprs import mean
-from tillroll.plans.common import dates, fact, money
+from tillroll.plans.common import by_customer, dates, fact, money
 from tillroll.plans.topn import category_by_customer
 from tillroll.warehouse import Star
 
@@ -57,18 +57,14 @@ def q3_category_occupation(star: Star) -> DataFrame:
 
 
 def q4_gender_age_quarter(star: Star, year: int = 2019) -> DataFrame:
-    f = fact(star, "customer_sk", "date_sk", "total_price", "quantity", year=year)
-    per_customer = (
-        f.join(dates(star, "quarter", year=year), "date_sk")
-        .groupBy("customer_sk", "quarter")
-        .agg(F.sum("total_price").alias("_rev"), F.sum("quantity").cast("bigint").alias("_qty"))
+    rows = fact(star, "customer_sk", "date_sk", "total_price", "quantity", year=year).join(
+        dates(star, "quarter", year=year), "date_sk"
     )
+    customers = star.customer_dim.select("customer_sk", "gender", "age_group")
     return (
-        per_customer.join(star.customer_dim.select("customer_sk", "gender", "age_group"), "customer_sk")
-        .groupBy("gender", "age_group", "quarter")
-        .agg(F.sum("_rev").alias("_rev"), F.sum("_qty").cast("bigint").alias("quantity"))
+        by_customer(rows, customers, ["quarter"], [("_rev", "total_price"), ("_qty", "quantity")])
         .select(_unknown("gender"), _unknown("age_group"), F.col("quarter").cast("int").alias("quarter"),
-                money("_rev", "revenue"), "quantity")
+                money("_rev", "revenue"), F.col("_qty").cast("bigint").alias("quantity"))
         .orderBy("quarter", "gender", "age_group")
     )
 
@@ -108,34 +104,26 @@ def q6_city_marital_recent(star: Star, months: int = 6) -> DataFrame:
 
 def q7_avg_purchase(star: Star) -> DataFrame:
     """Mean line value by stay length (grouped after COALESCE) and gender (raw)."""
-    per_customer = fact(star, "customer_sk", "total_price").groupBy("customer_sk").agg(
-        F.sum("total_price").alias("_rev"), F.count(F.lit(1)).alias("_n")
-    )
-    c = star.customer_dim.select(
+    customers = star.customer_dim.select(
         "customer_sk",
         F.coalesce(F.col("stay_in_current_city_years"), F.lit(UNKNOWN)).alias("stay_years"),
         "gender",
     )
+    rows = fact(star, "customer_sk", "total_price")
     return (
-        per_customer.join(c, "customer_sk")
-        .groupBy("stay_years", "gender")
-        .agg(F.sum("_rev").alias("_rev"), F.sum("_n").alias("_n"))
+        by_customer(rows, customers, [], [("_rev", "total_price"), ("_n", None)])
         .select("stay_years", _unknown("gender"), mean("_rev", "_n").alias("avg_purchase_amount"))
         .orderBy("stay_years", "gender")
     )
 
 
 def q10_age_daytype(star: Star, year: int = 2020) -> DataFrame:
-    f = fact(star, "customer_sk", "date_sk", "total_price", year=year)
-    per_customer = (
-        f.join(dates(star, "day_type", year=year), "date_sk")
-        .groupBy("customer_sk", "day_type")
-        .agg(F.sum("total_price").alias("_rev"))
+    rows = fact(star, "customer_sk", "date_sk", "total_price", year=year).join(
+        dates(star, "day_type", year=year), "date_sk"
     )
+    customers = star.customer_dim.select("customer_sk", "age_group")
     return (
-        per_customer.join(star.customer_dim.select("customer_sk", "age_group"), "customer_sk")
-        .groupBy("age_group", "day_type")
-        .agg(F.sum("_rev").alias("_rev"))
+        by_customer(rows, customers, ["day_type"], [("_rev", "total_price")])
         .select("age_group", "day_type", money("_rev", "total_revenue"))
         .orderBy("age_group", "day_type")
     )
