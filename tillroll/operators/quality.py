@@ -26,9 +26,13 @@ def _dup_rows(df: DataFrame, key: str) -> DataFrame:
 
 
 def _orphans(fact: DataFrame, dim: DataFrame, sk: str) -> DataFrame:
+    """Fact rows whose key is missing from the dimension.  Rows are counted
+    per key first (partial aggregation), so the anti join sees one row per
+    distinct key -- dimension-sized -- instead of every fact row."""
+    per_key = fact.where(F.col(sk).isNotNull()).groupBy(sk).agg(F.count(F.lit(1)).alias("_n"))
     return (
-        fact.select(sk).where(F.col(sk).isNotNull()).join(dim.select(sk), sk, "left_anti")
-        .agg(F.count(F.lit(1)).cast("bigint").alias("violations"))
+        per_key.join(dim.select(sk), sk, "left_anti")
+        .agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("violations"))
     )
 
 
