@@ -123,7 +123,8 @@ def main(argv: list[str] | None = None) -> None:
     load.add_argument("--master-format", default="csv")
     load.add_argument("--stream", action="store_true", help="availableNow stream in bounded batches")
     load.add_argument("--max-bytes", type=int, default=64 << 30)
-    load.add_argument("--batch-id", type=int)
+    load.add_argument("--batch-id", type=int,
+                      help="default: one past the last loaded batch; give the last batch's id to redo it")
     load.add_argument("--dedup", help="opt-in: keep the first line per these comma-separated keys")
 
     for name, help_ in (("query", "run a named analytic"), ("sql", "run SQL on the star views")):

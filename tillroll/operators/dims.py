@@ -111,7 +111,9 @@ def upsert_dimension(
 ) -> DataFrame:
     """Insert-if-absent for one batch.
 
-    Returns the key map (natural key, surrogate key) of this batch's members
+    Batches are loaded in increasing ``batch_id`` order, and a replay repeats
+    the latest one (as Structured Streaming does); the key numbering relies on
+    it.  Returns the key map (natural key, surrogate key) of this batch's members
     only -- read back from storage, so it holds exactly the written keys --
     which keeps the fact's key lookups batch-sized.
     """
