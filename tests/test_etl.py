@@ -179,3 +179,16 @@ def test_keep_last_across_files_and_parquet(spark, tmp_path):
     spark.read.option("header", True).csv(str(d / "part-1.csv")).write.parquet(str(pq / "b"))
     rows = {r.product_id: r for r in read_product_master(spark, str(pq / "*"), fmt="parquet").collect()}
     assert rows["p1"].product_category == "New" and len(rows) == 2
+
+
+def test_batches_cannot_go_backwards(spark, wh):
+    import pytest
+
+    pm = spark.createDataFrame([product("p1")], PRODUCT_MASTER)
+    cm = spark.createDataFrame([customer("c1")], CUSTOMER_MASTER)
+    t = spark.createDataFrame([tx("o1", "c1", "p1", 1, "2020-01-01")], TRANSACTIONS)
+    load_batch(wh, t, pm, cm, 3)
+    load_batch(wh, t, pm, cm, 3)  # the latest may run again
+    assert wh.committed_batches() == [3]
+    with pytest.raises(ValueError):
+        load_batch(wh, t, pm, cm, 2)

@@ -64,6 +64,12 @@ def load_enriched(
     Each table overwrites only partition ``batch_id``, so running the same
     batch again (a replayed micro-batch, a retried job) gives the same tables.
     """
+    committed = wh.committed_batches()
+    if committed and batch_id < committed[-1]:
+        raise ValueError(
+            f"batch {batch_id} is older than the last committed batch {committed[-1]}: batches load in "
+            "increasing order, and only the latest may be run again"
+        )
     keep = BATCH_COLUMNS + (["_pos"] if "_pos" in enriched.columns else [])
     enriched = enriched.select(*keep).persist()
     try:

@@ -116,8 +116,11 @@ class Warehouse:
         return Star(r("customer_dim"), r("product_dim"), r("store_dim"), r("supplier_dim"), r("date_dim"), r("sales_fact"))
 
     def committed_batches(self) -> list[int]:
-        marker = self.path("_batches")
-        if not fs_exists(self.spark, marker):
+        """Batch ids with a commit marker, from the directory listing."""
+        jvm = self.spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self.path("_batches"))
+        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(p):
             return []
-        rows = self.spark.read.text(marker).collect()  # one short line per batch
-        return sorted({int(r.value) for r in rows if r.value.strip()})
+        names = [st.getPath().getName() for st in fs.listStatus(p)]
+        return sorted(int(n) for n in names if n.isdigit())
