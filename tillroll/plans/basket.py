@@ -100,6 +100,12 @@ def _top_named(counts: DataFrame, ids: DataFrame, n: int) -> DataFrame:
 
 
 def q16_basket_pairs(star: Star, n: int = 5, seed: int = 64, max_basket: int = 256) -> DataFrame:
+    """Top-n product pairs (see the module notes).
+
+    The basket lines and pair counts are persisted because several steps read
+    them; the returned DataFrame still depends on them, so they stay cached
+    until ``spark.catalog.clearCache()`` (or the session ends).
+    """
     ids = star.product_dim.select("product_sk", "product_id")
     lines = basket_lines(star).persist()
     orders = lines.groupBy("order_id").agg(F.count(F.lit(1)).alias("_d"), F.max("m").alias("_M"))
