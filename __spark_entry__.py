@@ -26,6 +26,13 @@ from tillroll.plans import basket, demographics, growth, rollup, spikes, topn, v
 from tillroll.sources import testdata
 from tillroll.sources.masters import keep_first, keep_last
 
+try:
+    from tillroll.llm import queries as corpus
+except ModuleNotFoundError as e:  # the subpackage is optional
+    if not (e.name or "").startswith("tillroll.llm"):
+        raise
+    corpus = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 Y = O.YEARS
 
@@ -189,8 +196,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q19_spikes": _analytic(spikes.q19_spikes),
         "q19_spike_flags": _analytic(spikes.q19_spike_flags),
         "q20_store_quarterly_view": _analytic(views.q20_store_quarterly_view),
+        **(corpus.QUERIES if corpus else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**O.etl_operators(cutover=CUTOVER), **O.analytics()}
+    return {**O.etl_operators(cutover=CUTOVER), **O.analytics(), **(corpus.ORACLE if corpus else {})}
