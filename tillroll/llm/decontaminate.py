@@ -142,6 +142,13 @@ def contamination(
     return _report(df, keep)
 
 
+def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    """Rows of ``docs`` (all columns) without a benchmark window."""
+    wrapped = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(text_col).alias("_t"))
+    found = contamination(wrapped, benchmark, ["_doc"], "_t", **options)
+    return found.filter(~F.col("contaminated")).select("_doc.*")
+
+
 def _pass(df: DataFrame, shared, window: int, first: bool) -> DataFrame:
     def make():
         key, block = shared.value

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embedding_dedup, line_dedup, secret_scan, simhash, token_counts, toxicity, warc
+from . import chat_repair, decontaminate, embedding_dedup, lattice_sampling, line_dedup, secret_scan, simhash, token_counts, toxicity, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op3_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages"))
 
 
+def op4_gumbel_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_sampling.encode(table(spark, sf_dir, "documents"), with_pieces=False)
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -47,15 +51,28 @@ def op9_pstable_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op10_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_repair.repair(table(spark, sf_dir, "conversations"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_ownership": op1_secret_ownership,
     "op2_toxicity_cnn": op2_toxicity_cnn,
     "op3_seekable_warc": op3_seekable_warc,
+    "op4_gumbel_topk": op4_gumbel_topk,
     "op5_decontamination": op5_decontamination,
     "op6_line_dedup": op6_line_dedup,
     "op7_longest_match_counts": op7_longest_match_counts,
     "op8_simhash_multi_index": op8_simhash_multi_index,
     "op9_pstable_embeddings": op9_pstable_embeddings,
+    "op10_role_repair": op10_role_repair,
+    "pipeline": pipeline,
 }
 
 ORACLE: dict[str, str] = {}

@@ -20,7 +20,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import append_arrow, block_pairs, by_unit, grouped, map_arrow, spanning_edges, staged, utf8_list
@@ -133,3 +133,17 @@ def near_duplicates(
     by_fp = classes.join(linked, "fp", "left").select("fp", F.coalesce("lowest", "low").alias("component_id"))
     out = sig.join(by_fp, "fp")
     return out.select(F.col("_id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """Rows of ``docs`` (all columns) that name their component; of rows repeating an id, one.
+
+    Rows with a null id stay only in components that no id names.
+    """
+    near = near_duplicates(docs, id_col, text_col, **options)
+    names = near.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_id"), "fingerprint").distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(id_col).alias("_key"))
+    kept = rows.join(names.select("_id").distinct(), F.col("_key").eqNullSafe(F.col("_id")), "left_semi")
+    first = Window.partitionBy("_key").orderBy(F.col(f"_doc.`{text_col}`").asc_nulls_last())
+    one = kept.filter(F.col("_key").isNotNull()).withColumn("_n", F.row_number().over(first)).filter("_n = 1")
+    return one.select("_doc.*").unionByName(kept.filter(F.col("_key").isNull()).select("_doc.*"))
