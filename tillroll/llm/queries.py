@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import chat_repair, decontaminate, embedding_dedup, lattice_sampling, line_dedup, secret_scan, simhash, token_counts, toxicity, warc
 from .common import table
+from .oracle import ORACLE  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,6 +76,4 @@ QUERIES: dict[str, Query] = {
     "pipeline": pipeline,
 }
 
-ORACLE: dict[str, str] = {}
-
 
