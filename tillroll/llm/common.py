@@ -151,14 +151,17 @@ def block_pairs(members: DataFrame, key: list[str], block: int, salt: str) -> Da
     into blocks by a hash of ``salt`` and each pair of blocks is a unit of its
     own, so any two members meet in some unit and no task holds a hot key.
     Adds ``_unit`` (a hash of key and block pair; units that happen to collide
-    are merely compared together) .
+    are merely compared together), ``_own`` (the row's block) and ``_cross``
+    (the unit is of two different blocks; pairs within one of them meet in
+    that block's own unit).
     """
     sizes = members.groupBy(*key).count().filter("count > 1").withColumnRenamed("count", "_n")
     m = members.join(sizes, key)
     blocks = F.ceil(F.col("_n") / F.lit(block)).cast("int")
     own = F.pmod(F.xxhash64(F.lit("block"), F.col(salt)), blocks.cast("bigint")).cast("int")
     m = m.withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    return m.withColumn("_unit", F.xxhash64(*key, F.least("_own", "_other"), F.greatest("_own", "_other"))).drop("_n", "_other")
+    m = m.withColumn("_unit", F.xxhash64(*key, F.least("_own", "_other"), F.greatest("_own", "_other")))
+    return m.withColumn("_cross", F.col("_own") != F.col("_other")).drop("_n", "_other")
 
 
 def by_unit(df: DataFrame) -> DataFrame:

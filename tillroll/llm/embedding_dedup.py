@@ -140,11 +140,12 @@ def _verify(min_cosine: float):
             x = np.stack([np.frombuffer(b.as_py().ljust(size, b"\0"), np.float64) for b in t.column("_unit_vec")])
             near = x @ x.T >= min_cosine
             table, bucket, own = (t.column(c).to_numpy() for c in ("t", "bucket", "_own"))
-            label = t.column("_label").to_numpy(zero_copy_only=False) if t.num_rows else None
+            label = t.column("_label").to_numpy(zero_copy_only=False)
             for same in (bucket, table, label, dims):
                 near &= same[:, None] == same[None, :]
-            if (own != own[0]).any():  # a pair of blocks: pairs within a block are met elsewhere
-                near &= own[:, None] != own[None, :]
+            cross = t.column("_cross").to_numpy(zero_copy_only=False)
+            near &= cross[:, None] == cross[None, :]
+            near &= ~cross[:, None] | (own[:, None] != own[None, :])
             np.fill_diagonal(near, False)
             i, j = np.nonzero(np.triu(near))
             if not len(i):

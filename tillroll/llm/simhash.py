@@ -140,10 +140,18 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
 
     Rows with a null id stay only in components that no id names.
     """
-    near = near_duplicates(docs, id_col, text_col, **options)
-    names = near.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_id"), "fingerprint").distinct()
-    rows = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(id_col).alias("_key"))
-    kept = rows.join(names.select("_id").distinct(), F.col("_key").eqNullSafe(F.col("_id")), "left_semi")
-    first = Window.partitionBy("_key").orderBy(F.col(f"_doc.`{text_col}`").asc_nulls_last())
-    one = kept.filter(F.col("_key").isNotNull()).withColumn("_n", F.row_number().over(first)).filter("_n = 1")
-    return one.select("_doc.*").unionByName(kept.filter(F.col("_key").isNull()).select("_doc.*"))
+    near = staged(near_duplicates(docs, id_col, text_col, **options), "near")
+    names = near.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_id")).distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(id_col).alias("_key"), F.col(text_col).alias("_text"))
+    kept = rows.join(names, rows["_key"] == names["_id"], "left_semi")
+    first = Window.partitionBy("_key").orderBy(F.col("_text").asc_nulls_last())
+    one = kept.withColumn("_n", F.row_number().over(first)).filter("_n = 1").select("_doc.*")
+    if not near.filter(F.col(id_col).isNull()).head(1):
+        return one
+    # documents without an id are told apart by their fingerprint
+    shingle = options.get("shingle", SHINGLE)
+    alone = near.filter("component_id is null").select(F.col("fingerprint").alias("_f")).distinct()
+    bare = rows.filter(F.col("_key").isNull())
+    sig = signatures(bare.select("_doc", "_text"), "_doc", "_text", shingle)
+    sig = sig.withColumn("_f", F.lpad(F.lower(F.hex("fp")), 16, "0"))
+    return one.unionByName(sig.join(alone, "_f", "left_semi").select("_doc.*"))
