@@ -57,7 +57,7 @@ def test_basket_pairs_count_row_pairs(load):
          tx("o1", "c1", "B", 1, "2020-01-01"), tx("o2", "c1", "B", 1, "2020-01-01"),
          tx("o2", "c1", "C", 1, "2020-01-01")],
     )
-    got = [tuple(r) for r in basket.q16_basket_pairs(star, n=5, seed=1, max_basket=1).collect()]
+    got = [tuple(r) for r in basket.q16_basket_pairs(star, n=5, seed=1, block=1).collect()]
     assert got == [("A", "B", 2), ("B", "C", 1)]
 
 
@@ -65,7 +65,7 @@ def test_basket_pruning_is_exact_on_test_data(spark):
     from tillroll.etl import testdata_star
 
     star = testdata_star(spark, "/root/testdata/sf0.001")
-    pruned = [tuple(r) for r in basket.q16_basket_pairs(star, n=5, seed=8, max_basket=2).collect()]
+    pruned = [tuple(r) for r in basket.q16_basket_pairs(star, n=5, seed=8, block=2).collect()]
     full = (basket.pair_counts(basket.basket_lines(star))
             .join(star.product_dim.selectExpr("product_sk as sk_a", "product_id as a"), "sk_a")
             .join(star.product_dim.selectExpr("product_sk as sk_b", "product_id as b"), "sk_b")
@@ -144,7 +144,7 @@ def test_basket_hot_order_prunes_to_dominant_products(load):
     rows += [tx("big", "c1", i, 1, "2020-01-01") for i in items]
     rows += [tx("o2", "c1", "A", 1, "2020-01-02"), tx("o2", "c1", "x00", 1, "2020-01-02")]
     star = load([product(p) for p in ["A", "B", *items]], [customer("c1")], rows)
-    got = [tuple(r) for r in basket.q16_basket_pairs(star, n=3, seed=4, max_basket=2).collect()]
+    got = [tuple(r) for r in basket.q16_basket_pairs(star, n=3, seed=4, block=2).collect()]
     assert got == [("A", "B", 25), ("A", "x00", 6), ("A", "x01", 5)]
 
 
@@ -158,7 +158,7 @@ def test_basket_flat_giant_order_matches_brute_force(load, spark):
     rows += [tx("s1", "c1", "g17", 1, "2020-01-02"), tx("s1", "c1", "g25", 1, "2020-01-02"),
              tx("s2", "c1", "g03", 1, "2020-01-02"), tx("s2", "c1", "z9", 1, "2020-01-02")]
     star = load([product(p) for p in [*items, "z9"]], [customer("c1")], rows)
-    got = [tuple(r) for r in basket.q16_basket_pairs(star, n=5, seed=2, max_basket=3).collect()]
+    got = [tuple(r) for r in basket.q16_basket_pairs(star, n=5, seed=2, block=3).collect()]
     brute = (basket.pair_counts(basket.basket_lines(star))
              .join(star.product_dim.selectExpr("product_sk as sk_a", "product_id as a"), "sk_a")
              .join(star.product_dim.selectExpr("product_sk as sk_b", "product_id as b"), "sk_b")
@@ -185,7 +185,7 @@ def test_basket_pruning_random_against_brute_force(load):
             for i in rng.sample(prods[:12], rng.randint(2, 4)):
                 rows += [tx(f"o{o}", "c1", i, 1, "2020-01-02")] * rng.choice([1, 1, 2])
         star = load([product(p) for p in prods], [customer("c1")], rows, batch_id=trial)
-        got = [tuple(r) for r in basket.q16_basket_pairs(star, n=5, seed=3, max_basket=5).collect()]
+        got = [tuple(r) for r in basket.q16_basket_pairs(star, n=5, seed=3, block=5).collect()]
         brute = (basket.pair_counts(basket.basket_lines(star))
                  .join(star.product_dim.selectExpr("product_sk as sk_a", "product_id as a"), "sk_a")
                  .join(star.product_dim.selectExpr("product_sk as sk_b", "product_id as b"), "sk_b")

@@ -46,8 +46,9 @@ def season_rank(season_col: str | Column) -> Column:
 
 
 def line_total(quantity: str | Column, price: str | Column) -> Column:
-    """quantity x price in exact decimals, stored as DECIMAL(10,2)."""
-    return (col(quantity).cast("decimal(10,0)") * col(price).cast(MONEY)).cast(MONEY)
+    """quantity x price in exact decimals, stored as DECIMAL(10,2); NULL if it doesn't fit."""
+    exact = col(quantity).cast("decimal(10,0)") * col(price).cast(MONEY)
+    return exact.try_cast(MONEY)
 
 
 def as_double(c: str | Column) -> Column:
@@ -78,10 +79,8 @@ def mean(total: str | Column, n: str | Column) -> Column:
 
 
 def format_cents(c: str | Column) -> Column:
-    """Integer cents as text with two decimals: 123456 -> '1234.56'."""
-    v = col(c)
-    return F.concat(
-        (v / 100).cast("bigint").cast("string"),
-        F.lit("."),
-        F.lpad((v % 100).cast("string"), 2, "0"),
-    )
+    """Integer cents as text with two decimals: 123456 -> '1234.56', -5 -> '-0.05'."""
+    v = col(c).cast("bigint")
+    whole = F.call_function("div", F.abs(v), F.lit(100).cast("bigint"))
+    sign = F.when(v < 0, F.lit("-")).otherwise(F.lit(""))
+    return F.concat(sign, whole.cast("string"), F.lit("."), F.lpad((F.abs(v) % 100).cast("string"), 2, "0"))

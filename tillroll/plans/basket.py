@@ -3,33 +3,24 @@
 The reference counts *row* pairs: two lines of products a and b in one order
 (a's key below b's) count once each, so a product on two lines of an order
 counts twice.  With ``m_a(o)`` lines of a in order o the count is
-``C(a, b) = sum_o m_a(o) * m_b(o)``.  Pairs rank by the key
+``C(a, b) = sum_o m_a(o) * m_b(o)``.  Pairs rank by
 ``(C desc, product_a, product_b)`` (ids as text; the reference leaves ties open).
 
-Enumerating every pair inside every order is quadratic in the order size.
-Orders of at most ``max_basket`` distinct products are small enough to pair
-everything; when a larger order exists the plan prunes first, exactly:
-
-1. Collapse the fact to basket lines ``(order, product, m)`` (partial
-   aggregation; a huge order is spread over the product hash).
-2. Bound every product: with ``M(o)`` the largest multiplicity inside order
-   o, ``C(a, b) = sum_o m_a(o) m_b(o) <= sum_o m_a(o) M(o) = u(a)``.
-3. Take the ``seed`` products of largest ``u`` (a bounded top-k), count the
-   pairs among them only -- at most ``seed^2/2`` pairs per order whatever its
-   size -- and let ``K = (T, x, y)`` be the n-th best key found.  The final
-   n-th key is at least as good as K.
-4. A pair can only beat K if its count exceeds T, or equals T with a smaller
-   id pair, i.e. with its smaller id at most x.  So products with ``u < T``
-   are dropped; products with ``u > T``, or ``u = T`` and id <= x, are
-   *leaders*; the remaining survivors (``u = T``, id > x) can only win paired
-   with a leader.  The pair join takes leaders on one side and survivors on
-   the other, so an order emits (its leaders) x (its survivors) pairs: a huge
-   order with few leaders costs time linear in its size, whether its counts
-   are dominated by a few products or all tiny and equal.
-5. Count those pairs over all orders (exact counts) and take the top n; ids
-   are joined only onto pairs whose count reaches the n-th largest count.
-
-The answer is exact; the pruning only removes pairs that provably lose.
+One way at every size:
+
+1. The fact is collapsed to basket lines ``(order, product, m)``.
+2. A product's pairs count at most ``u(a) = sum_o m_a(o) M(o)``, with ``M(o)``
+   the largest ``m`` in order o.  The ``SEED`` products of largest ``u`` are
+   paired among themselves; their n-th best count ``T`` is a lower bound of the
+   final n-th count, so products with ``u < T`` can be in no answer and go.
+3. Orders are cut into blocks of about ``BLOCK`` products, and the pair join
+   runs on (order, block, block): the pairs of one large order are made by as
+   many tasks as it has pairs of blocks.
+4. Pairs are counted with partial aggregation; ids are joined onto pairs that
+   reach the n-th largest count.
+
+Nothing is cached: what is collected is ``SEED`` products and ``n`` counts, and
+a later call reads the tables as they are then.
 """
 
 from __future__ import annotations
@@ -40,103 +31,61 @@ from pyspark.sql import functions as F
 from tillroll.plans.common import fact
 from tillroll.warehouse import Star
 
+SEED = 64
+BLOCK = 128
+
 
 def basket_lines(star: Star) -> DataFrame:
     return fact(star, "order_id", "product_sk").groupBy("order_id", "product_sk").agg(F.count(F.lit(1)).alias("m"))
 
 
-def pair_counts(lines: DataFrame) -> DataFrame:
-    """C(a, b) for every pair of product keys a < b sharing an order."""
-    a = lines.select("order_id", F.col("product_sk").alias("sk_a"), F.col("m").alias("m_a"))
-    b = lines.select("order_id", F.col("product_sk").alias("sk_b"), F.col("m").alias("m_b"))
-    return (
-        a.join(b, "order_id")
-        .where(F.col("sk_a") < F.col("sk_b"))
-        .groupBy("sk_a", "sk_b")
-        .agg(F.sum(F.col("m_a") * F.col("m_b")).alias("times_bought_together"))
-    )
+def product_bounds(lines: DataFrame) -> DataFrame:
+    """(product_sk, u): no pair of the product counts more than u."""
+    orders = lines.groupBy("order_id").agg(F.max("m").alias("_M"))
+    return lines.join(orders, "order_id").groupBy("product_sk").agg(F.sum(F.col("m") * F.col("_M")).alias("u"))
 
 
-def led_pair_counts(lines: DataFrame) -> DataFrame:
-    """C(a, b) for pairs with at least one leader (``lines.leader``), each once."""
-    a = lines.where(F.col("leader")).select(
-        "order_id", F.col("product_sk").alias("sk_1"), F.col("m").alias("m_1")
+def pair_counts(lines: DataFrame, block: int = BLOCK) -> DataFrame:
+    """C(a, b) for every pair of product keys a < b sharing an order."""
+    sizes = lines.groupBy("order_id").agg(F.count(F.lit(1)).alias("_d")).where("_d > 1")
+    blocks = F.ceil(F.col("_d") / F.lit(block)).cast("int")
+    own = F.pmod(F.xxhash64("product_sk"), blocks.cast("bigint")).cast("int")
+    cut = lines.join(sizes, "order_id").select("order_id", "product_sk", "m", blocks.alias("_blocks"), own.alias("_own"))
+    a = cut.select(
+        "order_id", F.col("_own").alias("i"), F.explode(F.sequence("_own", F.col("_blocks") - 1)).alias("j"),
+        F.col("product_sk").alias("sk_1"), F.col("m").alias("m_1"),
+    )
+    b = cut.select(
+        "order_id", F.explode(F.sequence(F.lit(0), "_own")).alias("i"), F.col("_own").alias("j"),
+        F.col("product_sk").alias("sk_2"), F.col("m").alias("m_2"),
     )
-    b = lines.select("order_id", F.col("product_sk").alias("sk_2"), F.col("m").alias("m_2"), F.col("leader").alias("l_2"))
     return (
-        a.join(b, "order_id")
-        .where((F.col("sk_1") != F.col("sk_2")) & (~F.col("l_2") | (F.col("sk_1") < F.col("sk_2"))))
+        a.join(b, ["order_id", "i", "j"])
+        .where((F.col("i") < F.col("j")) | (F.col("sk_1") < F.col("sk_2")))
         .groupBy(F.least("sk_1", "sk_2").alias("sk_a"), F.greatest("sk_1", "sk_2").alias("sk_b"))
         .agg(F.sum(F.col("m_1") * F.col("m_2")).alias("times_bought_together"))
     )
 
 
-def _named(pairs: DataFrame, ids: DataFrame) -> DataFrame:
-    return (
-        pairs.join(ids.select(F.col("product_sk").alias("sk_a"), F.col("product_id").alias("id_a")), "sk_a")
-        .join(ids.select(F.col("product_sk").alias("sk_b"), F.col("product_id").alias("id_b")), "sk_b")
-        .select(
-            F.least("id_a", "id_b").alias("product_a"),
-            F.greatest("id_a", "id_b").alias("product_b"),
-            "times_bought_together",
-        )
-    )
-
-
-def _ranked(df: DataFrame) -> DataFrame:
-    return df.orderBy(F.col("times_bought_together").desc(), "product_a", "product_b")
-
-
-def _top_named(counts: DataFrame, ids: DataFrame, n: int) -> DataFrame:
-    """Top n pairs by (count desc, ids).  Only pairs whose count reaches the
-    n-th largest count can be in it, so that count is found first (a top-n of
-    numbers) and only those pairs -- ties included -- get their ids joined,
-    instead of joining ids onto every pair."""
-    counts = counts.persist()
+def _nth_count(counts: DataFrame, n: int) -> int:
+    """The n-th largest count, 0 if there are fewer pairs."""
     top = counts.select("times_bought_together").orderBy(F.col("times_bought_together").desc()).limit(n).collect()
-    if len(top) == n:
-        counts = counts.where(F.col("times_bought_together") >= F.lit(top[-1][0]))
-    return _ranked(_named(counts, ids)).limit(n)
+    return int(top[-1][0]) if len(top) == n else 0
 
 
-def q16_basket_pairs(star: Star, n: int = 5, seed: int = 64, max_basket: int = 256) -> DataFrame:
-    """Top-n product pairs (see the module notes).
-
-    The basket lines and pair counts are persisted because several steps read
-    them; the returned DataFrame still depends on them, so they stay cached
-    until ``spark.catalog.clearCache()`` (or the session ends).
-    """
+def q16_basket_pairs(star: Star, n: int = 5, seed: int = SEED, block: int = BLOCK) -> DataFrame:
+    """Top-n product pairs (see the module notes)."""
     ids = star.product_dim.select("product_sk", "product_id")
-    lines = basket_lines(star).persist()
-    orders = lines.groupBy("order_id").agg(F.count(F.lit(1)).alias("_d"), F.max("m").alias("_M"))
-    biggest = orders.orderBy(F.col("_d").desc(), "order_id").limit(1).collect()  # one row
-    if not biggest or biggest[0]["_d"] <= max_basket:  # every order pairs <= max_basket^2/2 products
-        return _top_named(pair_counts(lines), ids, n)
-
-    support = (
-        lines.join(orders, "order_id")
-        .groupBy("product_sk")
-        .agg(F.sum(F.col("m") * F.col("_M")).alias("u"))
-        .join(ids, "product_sk")
-        .persist()
-    )
-    # Seed: the top-u products plus the n+1 heaviest products of the largest
-    # order, which pair with each other there -- so the seed has >= n pairs.
-    top = _ranked_support(support).limit(seed).select("product_sk")  # bounded: seed rows
-    own = (
-        lines.where(F.col("order_id") == F.lit(biggest[0]["order_id"]))
-        .orderBy(F.col("m").desc(), "product_sk").limit(n + 1).select("product_sk")
+    lines = basket_lines(star)
+    bounds = product_bounds(lines)
+    top = [r[0] for r in bounds.orderBy(F.col("u").desc(), "product_sk").limit(max(seed, n + 1)).collect()]
+    least = _nth_count(pair_counts(lines.where(F.col("product_sk").isin(top)), block), n) if top else 0
+    kept = lines if least <= 1 else lines.join(bounds.where(F.col("u") >= F.lit(least)), "product_sk", "left_semi")
+    counts = pair_counts(kept, block).where(F.col("times_bought_together") >= F.lit(least))
+    return (
+        counts.join(ids.select(F.col("product_sk").alias("sk_a"), F.col("product_id").alias("id_a")), "sk_a")
+        .join(ids.select(F.col("product_sk").alias("sk_b"), F.col("product_id").alias("id_b")), "sk_b")
+        .select(F.least("id_a", "id_b").alias("product_a"), F.greatest("id_a", "id_b").alias("product_b"), "times_bought_together")
+        .orderBy(F.col("times_bought_together").desc(), "product_a", "product_b")
+        .limit(n)
     )
-    seed_lines = lines.join(F.broadcast(top.union(own).distinct()), "product_sk")
-    best = _ranked(_named(pair_counts(seed_lines), ids)).limit(n).collect()  # at most n rows
-    if len(best) < n:  # only when max_basket < n (the seed then may hold < n pairs)
-        return _top_named(pair_counts(lines), ids, n)
-    t, x = best[-1]["times_bought_together"], best[-1]["product_a"]
-    leader = (F.col("u") > F.lit(t)) | ((F.col("u") == F.lit(t)) & (F.col("product_id") <= F.lit(x)))
-    marks = support.where(F.col("u") >= F.lit(t)).select("product_sk", leader.alias("leader"))
-    survivors = lines.join(marks, "product_sk")
-    return _top_named(led_pair_counts(survivors), ids, n)
-
-
-def _ranked_support(support: DataFrame) -> DataFrame:
-    return support.orderBy(F.col("u").desc(), "product_id")

@@ -21,35 +21,6 @@ from tillroll.functions.exprs import as_double, day_type, season
 from tillroll.warehouse import Star
 
 
-_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30,
-          "t": 1 << 40, "tb": 1 << 40}
-
-
-def _bytes(text: str) -> int:
-    t = text.strip().lower()
-    num = t.rstrip("abcdefghijklmnopqrstuvwxyz")
-    return int(float(num) * _UNITS.get(t[len(num):] or "b", 1))
-
-
-def broadcastable(df: DataFrame) -> bool:
-    """Would Catalyst broadcast this file-backed table?  The same test it
-    applies to a scan: bytes on disk against ``autoBroadcastJoinThreshold``
-    (stops counting once past the limit)."""
-    spark = df.sparkSession
-    limit = _bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))
-    if limit < 0:
-        return False
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    total = 0
-    for f in df.inputFiles():
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        total += p.getFileSystem(conf).getFileStatus(p).getLen()
-        if total > limit:
-            return False
-    return True
-
-
 def fact(star: Star, *cols: str, year: int | None = None, years: list[int] | None = None) -> DataFrame:
     """The fact's columns, optionally pruned to some ``sale_year`` partitions."""
     f = star.sales_fact
@@ -102,18 +73,15 @@ def by_customer(
     attributes in ``customers``.  ``measures`` are (name, column) sums, or
     (name, None) row counts.
 
-    A broadcastable customer dimension joins in the scan stage and one
-    aggregation follows.  A bigger one would make the join a shuffle of every
-    line, so the rows are first aggregated per (customer, keys) -- sums and
-    counts re-aggregate exactly -- and only that is shuffled to the join.
+    The rows are first aggregated per (customer, keys) -- sums and counts
+    re-aggregate exactly -- so that the join moves one row per customer and key
+    and not every line, whatever the size of the customer dimension.
     """
     attrs = [c for c in customers.columns if c != "customer_sk"]
 
     def agg(col: str | None, name: str) -> Column:
         return (F.count(F.lit(1)) if col is None else F.sum(col)).alias(name)
 
-    if broadcastable(customers):
-        return rows.join(customers, "customer_sk").groupBy(*keys, *attrs).agg(*[agg(c, n) for n, c in measures])
     partial = rows.groupBy("customer_sk", *keys).agg(*[agg(c, n) for n, c in measures])
     return (
         partial.join(customers, "customer_sk")

@@ -25,22 +25,12 @@ def _unknown(c: str) -> F.Column:
 
 def q2_demographics(star: Star) -> DataFrame:
     """Revenue, quantity and distinct orders by gender, age group, city."""
-    # One row per (customer, order) first: the distinct-order count survives
-    # and the customer join sees a fraction of the fact.
-    per_order = (
-        fact(star, "customer_sk", "order_id", "total_price", "quantity")
-        .groupBy("customer_sk", "order_id")
-        .agg(F.sum("total_price").alias("_rev"), F.sum("quantity").cast("bigint").alias("_qty"))
-    )
-    c = star.customer_dim.select("customer_sk", "gender", "age_group", "city_category")
+    # Grouped once by (attributes, order): the distinct-order count is then a
+    # row count, and one more exchange on the attributes finishes it.
+    attrs = ["gender", "age_group", "city_category"]
+    rows = fact(star, "customer_sk", "order_id", "total_price", "quantity").join(star.customer_dim.select("customer_sk", *attrs), "customer_sk")
     return (
-        per_order.join(c, "customer_sk")
-        .groupBy("gender", "age_group", "city_category")
-        .agg(
-            F.sum("_rev").alias("_rev"),
-            F.sum("_qty").cast("bigint").alias("total_quantity"),
-            F.countDistinct("order_id").alias("orders_count"),
-        )
+        _by_order(rows, attrs)
         .select(
             _unknown("gender"), _unknown("age_group"), _unknown("city_category"),
             money("_rev", "total_revenue"), "total_quantity", "orders_count",
@@ -49,8 +39,16 @@ def q2_demographics(star: Star) -> DataFrame:
     )
 
 
+def _by_order(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Revenue, quantity and number of distinct orders (NULL not counted) by ``keys``."""
+    per_order = rows.groupBy(*keys, "order_id").agg(F.sum("total_price").alias("_rev"), F.sum("quantity").cast("bigint").alias("_qty"))
+    return per_order.groupBy(*keys).agg(
+        F.sum("_rev").alias("_rev"), F.sum("_qty").cast("bigint").alias("total_quantity"), F.count("order_id").alias("orders_count")
+    )
+
+
 def q3_category_occupation(star: Star) -> DataFrame:
-    rev = category_by_customer(star, "occupation", with_qty=True).withColumnRenamed("_qty", "qty")
+    rev = category_by_customer(star, "occupation").withColumnRenamed("_qty", "qty")
     return rev.select(
         _unknown("product_category"), _unknown("occupation"), money("_rev", "revenue"), "qty"
     ).orderBy("product_category", F.col("revenue").desc())
@@ -85,17 +83,9 @@ def q6_city_marital_recent(star: Star, months: int = 6) -> DataFrame:
     in_recent = F.struct("year", "month").isin([F.struct(F.lit(y), F.lit(m)) for y, m in recent])
     d = star.date_dim.where(F.col("year").isin(years) & in_recent).select("date_sk", "year", "month")
     f = fact(star, "customer_sk", "date_sk", "order_id", "total_price", "quantity", years=years)
-    per_order = f.join(d, "date_sk").groupBy("customer_sk", "year", "month", "order_id").agg(
-        F.sum("total_price").alias("_rev"), F.sum("quantity").cast("bigint").alias("_qty")
-    )
+    rows = f.join(d, "date_sk").join(star.customer_dim.select("customer_sk", "city_category", "marital_status"), "customer_sk")
     return (
-        per_order.join(star.customer_dim.select("customer_sk", "city_category", "marital_status"), "customer_sk")
-        .groupBy("city_category", "marital_status", "year", "month")
-        .agg(
-            F.sum("_rev").alias("_rev"),
-            F.sum("_qty").cast("bigint").alias("total_quantity"),
-            F.countDistinct("order_id").alias("orders_count"),
-        )
+        _by_order(rows, ["city_category", "marital_status", "year", "month"])
         .select("city_category", "marital_status", "year", "month", money("_rev", "total_revenue"),
                 "total_quantity", "orders_count")
         .orderBy("year", "month", "city_category", "marital_status")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.plans.common import broadcastable, dates, fact, money
+from tillroll.plans.common import by_customer, dates, fact, money
 from tillroll.warehouse import Star
 
 
@@ -37,37 +37,18 @@ def q1_top_products_daytype(star: Star, year: int = 2015, n: int = 5) -> DataFra
     )
 
 
-def category_by_customer(star: Star, attr: str, with_qty: bool = False) -> DataFrame:
-    """Revenue (and quantity) by (product_category, a customer attribute).
-
-    When the customer dimension is too big to broadcast, both joins are
-    shuffles at scale; the fact is then aggregated to (category, customer)
-    right after the product join, so the customer join shuffles one row per
-    customer and category instead of one per line.  A broadcastable customer
-    dimension joins in the same stage as the scan, and the extra aggregation
-    would only add a shuffle.
-    """
-    cols = ["product_sk", "customer_sk", "total_price"] + (["quantity"] if with_qty else [])
-    with_cat = fact(star, *cols).join(star.product_dim.select("product_sk", "product_category"), "product_sk")
+def category_by_customer(star: Star, attr: str) -> DataFrame:
+    """Revenue ``_rev`` and quantity ``_qty`` by (product_category, a customer attribute), raw group values."""
+    rows = fact(star, "product_sk", "customer_sk", "total_price", "quantity").join(
+        star.product_dim.select("product_sk", "product_category"), "product_sk"
+    )
     customers = star.customer_dim.select("customer_sk", attr)
-    if broadcastable(customers):
-        rev, qty, rows = "total_price", "quantity", with_cat
-    else:
-        aggs = [F.sum("total_price").alias("_rev")]
-        if with_qty:
-            aggs.append(F.sum("quantity").cast("bigint").alias("_qty"))
-        rev, qty, rows = "_rev", "_qty", with_cat.groupBy("product_category", "customer_sk").agg(*aggs)
-    out = [F.sum(rev).alias("_rev")] + ([F.sum(qty).cast("bigint").alias("_qty")] if with_qty else [])
-    return rows.join(customers, "customer_sk").groupBy("product_category", attr).agg(*out)
-
-
-def category_by_customer_attr(star: Star, attr: str) -> DataFrame:
-    """Revenue by (product_category, a customer attribute), raw group values."""
-    return category_by_customer(star, attr)
+    out = by_customer(rows, customers, ["product_category"], [("_rev", "total_price"), ("_qty", "quantity")])
+    return out.withColumn("_qty", F.col("_qty").cast("bigint"))
 
 
 def q5_top_occupations(star: Star, n: int = 5) -> DataFrame:
-    rev = category_by_customer_attr(star, "occupation")
+    rev = category_by_customer(star, "occupation")
     return (
         _top(rev, ["product_category"], ["occupation"], n)
         .select("product_category", "occupation", money("_rev", "revenue"))
@@ -77,7 +58,7 @@ def q5_top_occupations(star: Star, n: int = 5) -> DataFrame:
 
 def q8_top_cities(star: Star, n: int = 5) -> DataFrame:
     """As A5 by city; the rank ``rn`` is part of the output (``SELECT *``)."""
-    rev = category_by_customer_attr(star, "city_category")
+    rev = category_by_customer(star, "city_category")
     return (
         _top(rev, ["product_category"], ["city_category"], n)
         .select("product_category", "city_category", money("_rev", "revenue"), F.col("rn").cast("int").alias("rn"))
