@@ -69,17 +69,27 @@ def _params(fn, pairs: list[str]) -> dict:
     return out
 
 
+def _stored_master(wh: Warehouse, name: str, master):
+    """The de-duplicated master as a Parquet copy: every batch of the load reads that instead of the files."""
+    path = f"{wh.root}/_masters/{name}"
+    master.write.mode("overwrite").parquet(path)
+    return wh.spark.read.schema(master.schema).parquet(path)
+
+
+def cmd_table(spark: SparkSession, a: argparse.Namespace) -> None:
+    wh = _warehouse(spark, a.warehouse)
+    {"create": wh.create, "drop": wh.drop_all, "compact": wh.compact, "vacuum": wh.vacuum}[a.cmd]()
+    print(f"{a.cmd}: {wh.root}")
+
+
 def cmd_load(spark: SparkSession, a: argparse.Namespace) -> None:
     wh = _warehouse(spark, a.warehouse)
-    products = read_product_master(spark, a.products, a.master_format)
-    customers = read_customer_master(spark, a.customers, a.master_format)
+    products = _stored_master(wh, "products", read_product_master(spark, a.products, a.master_format))
+    customers = _stored_master(wh, "customers", read_customer_master(spark, a.customers, a.master_format))
     dedup = [k for k in (a.dedup or "").split(",") if k]
     if a.stream:
-        if dedup:
-            raise SystemExit("--dedup applies to batch loads; a stream de-duplicates with a watermark "
-                             "(streaming.pipeline.start_ingest(dedup_keys=...))")
         results = backfill(wh, a.transactions, products, customers, fmt=a.format,
-                           max_bytes_per_trigger=a.max_bytes)
+                           max_bytes_per_trigger=a.max_bytes, dedup_keys=dedup or None)
     else:
         batch = a.batch_id if a.batch_id is not None else max(wh.committed_batches(), default=-1) + 1
         tx = read_transactions(spark, a.transactions, a.format, with_position=bool(dedup))
@@ -139,9 +149,15 @@ def main(argv: list[str] | None = None) -> None:
             q.add_argument("text")
             q.add_argument("--suffix", default="", help="view-name suffix, e.g. _v2")
 
+    for name, help_ in (
+        ("create", "create the tables, empty, where absent"), ("drop", "drop the tables"),
+        ("compact", "merge the loads of earlier batches"), ("vacuum", "delete files of replaced loads"),
+    ):
+        sub.add_parser(name, help=help_).add_argument("--warehouse")
+
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("tillroll").getOrCreate()
-    {"load": cmd_load, "query": cmd_query, "sql": cmd_sql}[a.cmd](spark, a)
+    {"load": cmd_load, "query": cmd_query, "sql": cmd_sql}.get(a.cmd, cmd_table)(spark, a)
 
 
 if __name__ == "__main__":

@@ -2,20 +2,20 @@
 
 ``load_batch`` joins raw transactions to the masters and hands the result to
 ``load_enriched``, which is also what the streaming sink calls for every
-micro-batch (the stream does the master joins in its own plan).  Write order follows the reference:
-dimensions before the fact, each table overwriting only this batch's
-partitions, and a batch marker last.
+micro-batch (the stream does the master joins in its own plan).  Dimensions are
+written before the fact, all under one load id, and the load is committed last.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.operators import dims as D
 from tillroll.operators import facts as X
+from tillroll.schemas import RAW_TEXT
 from tillroll.session import fs_exists, fs_write_text, input_fingerprint
 from tillroll.sources import testdata
 from tillroll.warehouse import Star, Warehouse
@@ -44,7 +44,7 @@ def load_batch(
 
 # What the quarantine and the fact need from a master-joined row; dimension
 # attributes are taken from the masters for the batch's ids instead, so the
-# copy of the batch kept for its several writes stays narrow.
+# copy of the batch that its several writes read stays narrow.
 BATCH_COLUMNS = [
     "order_id", "customer_id", "product_id", "quantity", "date",
     "price", "store_id", "supplier_id", "reason",
@@ -58,50 +58,63 @@ def load_enriched(
     products: DataFrame,
     customers: DataFrame,
     dedup_keys: list[str] | None = None,
+    dedup_stored: bool = False,
 ) -> BatchResult:
     """Write one batch of master-joined rows: quarantine, dimensions, fact.
 
-    Each table overwrites only partition ``batch_id``, so running the same
-    batch again (a replayed micro-batch, a retried job) gives the same tables.
+    The narrow copy of the batch and the master rows it uses are staged once in
+    the warehouse folder.  Nothing is visible before the commit at the end, and
+    a batch that is run again replaces the earlier run in every table.
+
+    ``dedup_keys`` keeps the first line per key among the lines that can be
+    loaded; with ``dedup_stored`` lines whose keys earlier batches loaded go too.
     """
-    committed = wh.committed_batches()
-    if committed and batch_id < committed[-1]:
-        raise ValueError(
-            f"batch {batch_id} is older than the last committed batch {committed[-1]}: batches load in "
-            "increasing order, and only the latest may be run again"
-        )
-    keep = BATCH_COLUMNS + (["_pos"] if "_pos" in enriched.columns else [])
-    enriched = enriched.select(*keep).persist()
+    load = wh.new_load(batch_id)
+    stage = wh.path(f"_staging/{load}")
+
+    def staged(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{stage}/{name}")
+        return wh.spark.read.schema(df.schema).parquet(f"{stage}/{name}")
+
     try:
-        wh.write("quarantine", X.quarantined_rows(enriched).withColumn("batch_id", F.lit(batch_id)))
-        matched = X.matched_rows(enriched)
+        extra = [c for c in ("_pos", *RAW_TEXT) if c in enriched.columns]
+        seen = Observation()  # E14: counted while the rows pass
+        rows = staged(enriched.select(*BATCH_COLUMNS, *extra).observe(seen, *_counters()), "batch")
+        m = seen.get
+        wh.write("quarantine", X.quarantined_rows(rows).withColumn("batch_id", F.lit(batch_id)), load)
+        matched = X.matched_rows(rows).drop(*RAW_TEXT)
+        if dedup_keys:
+            matched = staged(X.dedup_lines(matched, dedup_keys), "lines")
+        matched = matched.drop("_pos")
+        own_products = staged(D.seen_products(matched, products), "products")
+        own_customers = staged(D.seen_customers(matched, customers), "customers")
+        keys, max_keys = D.upsert_all(wh, matched, batch_id, load, own_products, own_customers)
+        fact = X.build_fact(matched, keys, batch_id)
+        if dedup_keys and dedup_stored:
+            fact = X.without_stored(fact, wh.read("sales_fact", before_batch=batch_id), dedup_keys)
+        wh.write("sales_fact", X.number_and_cluster(fact, batch_id), load)
         dropped = 0
         if dedup_keys:
-            before = matched.count()
-            matched = X.dedup_lines(matched, dedup_keys).persist()
-            dropped = before - matched.count()
-        if "_pos" in matched.columns:
-            matched = matched.drop("_pos")
-        dims = D.upsert_all(wh, matched, batch_id, products, customers)
-        wh.write("sales_fact", X.cluster_for_write(X.build_fact(matched, dims, batch_id)))
-        m = ingest_metrics(enriched).first().asDict()  # E14: one row of counters
+            dropped = int(m["matched_rows"]) - wh.read("sales_fact", loads=[load]).count()
+        wh.commit(batch_id, load, max_keys)
     finally:
-        enriched.unpersist()
-    fs_write_text(wh.spark, f"{wh.path('_batches')}/{batch_id}", f"{batch_id}\n")
-    if dedup_keys:
-        matched.unpersist()
+        wh.drop(f"_staging/{load}")
     return BatchResult(
         batch_id, int(m["input_rows"]), int(m["matched_rows"]) - dropped, int(m["quarantined_rows"]), dropped
     )
 
 
-def ingest_metrics(enriched: DataFrame) -> DataFrame:
-    """Rows read, matched and set aside, as one row."""
-    return enriched.agg(
+def _counters() -> list:
+    return [
         F.count(F.lit(1)).alias("input_rows"),
         F.count(F.when(F.col("reason").isNull(), 1)).alias("matched_rows"),
         F.count(F.when(F.col("reason").isNotNull(), 1)).alias("quarantined_rows"),
-    )
+    ]
+
+
+def ingest_metrics(enriched: DataFrame) -> DataFrame:
+    """Rows read, matched and set aside, as one row."""
+    return enriched.agg(*_counters())
 
 
 # ---------------------------------------------------------------------------
@@ -135,15 +148,14 @@ def testdata_warehouse(spark: SparkSession, sf_dir: str, rebuild: bool = False)
     Keyed by a fingerprint of the input files, so a second call (or a second
     process on the same shared folder) reuses a finished build.
     """
-    fp = input_fingerprint(testdata.table_paths(sf_dir))
+    fp = input_fingerprint(spark, testdata.table_paths(sf_dir))
     memo = (spark.sparkContext.applicationId, fp)
     if memo in _BUILT and not rebuild:
         return _BUILT[memo]
     wh = Warehouse.in_shared_dir(spark, fp)
     done = f"{wh.root}/_BUILD_OK"
     if rebuild or not fs_exists(spark, done):
-        for t in ("quarantine", *D.UPSERT_ORDER, "sales_fact", "_batches"):
-            wh.drop(t)
+        wh.drop_all()
         tx, pm, cm = testdata_inputs(spark, sf_dir, stage_root=f"{wh.root}/_masters")
         load_batch(wh, tx, pm, cm, batch_id=0)
         fs_write_text(spark, done, "ok\n")
@@ -158,14 +170,13 @@ def testdata_star(spark: SparkSession, sf_dir: str) -> Star:
 def testdata_two_batch_warehouse(spark: SparkSession, sf_dir: str, cutover: str) -> Warehouse:
     """The same feed loaded as two batches split at an order date: ids first
     seen in the second batch are numbered after all ids of the first (D1, E10)."""
-    fp = input_fingerprint(testdata.table_paths(sf_dir)) + "-2b-" + cutover
+    fp = input_fingerprint(spark, testdata.table_paths(sf_dir)) + "-2b-" + cutover
     memo = (spark.sparkContext.applicationId, fp)
     if memo in _BUILT:
         return _BUILT[memo]
     wh = Warehouse.in_shared_dir(spark, fp)
     if not fs_exists(spark, f"{wh.root}/_BUILD_OK"):
-        for t in ("quarantine", *D.UPSERT_ORDER, "sales_fact", "_batches"):
-            wh.drop(t)
+        wh.drop_all()
         tx, pm, cm = testdata_inputs(spark, sf_dir, stage_root=f"{wh.root}/_masters")
         early = F.coalesce(F.col("date") < F.lit(cutover).cast("date"), F.lit(False))
         load_batch(wh, tx.where(early), pm, cm, batch_id=0)
@@ -178,19 +189,74 @@ def testdata_two_batch_warehouse(spark: SparkSession, sf_dir: str, cutover: str)
 def testdata_stream_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The test feed loaded through the Structured Streaming path
     (readStream -> stream-static joins -> foreachBatch), availableNow."""
+    from tillroll.schemas import TRANSACTIONS
+    from tillroll.sources.transactions import stream_transactions
     from tillroll.streaming.pipeline import run_to_end
 
-    fp = input_fingerprint(testdata.table_paths(sf_dir)) + "-stream"
+    fp = input_fingerprint(spark, testdata.table_paths(sf_dir)) + "-stream"
     memo = (spark.sparkContext.applicationId, fp)
     if memo in _BUILT:
         return _BUILT[memo]
     wh = Warehouse.in_shared_dir(spark, fp)
     if not fs_exists(spark, f"{wh.root}/_BUILD_OK"):
-        for t in ("quarantine", *D.UPSERT_ORDER, "sales_fact", "_batches", "_stream_checkpoint"):
+        wh.drop_all()
+        for t in ("_stream_checkpoint", "_feed"):
             wh.drop(t)
         _, pm, cm = testdata_inputs(spark, sf_dir, stage_root=f"{wh.root}/_masters")
-        stream = testdata.stream_transactions_from_tables(spark, sf_dir)
-        run_to_end(wh, stream, pm, cm)
+        # the feed arrives as six files, two of them after the stream has stopped once
+        feed = f"{wh.root}/_feed"
+        lines = testdata.transactions(spark, sf_dir).withColumn("_f", F.pmod(F.xxhash64("order_id"), F.lit(6)))
+        for part in (F.col("_f") < 4, F.col("_f") >= 4):
+            lines.where(part).repartition(6, "_f").drop("_f").write.mode("append").option("maxRecordsPerFile", 0).parquet(feed)
+            run_to_end(wh, stream_transactions(spark, feed, fmt="parquet", max_files_per_trigger=1, schema=TRANSACTIONS), pm, cm)
+        fs_write_text(spark, f"{wh.root}/_BUILD_OK", "ok\n")
+    _BUILT[memo] = wh
+    return wh
+
+
+def testdata_redone_warehouse(spark: SparkSession, sf_dir: str, cutover: str) -> Warehouse:
+    """The feed loaded as two batches, the second of them run again without its lines of a quantity below 10."""
+    fp = input_fingerprint(spark, testdata.table_paths(sf_dir)) + "-redo-" + cutover
+    memo = (spark.sparkContext.applicationId, fp)
+    if memo in _BUILT:
+        return _BUILT[memo]
+    wh = Warehouse.in_shared_dir(spark, fp)
+    if not fs_exists(spark, f"{wh.root}/_BUILD_OK"):
+        wh.drop_all()
+        tx, pm, cm = testdata_inputs(spark, sf_dir, stage_root=f"{wh.root}/_masters")
+        early = F.coalesce(F.col("date") < F.lit(cutover).cast("date"), F.lit(False))
+        load_batch(wh, tx.where(early), pm, cm, batch_id=0)
+        load_batch(wh, tx.where(~early), pm, cm, batch_id=1)
+        load_batch(wh, tx.where(~early & (F.col("quantity") >= 10)), pm, cm, batch_id=1)
+        fs_write_text(spark, f"{wh.root}/_BUILD_OK", "ok\n")
+    _BUILT[memo] = wh
+    return wh
+
+
+def testdata_dedup_stream_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The feed streamed twice with de-duplication on (order, product, quantity, date), malformed copies of lines first."""
+    from tillroll.schemas import TRANSACTIONS
+    from tillroll.sources.transactions import stream_transactions
+    from tillroll.streaming.pipeline import run_to_end
+
+    fp = input_fingerprint(spark, testdata.table_paths(sf_dir)) + "-dedup"
+    memo = (spark.sparkContext.applicationId, fp)
+    if memo in _BUILT:
+        return _BUILT[memo]
+    wh = Warehouse.in_shared_dir(spark, fp)
+    if not fs_exists(spark, f"{wh.root}/_BUILD_OK"):
+        wh.drop_all()
+        for t in ("_stream_checkpoint", "_feed"):
+            wh.drop(t)
+        tx, pm, cm = testdata_inputs(spark, sf_dir, stage_root=f"{wh.root}/_masters")
+        bad = tx.withColumn("customer_id", F.lit("nobody"))  # same order, product, quantity and date
+        feed = f"{wh.root}/_feed"
+        for rows in (bad.where(F.pmod(F.xxhash64("order_id"), F.lit(3)) == 0).unionByName(tx), tx):
+            rows.coalesce(2).write.mode("append").parquet(feed)
+            run_to_end(
+                wh, stream_transactions(spark, feed, fmt="parquet", max_files_per_trigger=2, schema=TRANSACTIONS), pm, cm,
+                dedup_keys=["order_id", "product_id", "quantity", "date"],
+            )
         fs_write_text(spark, f"{wh.root}/_BUILD_OK", "ok\n")
     _BUILT[memo] = wh
     return wh

@@ -2,8 +2,8 @@
 
 A batch reads the rows stored by *earlier* batches, anti-joins its candidates
 against them (first write wins: stored rows are never refreshed), numbers the
-new ids after the stored maximum, and overwrites its own ``batch_id``
-partition.  Replaying the batch reproduces the same partition.
+new ids after the largest earlier key, and adds them to its own load.  Running
+the batch again reproduces the same rows in a new load.
 """
 
 from __future__ import annotations
@@ -26,12 +26,12 @@ def _seen(master: DataFrame, matched: DataFrame, key: str, attrs: list[str]) ->
     return master.select(*attrs).join(ids, key, "left_semi").dropDuplicates([key])
 
 
-def customer_candidates(matched: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
+def seen_customers(matched: DataFrame, customers: DataFrame) -> DataFrame:
     """Customers of the batch's matched rows, attributes from the master."""
     return _seen(customers, matched, "customer_id", CUSTOMER_ATTRS)
 
 
-def product_candidates(matched: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
+def seen_products(matched: DataFrame, products: DataFrame) -> DataFrame:
     return _seen(products, matched, "product_id", PRODUCT_ATTRS)
 
 
@@ -45,15 +45,7 @@ def _named_entity(products: DataFrame, id_col: str, name_col: str) -> DataFrame:
     )
 
 
-def store_candidates(matched: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
-    return _named_entity(product_candidates(matched, products, customers), "store_id", "store_name")
-
-
-def supplier_candidates(matched: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
-    return _named_entity(product_candidates(matched, products, customers), "supplier_id", "supplier_name")
-
-
-def date_candidates(matched: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
+def date_candidates(matched: DataFrame) -> DataFrame:
     """Only dates seen in matched transactions, not a calendar."""
     d = matched.where(F.col("date").isNotNull()).select("date").distinct()
     return d.select(
@@ -64,14 +56,6 @@ def date_candidates(matched: DataFrame, products: DataFrame, customers: DataFram
     )
 
 
-CANDIDATES = {
-    "customer_dim": customer_candidates,
-    "product_dim": product_candidates,
-    "store_dim": store_candidates,
-    "supplier_dim": supplier_candidates,
-    "date_dim": date_candidates,
-}
-
 # Reference order of the upserts inside a batch.
 UPSERT_ORDER = ["customer_dim", "store_dim", "supplier_dim", "product_dim", "date_dim"]
 
@@ -87,69 +71,64 @@ def new_members(candidates: DataFrame, existing: DataFrame, natural: str) -> Dat
     return candidates.join(known, natural, "left_anti")
 
 
-def stored_max_key(wh: Warehouse, table: str, sk: str, batch_id: int) -> int:
-    """Largest key stored by batches before ``batch_id``.
-
-    Each batch numbers its new ids above every earlier key, so the maximum
-    sits in the latest non-empty batch partition: one partition is scanned,
-    not the whole dimension (partition directories exist only with rows).
-    """
-    earlier = [b for b in wh.batch_partitions(table) if b < batch_id]
-    if not earlier:
-        return 0
-    last = wh.read(table).where(F.col("batch_id") == F.lit(max(earlier)))
-    return int(last.agg(F.max(sk)).first()[0] or 0)  # one scalar
-
-
 def assign_new_keys(new: DataFrame, start: int, natural: str, sk: str) -> DataFrame:
     """New ids get max(stored key) + rank of the id among the new ones."""
     return dense_keys(new, [natural], sk, start=int(start))
 
 
 def upsert_dimension(
-    wh: Warehouse, table: str, candidates: DataFrame, batch_id: int, ids: DataFrame | None = None
-) -> DataFrame:
+    wh: Warehouse, table: str, candidates: DataFrame, batch_id: int, load: str, ids: DataFrame
+) -> tuple[DataFrame, int]:
     """Insert-if-absent for one batch.
 
-    Batches are loaded in increasing ``batch_id`` order, and a replay repeats
-    the latest one (as Structured Streaming does); the key numbering relies on
-    it.  Returns the key map (natural key, surrogate key) of this batch's members
+    Returns the key map (natural key, surrogate key) of this batch's members
     only -- read back from storage, so it holds exactly the written keys --
-    which keeps the fact's key lookups batch-sized.
+    which keeps the fact's key lookups batch-sized, and the largest key given
+    out so far.
     """
     _, natural, sk = DIMENSIONS[table]
-    start = stored_max_key(wh, table, sk, batch_id)
-    if start > 0:
-        new = new_members(candidates, wh.read(table, before_batch=batch_id), natural)
-    else:  # nothing stored before this batch: every candidate is new
-        new = candidates
+    start = wh.max_key(table, batch_id)
+    earlier = wh.read(table, before_batch=batch_id)
+    new = new_members(candidates, earlier, natural) if start else candidates
     keyed = assign_new_keys(new, start, natural, sk).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    wh.write(table, keyed)
-    stored = wh.read(table, upto_batch=batch_id).select(natural, sk)
-    return stored.join(ids if ids is not None else candidates.select(natural), natural, "left_semi")
+    wh.write(table, keyed, load)
+    own = wh.read(table, loads=[load])
+    top = int(own.agg(F.max(sk)).first()[0] or start)  # one scalar
+    stored = earlier.select(natural, sk).unionByName(own.select(natural, sk))
+    return stored.join(ids, natural, "left_semi"), top
 
 
 def upsert_all(
     wh: Warehouse,
     matched: DataFrame,
     batch_id: int,
+    load: str,
     products: DataFrame,
     customers: DataFrame,
     parallel: bool = True,
-) -> dict[str, DataFrame]:
-    """All five dimensions of a batch.
+) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """All five dimensions of a batch: key maps and largest keys by table.
 
-    They are independent (store and supplier come from the batch's products,
-    not from product_dim), so they run as concurrent Spark jobs: a small
-    dimension alone would leave most of a cluster idle.
+    ``products`` are the batch's products (:func:`seen_products`), computed
+    once for the product, store and supplier dimensions; ``customers`` likewise.
+    The dimensions are independent, so they run as concurrent Spark jobs: a
+    small dimension alone would leave most of a cluster idle.
     """
-    def run(t: str) -> DataFrame:
+    candidates = {
+        "customer_dim": customers,
+        "product_dim": products,
+        "store_dim": _named_entity(products, "store_id", "store_name"),
+        "supplier_dim": _named_entity(products, "supplier_id", "supplier_name"),
+        "date_dim": date_candidates(matched),
+    }
+
+    def run(t: str) -> tuple[DataFrame, int]:
         natural = DIMENSIONS[t][1]
-        ids = matched.where(F.col(natural).isNotNull()).select(natural).distinct()
-        return upsert_dimension(wh, t, CANDIDATES[t](matched, products, customers), batch_id, ids)
-
-    if not parallel:
-        return {t: run(t) for t in UPSERT_ORDER}
-    with ThreadPoolExecutor(max_workers=len(UPSERT_ORDER)) as pool:
-        futures = {t: pool.submit(run, t) for t in UPSERT_ORDER}
-        return {t: f.result() for t, f in futures.items()}
+        return upsert_dimension(wh, t, candidates[t], batch_id, load, candidates[t].select(natural))
+
+    if parallel:
+        with ThreadPoolExecutor(max_workers=len(UPSERT_ORDER)) as pool:
+            done = dict(zip(UPSERT_ORDER, pool.map(run, UPSERT_ORDER)))
+    else:
+        done = {t: run(t) for t in UPSERT_ORDER}
+    return {t: d for t, (d, _) in done.items()}, {t: k for t, (_, k) in done.items()}

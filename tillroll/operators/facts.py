@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.exprs import line_total
-from tillroll.schemas import CUSTOMER_ATTRS, PRODUCT_ATTRS, TRANSACTION_COLS
+from tillroll.schemas import CUSTOMER_ATTRS, PRODUCT_ATTRS, RAW_TEXT, TRANSACTION_COLS
 from tillroll.sources.masters import keep_first
 
 # Quarantine reasons, in the order the pipeline meets them.
@@ -21,6 +21,9 @@ UNMATCHED_PRODUCT = "unmatched_product"
 UNMATCHED_CUSTOMER = "unmatched_customer"
 MALFORMED_DATE = "malformed_date"
 MALFORMED_QUANTITY = "malformed_quantity"
+MISSING_ORDER = "missing_order_id"
+MALFORMED_PRICE = "malformed_price"
+AMOUNT_OVERFLOW = "amount_overflow"
 
 
 def product_join(tx: DataFrame, products: DataFrame, how: str = "inner") -> DataFrame:
@@ -46,6 +49,9 @@ def enrich(tx: DataFrame, products: DataFrame, customers: DataFrame) -> DataFram
         .when(F.col("_c_hit").isNull(), F.lit(UNMATCHED_CUSTOMER))
         .when(F.col("date").isNull(), F.lit(MALFORMED_DATE))
         .when(F.col("quantity").isNull(), F.lit(MALFORMED_QUANTITY))
+        .when(F.col("order_id").isNull(), F.lit(MISSING_ORDER))
+        .when(F.col("price").isNull(), F.lit(MALFORMED_PRICE))
+        .when(line_total("quantity", "price").isNull(), F.lit(AMOUNT_OVERFLOW))
     )
     return j.withColumn("reason", reason).drop("_p_hit", "_c_hit")
 
@@ -55,8 +61,9 @@ def matched_rows(enriched: DataFrame) -> DataFrame:
 
 
 def quarantined_rows(enriched: DataFrame) -> DataFrame:
-    """Rows set aside, with the reason."""
-    return enriched.where(F.col("reason").isNotNull()).select(*TRANSACTION_COLS, "reason")
+    """Rows set aside, with the reason and the text that could not be read."""
+    raw = [F.col(c) if c in enriched.columns else F.lit(None).cast("string").alias(c) for c in RAW_TEXT]
+    return enriched.where(F.col("reason").isNotNull()).select(*TRANSACTION_COLS, *raw, "reason")
 
 
 def build_fact(matched: DataFrame, dims: dict[str, DataFrame], batch_id: int) -> DataFrame:
@@ -64,8 +71,7 @@ def build_fact(matched: DataFrame, dims: dict[str, DataFrame], batch_id: int) ->
 
     Customer, product and date keys are inner lookups (every matched row has
     them); store and supplier are left lookups, NULL when absent, as the
-    reference's ``dict.get``.  ``sale_id`` is unique within a batch; the pair
-    (batch_id, sale_id) identifies a fact row.
+    reference's ``dict.get``.
     """
     key = lambda t, nat, sk: dims[t].select(nat, sk)
     f = (
@@ -76,7 +82,6 @@ def build_fact(matched: DataFrame, dims: dict[str, DataFrame], batch_id: int) ->
         .join(key("supplier_dim", "supplier_id", "supplier_sk"), "supplier_id", "left")
     )
     return f.select(
-        F.monotonically_increasing_id().alias("sale_id"),
         "order_id",
         "customer_sk",
         "product_sk",
@@ -90,15 +95,28 @@ def build_fact(matched: DataFrame, dims: dict[str, DataFrame], batch_id: int) ->
     )
 
 
-def cluster_for_write(fact: DataFrame) -> DataFrame:
-    """Range-partition the fact rows on (sale_year, date_sk) before writing.
+# sale_id: batch, partition and place in it, in one number
+_BATCH_BITS, _PART_BITS, _ROW_BITS = 20, 13, 30
+DATE_SALTS = 4
 
-    Each task then holds a contiguous slice of one or two years, so it writes
-    into few ``sale_year`` directories (no task x year file explosion), a hot
-    year is still spread over many tasks (range, not hash, on a finer key),
-    and rows of a file are clustered by date.
+
+def number_and_cluster(fact: DataFrame, batch_id: int) -> DataFrame:
+    """Fact rows dealt by (year, date, salt) and sorted, with a ``sale_id`` that is unique over all batches.
+
+    The id is made of the batch, the partition and the place in its sorted
+    rows.  Rows are sorted on all their columns, so a partition that is
+    computed again numbers them alike.  Dealing by hash needs no sampling pass,
+    and the salt spreads a busy date.
     """
-    return fact.repartitionByRange("sale_year", "date_sk")
+    n = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if n > 1 << _PART_BITS or batch_id >= 1 << _BATCH_BITS:
+        raise ValueError(f"sale_id holds {1 << _PART_BITS} partitions and {1 << _BATCH_BITS} batches")
+    cols = ["sale_year", "date_sk", *[c for c in fact.columns if c not in ("sale_year", "date_sk", "batch_id")]]
+    dealt = fact.repartition(n, "sale_year", "date_sk", F.pmod(F.xxhash64("order_id"), F.lit(DATE_SALTS))).sortWithinPartitions(*cols)
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    place = F.when(place < (1 << _ROW_BITS), place).otherwise(F.raise_error(F.lit("too many rows in a partition for sale_id")).cast("bigint"))
+    part = F.shiftleft(F.spark_partition_id().cast("bigint"), _ROW_BITS)
+    return dealt.withColumn("sale_id", F.lit(batch_id << (_PART_BITS + _ROW_BITS)).cast("bigint") + part + place)
 
 
 def dedup_lines(df: DataFrame, keys: list[str], position: str = "_pos") -> DataFrame:
@@ -113,6 +131,11 @@ def dedup_lines(df: DataFrame, keys: list[str], position: str = "_pos") -> DataF
     return keep_first(df, keys, position)
 
 
-def dedup_stream(df: DataFrame, keys: list[str], event_time: str, delay: str) -> DataFrame:
-    """E15 (opt-in, stream): first arrival per key within the watermark."""
-    return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
+# natural key -> column of the fact
+_FACT_KEYS = {"order_id": "order_id", "customer_id": "customer_sk", "product_id": "product_sk", "date": "date_sk", "quantity": "quantity"}
+
+
+def without_stored(fact: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
+    """E15 (opt-in, stream): drops fact rows whose keys an earlier batch has loaded."""
+    on = [_FACT_KEYS[k] for k in keys]
+    return fact.join(stored.select(*on).distinct(), on, "left_anti")

@@ -14,10 +14,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_PART, _POS = "_key_part", "_key_pos"
-
+from tillroll.session import shared_dir
 
-SINGLE_TASK_ROWS = 1_000_000
+_PART, _POS = "_key_part", "_key_pos"
 
 
 def dense_keys(
@@ -26,25 +25,14 @@ def dense_keys(
     sk_col: str,
     start: int = 0,
     num_partitions: int | None = None,
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Add ``sk_col`` = start + 1 + rank of the row under ``order_cols``.
 
     ``order_cols`` must be unique over ``df`` (dimension natural keys are),
-    otherwise ties are numbered in an arbitrary but fixed order.
-
-    Up to ``single_task_rows`` rows (counted first, so the bound is checked)
-    are numbered in one sorted task: a typical batch brings few new stores or
-    dates, and this skips the sampling, checkpoint and offset jobs.  The
-    order of a sort on a unique key is fixed, so a recomputed task gives the
-    same keys.  Larger inputs take the distributed path below.
+    otherwise ties are numbered in an arbitrary but fixed order.  The same way
+    is taken for every number of rows.
     """
-    if single_task_rows and df.count() <= single_task_rows:
-        return (
-            df.repartition(1)
-            .sortWithinPartitions(*order_cols)
-            .withColumn(sk_col, (F.lit(start) + F.monotonically_increasing_id() + 1).cast("bigint"))
-        )
+    shared_dir(df.sparkSession)  # checkpoints go to the shared folder
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = (
         df.repartitionByRange(n, *order_cols)

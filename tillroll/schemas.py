@@ -83,8 +83,8 @@ DATE_DIM = _with_key("date_sk", [
     T.StructField("day", T.IntegerType(), True),
 ])
 
-# The fact keeps the reference's columns; ``sale_year`` and ``batch_id`` are
-# its physical partition columns (pruning and replay-safe overwrite).
+# The fact keeps the reference's columns; ``sale_year`` is its outer partition
+# column, so that a year's rows lie together whatever batch brought them.
 SALES_FACT = T.StructType([
     T.StructField("sale_id", KEY, False),
     T.StructField("order_id", T.StringType(), True),
@@ -99,8 +99,12 @@ SALES_FACT = T.StructType([
     T.StructField("sale_year", T.IntegerType(), True),
 ])
 
+# What a line held before parsing, kept for the rows set aside.
+RAW_TEXT = ["raw_quantity", "raw_date"]
+
 QUARANTINE = T.StructType([
     *TRANSACTIONS.fields,
+    *[T.StructField(c, T.StringType(), True) for c in RAW_TEXT],
     T.StructField("reason", T.StringType(), False),
     BATCH,
 ])
@@ -118,8 +122,10 @@ TABLE_SCHEMAS = {
     "sales_fact": SALES_FACT,
     "quarantine": QUARANTINE,
 }
+# Every table is also partitioned by LOAD, the id of one attempt to load a batch.
+LOAD = "_load"
 TABLE_PARTITIONS = {
-    **{name: ["batch_id"] for name in DIMENSIONS},
-    "sales_fact": ["batch_id", "sale_year"],
-    "quarantine": ["batch_id"],
+    **{name: [LOAD] for name in DIMENSIONS},
+    "sales_fact": ["sale_year", LOAD],
+    "quarantine": [LOAD],
 }

@@ -46,6 +46,8 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     base = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF)
     if not base:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tillroll-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, base)
     if sc.getCheckpointDir() is None:
@@ -102,15 +104,25 @@ def fs_read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def input_fingerprint(paths: list[str]) -> str:
-    """Identity of a set of input files (names, sizes, mtimes) and of the code."""
+def input_fingerprint(spark: SparkSession, paths: list[str]) -> str:
+    """Identity of a set of inputs (leaf files with sizes and modification times) and of the code.
+
+    Asked of the file system that holds them, so that remote and edited
+    inputs are told apart like local files.
+    """
     import hashlib
 
     h = hashlib.sha1(code_version().encode())
-    for p in sorted(paths):
-        try:
-            st = os.stat(p)
-            h.update(f"{os.path.abspath(p)}|{st.st_size}|{int(st.st_mtime)}".encode())
-        except OSError:
-            h.update(p.encode())
+    for path in sorted(paths):
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+        h.update(path.rsplit("/", 1)[-1].encode())
+        if not fs.exists(jpath):
+            continue
+        files = fs.listFiles(jpath, True)
+        found = []
+        while files.hasNext():
+            st = files.next()
+            found.append(f"{st.getPath().toUri().getPath()}|{st.getLen()}|{st.getModificationTime()}")
+        h.update("\n".join(sorted(found)).encode())
     return h.hexdigest()[:16]

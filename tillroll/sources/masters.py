@@ -51,12 +51,23 @@ def keep_first(df: DataFrame, key: str | list[str], position: str = POSITION) ->
     return df.groupBy(*keys).agg(winner).select(*keys, *[F.col(f"_w.{c}").alias(c) for c in rest])
 
 
-def _read_raw(spark: SparkSession, path: str, fmt: str, schema) -> DataFrame:
-    reader = spark.read
+def csv_options(multi_line: bool = False) -> dict[str, str]:
+    """Standard CSV: a header, quotes doubled inside quotes; a file whose header differs from the first one fails."""
+    return {"header": "true", "encoding": "UTF-8", "quote": '"', "escape": '"', "enforceSchema": "false", "multiLine": str(multi_line).lower()}
+
+
+def by_header(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The named columns wherever the file has them; other columns are left out, a missing one is an error."""
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"columns missing from the input: {missing}; it has {df.columns}")
+    return df
+
+
+def _read_raw(spark: SparkSession, path: str, fmt: str, schema, multi_line: bool = False) -> DataFrame:
     if fmt == "csv":
-        reader = reader.schema(schema).option("header", True).option("encoding", "UTF-8")
-        return reader.csv(path)
-    return reader.format(fmt).load(path)
+        return by_header(spark.read.options(**csv_options(multi_line)).csv(path), schema.names)
+    return by_header(spark.read.format(fmt).load(path), schema.names)
 
 
 def normalise_products(raw: DataFrame) -> DataFrame:
@@ -86,13 +97,13 @@ def normalise_customers(raw: DataFrame) -> DataFrame:
     )
 
 
-def read_product_master(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def read_product_master(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = False) -> DataFrame:
     """Product master, one row per product_id (last row wins)."""
-    raw = with_ingest_position(_read_raw(spark, path, fmt, RAW_PRODUCT))
+    raw = with_ingest_position(_read_raw(spark, path, fmt, RAW_PRODUCT, multi_line))
     return keep_last(normalise_products(raw), "product_id").select(*PRODUCT_ATTRS)
 
 
-def read_customer_master(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def read_customer_master(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = False) -> DataFrame:
     """Customer master, one row per customer_id (last row wins)."""
-    raw = with_ingest_position(_read_raw(spark, path, fmt, RAW_CUSTOMER))
+    raw = with_ingest_position(_read_raw(spark, path, fmt, RAW_CUSTOMER, multi_line))
     return keep_last(normalise_customers(raw), "customer_id").select(*CUSTOMER_ATTRS)

@@ -17,7 +17,6 @@ from tillroll.schemas import CUSTOMER_ATTRS, MONEY, PRODUCT_ATTRS, TRANSACTION_C
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
 # Fixed values of the mapping (shared with the oracle SQL).
-SUPPLIERS_PER_PRODUCT_RULE = 10  # s_suppkey = p_partkey % 10
 STORE_NAME_PREFIX = "Store "
 
 
@@ -55,10 +54,11 @@ def customer_master(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A product's supplier is its key modulo the number of suppliers, whose keys are 0, 1, 2, ..."""
     p = table(spark, sf_dir, "part")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     return (
-        p.join(s, s.s_suppkey == p.p_partkey % SUPPLIERS_PER_PRODUCT_RULE)
+        p.join(s, s.s_suppkey == p.p_partkey % F.lit(s.count()))
         .select(
             F.col("p_partkey").cast("string").alias("product_id"),
             F.col("p_type").alias("product_category"),

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.schemas import RAW_TRANSACTIONS, TRANSACTION_COLS
+from tillroll.sources.masters import by_header, csv_options, with_ingest_position
 
 DATE_FORMAT = "yyyy-MM-dd"
 
@@ -24,20 +25,22 @@ def parse_transactions(raw: DataFrame) -> DataFrame:
         F.col("Product_ID").alias("product_id"),
         F.expr("try_cast(trim(quantity) as int)").alias("quantity"),
         F.expr(f"try_to_date(trim(`date`), '{DATE_FORMAT}')").alias("date"),
+        F.col("quantity").cast("string").alias("raw_quantity"),
+        F.col("date").cast("string").alias("raw_date"),
         *extra,
     )
 
 
-def read_transactions(spark: SparkSession, path: str, fmt: str = "csv", with_position: bool = False) -> DataFrame:
+def read_transactions(
+    spark: SparkSession, path: str, fmt: str = "csv", with_position: bool = False, multi_line: bool = False
+) -> DataFrame:
     """Batch scan of transaction files (all strings for CSV).
 
     ``with_position`` adds ``_pos`` (file, split start, row in split), the
     ingest order that the opt-in de-duplication keeps the first line by.
     """
-    from tillroll.sources.masters import with_ingest_position
-
     if fmt == "csv":
-        raw = spark.read.schema(RAW_TRANSACTIONS).option("header", True).csv(path)
+        raw = by_header(spark.read.options(**csv_options(multi_line)).csv(path), RAW_TRANSACTIONS.names)
         return parse_transactions(with_ingest_position(raw) if with_position else raw)
     df = spark.read.format(fmt).load(path)
     return (with_ingest_position(df) if with_position else df).select(
@@ -68,6 +71,8 @@ def stream_transactions(
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if fmt == "csv":
-        raw = reader.schema(schema or RAW_TRANSACTIONS).option("header", True).csv(path)
-        return parse_transactions(raw)
+        # a stream needs its columns beforehand: those of the files that are there, by their header
+        head = spark.read.options(**csv_options()).csv(path)
+        raw = reader.schema(schema or (head.schema if head.columns else RAW_TRANSACTIONS)).options(**csv_options()).csv(path)
+        return parse_transactions(by_header(raw, RAW_TRANSACTIONS.names))
     return reader.schema(schema).format(fmt).load(path)

@@ -6,7 +6,7 @@
 
 The micro-batch id is the warehouse ``batch_id``.  Structured Streaming
 replays an unfinished micro-batch with the same id and the same input after a
-restart, and every table overwrites only that batch's partitions, so a replay
+restart, and a batch that is run again replaces its earlier load, so a replay
 cannot duplicate rows.  The masters are static DataFrames; Catalyst
 broadcasts them when they are under the broadcast threshold and uses a
 shuffle join otherwise.
@@ -14,8 +14,9 @@ shuffle join otherwise.
 
 from __future__ import annotations
 
+from collections import deque
+
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillroll.etl import BatchResult, load_enriched
@@ -23,28 +24,7 @@ from tillroll.operators import facts as X
 from tillroll.warehouse import Warehouse
 
 
-def enriched_stream(
-    stream: DataFrame,
-    products: DataFrame,
-    customers: DataFrame,
-    dedup_keys: list[str] | None = None,
-    dedup_delay: str = "36500 days",
-) -> DataFrame:
-    """E1 + E2 (+ E15 opt-in) on the streaming side of the plan.
-
-    E15 uses ``dropDuplicatesWithinWatermark``: a duplicate is dropped if it
-    arrives within ``dedup_delay`` of the latest event time seen.  Spark also
-    drops rows that arrive *behind* the watermark, duplicates or not, so the
-    default delay spans the whole feed (nothing is dropped for lateness; the
-    de-dup state is bounded by that delay).  A shorter delay bounds the state
-    and is only right when the feed is never later than it.
-    """
-    if dedup_keys:
-        # Event time is the transaction date; the watermark bounds the state.
-        stream = X.dedup_stream(
-            stream.withColumn("_event_time", F.col("date").cast("timestamp")), dedup_keys, "_event_time", dedup_delay
-        ).drop("_event_time")
-    return X.enrich(stream, products, customers)
+KEPT_RESULTS = 1000  # a long-running query remembers its last batches only
 
 
 def warehouse_base_batch(wh: Warehouse, checkpoint: str) -> int:
@@ -74,26 +54,30 @@ def start_ingest(
     available_now: bool = True,
     processing_time: str | None = None,
     dedup_keys: list[str] | None = None,
-    dedup_delay: str = "36500 days",
     on_batch=None,
 ) -> StreamingQuery:
     """Start the ingest query; ``availableNow`` drains the input and stops.
 
     The checkpoint defaults to a folder next to the warehouse, i.e. in the
     shared folder, never on one machine's disk.
+
+    E15 (``dedup_keys``): of the lines that can be loaded, the first per key in
+    a micro-batch stays, unless an earlier batch has loaded the key.  The fact
+    table itself is what is remembered, so there is no state that grows, no
+    delay and no late line that is lost; what was dropped is counted.
     """
     checkpoint = checkpoint or f"{wh.root}/_stream_checkpoint"
     base = warehouse_base_batch(wh, checkpoint)
-    results: list[BatchResult] = []
+    results: deque[BatchResult] = deque(maxlen=KEPT_RESULTS)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        r = load_enriched(wh, batch, base + int(batch_id), products, customers)
+        r = load_enriched(wh, batch, base + int(batch_id), products, customers, dedup_keys, dedup_stored=True)
         results.append(r)
         if on_batch is not None:
             on_batch(r)
 
     writer = (
-        enriched_stream(stream, products, customers, dedup_keys, dedup_delay)
+        X.enrich(stream, products, customers)
         .writeStream.queryName("tillroll_ingest")
         .foreachBatch(sink)
         .option("checkpointLocation", checkpoint)
@@ -125,6 +109,7 @@ def backfill(
     fmt: str = "csv",
     max_bytes_per_trigger: int = 64 << 30,
     schema=None,
+    dedup_keys: list[str] | None = None,
 ) -> list[BatchResult]:
     """Load a large folder of transaction files in size-bounded batches.
 
@@ -140,4 +125,4 @@ def backfill(
         wh.spark, path, fmt=fmt, max_bytes_per_trigger=max_bytes_per_trigger,
         schema=schema if schema is not None else (None if fmt == "csv" else TRANSACTIONS),
     )
-    return run_to_end(wh, stream, products, customers, checkpoint)
+    return run_to_end(wh, stream, products, customers, checkpoint, dedup_keys=dedup_keys)

@@ -1,19 +1,31 @@
-"""Warehouse storage (S5-S9): Parquet tables partitioned by ``batch_id``.
-
-Every table is written one batch at a time with dynamic partition overwrite,
-so re-running a batch replaces exactly that batch's partitions: a replayed
-micro-batch or a retried batch job cannot duplicate rows.
+"""Warehouse storage (S5-S9): Parquet tables whose files belong to loads.
+
+Every attempt to load a batch writes files of its own, under a load id of its
+own.  A load becomes visible, in all tables at once, when a new manifest that
+names it is written; a batch that is run again is a new load which replaces the
+old one in the manifest.  So readers see whole batches only, and nothing of an
+earlier attempt is left over.
+
+The manifest lists the live loads with their batch and the largest keys they
+gave out.  :meth:`Warehouse.compact` merges all loads but the last into one, so
+neither the list nor the number of files grows with the number of batches.
+One writer at a time is assumed.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tillroll.schemas import LOAD, TABLE_PARTITIONS, TABLE_SCHEMAS
+from tillroll.session import fs_exists, fs_read_text, fs_write_text, shared_path
 
-from tillroll.schemas import TABLE_PARTITIONS, TABLE_SCHEMAS
-from tillroll.session import fs_exists, shared_path
+TABLES = ("sales_fact", "quarantine", "supplier_dim", "store_dim", "date_dim", "product_dim", "customer_dim")
 
 
 @dataclass
@@ -55,52 +67,117 @@ class Warehouse:
     def exists(self, table: str) -> bool:
         return fs_exists(self.spark, self.path(table))
 
-    def read(self, table: str, before_batch: int | None = None, upto_batch: int | None = None) -> DataFrame:
+    # -- loads -----------------------------------------------------------
+
+    def _hadoop(self, path: str):
+        jpath = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()), jpath
+
+    def _manifests(self) -> list[int]:
+        fs, p = self._hadoop(self.path("_loads"))
+        if not fs.exists(p):
+            return []
+        names = [st.getPath().getName() for st in fs.listStatus(p)]  # the last two only are kept
+        return sorted(int(n) for n in names if n.isdigit())
+
+    def loads(self) -> list[dict]:
+        """Live loads in batch order: batch (the last one, of merged loads), first, load, max (key by table)."""
+        found = self._manifests()
+        return json.loads(fs_read_text(self.spark, f"{self.path('_loads')}/{found[-1]}")) if found else []
+
+    def _publish(self, loads: list[dict]) -> None:
+        found = self._manifests()
+        seq = (found[-1] if found else -1) + 1
+        fs, folder = self._hadoop(self.path("_loads"))
+        fs_write_text(self.spark, f"{self.path('_loads')}/.{seq}", json.dumps(sorted(loads, key=lambda e: e["batch"])) + "\n")
+        fs, new = self._hadoop(f"{self.path('_loads')}/{seq}")
+        if not fs.rename(self._hadoop(f"{self.path('_loads')}/.{seq}")[1], new):
+            raise RuntimeError(f"manifest {seq} exists: another writer is at work")
+        for old in found[:-1]:
+            fs.delete(self._hadoop(f"{self.path('_loads')}/{old}")[1], False)
+
+    def new_load(self, batch_id: int) -> str:
+        """Id for an attempt to load a batch; only the last batch may be loaded again."""
+        done = self.committed_batches()
+        if done and batch_id < done[-1]:
+            raise ValueError(
+                f"batch {batch_id} is older than the last committed batch {done[-1]}: batches load in "
+                "increasing order, and only the latest may be run again"
+            )
+        return f"{batch_id}-{uuid.uuid4().hex[:12]}"
+
+    def commit(self, batch_id: int, load: str, max_keys: dict[str, int]) -> None:
+        """Makes a load the content of its batch, in all tables at once."""
+        others = [e for e in self.loads() if e["batch"] != batch_id]
+        self._publish([*others, {"batch": batch_id, "first": batch_id, "load": load, "max": max_keys}])
+
+    def committed_batches(self) -> list[int]:
+        return [e["batch"] for e in self.loads()]
+
+    def max_key(self, table: str, before_batch: int) -> int:
+        """Largest key that batches before ``before_batch`` gave out in a dimension."""
+        return max([e["max"].get(table, 0) for e in self.loads() if e["batch"] < before_batch], default=0)
+
+    def compact(self) -> None:
+        """Merges all loads but the last, which may still be run again, into one."""
+        loads = self.loads()
+        old = loads[:-1]
+        if len(old) < 2:
+            return
+        load = f"{old[-1]['batch']}-{uuid.uuid4().hex[:12]}"
+        for table in TABLES:
+            if self.exists(table):
+                rows = self.read(table, loads=[e["load"] for e in old])
+                parts = [c for c in TABLE_PARTITIONS[table] if c != LOAD]
+                self.write(table, rows.repartition(*parts, F.pmod(F.xxhash64(*rows.columns), F.lit(16))) if parts else rows, load)
+        keys = {t: max(e["max"].get(t, 0) for e in old) for e in old for t in e["max"]}
+        self._publish([{"batch": old[-1]["batch"], "first": old[0]["first"], "load": load, "max": keys}, loads[-1]])
+
+    def vacuum(self) -> int:
+        """Deletes the files of loads that are not live; number of folders deleted."""
+        live = {e["load"] for e in self.loads()}
+        n = 0
+        for table in TABLES:
+            depth = "/*" * (len(TABLE_PARTITIONS[table]) - 1)
+            fs, p = self._hadoop(f"{self.path(table)}{depth}/{LOAD}=*")
+            for st in fs.globStatus(p) or []:
+                if st.getPath().getName().split("=", 1)[1] not in live:
+                    fs.delete(st.getPath(), True)
+                    n += 1
+        return n
+
+    # -- tables ----------------------------------------------------------
+
+    def read(
+        self, table: str, before_batch: int | None = None, upto_batch: int | None = None, loads: list[str] | None = None
+    ) -> DataFrame:
+        """Rows of the live loads, or of the given ones (a load that is being written)."""
         schema = TABLE_SCHEMAS[table]
-        if not self.exists(table):
+        last = upto_batch if before_batch is None else before_batch - 1
+        if loads is None:
+            loads = [e["load"] for e in self.loads() if last is None or e["first"] <= last]
+        if not loads or not self.exists(table):
             return self.spark.createDataFrame([], schema)
-        df = self.spark.read.schema(schema).option("basePath", self.path(table)).parquet(self.path(table))
-        if before_batch is not None:
-            df = df.where(F.col("batch_id") < F.lit(before_batch))
-        if upto_batch is not None:
-            df = df.where(F.col("batch_id") <= F.lit(upto_batch))
-        return df
-
-    def write(self, table: str, df: DataFrame) -> None:
-        """Overwrite the partitions present in ``df``; leave the others alone."""
+        stored = T.StructType([*schema.fields, T.StructField(LOAD, T.StringType(), True)])
+        df = self.spark.read.schema(stored).option("basePath", self.path(table)).parquet(self.path(table))
+        df = df.where(F.col(LOAD).isin(loads)).select(*schema.names)
+        return df if last is None else df.where(F.col("batch_id") <= F.lit(last))
+
+    def write(self, table: str, df: DataFrame, load: str) -> None:
+        """Adds rows to a load; nobody sees them before it is committed."""
         schema = TABLE_SCHEMAS[table]
-        out = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-        (
-            out.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*TABLE_PARTITIONS[table])
-            .parquet(self.path(table))
-        )
-
-    def batch_partitions(self, table: str) -> list[int]:
-        """batch_id values present in a table, from the directory listing only."""
-        if not self.exists(table):
-            return []
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path(table))
-        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("batch_id="):
-                out.append(int(name.split("=", 1)[1]))
-        return sorted(out)
+        out = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields], F.lit(load).alias(LOAD))
+        out.write.mode("append").partitionBy(*TABLE_PARTITIONS[table]).parquet(self.path(table))
 
     def create(self) -> None:
-        """Create every table empty, with its declared schema, if absent."""
-        for table, schema in TABLE_SCHEMAS.items():
-            if not self.exists(table):
-                self.write(table, self.spark.createDataFrame([], schema))
+        """Create every table empty if absent."""
+        for table in TABLES:
+            fs, p = self._hadoop(self.path(table))
+            fs.mkdirs(p)
 
     def drop_all(self) -> None:
         """DROP TABLE IF EXISTS for every table, fact first."""
-        for table in ("sales_fact", "quarantine", "supplier_dim", "store_dim", "date_dim", "product_dim",
-                      "customer_dim", "_batches"):
+        for table in (*TABLES, "_loads"):
             self.drop(table)
 
     def drop(self, table: str) -> None:
@@ -114,13 +191,3 @@ class Warehouse:
     def star(self, upto_batch: int | None = None) -> Star:
         r = lambda t: self.read(t, upto_batch=upto_batch)
         return Star(r("customer_dim"), r("product_dim"), r("store_dim"), r("supplier_dim"), r("date_dim"), r("sales_fact"))
-
-    def committed_batches(self) -> list[int]:
-        """Batch ids with a commit marker, from the directory listing."""
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path("_batches"))
-        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(p):
-            return []
-        names = [st.getPath().getName() for st in fs.listStatus(p)]
-        return sorted(int(n) for n in names if n.isdigit())
