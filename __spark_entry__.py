@@ -12,6 +12,7 @@ test tables, the analytics over the warehouse that the ETL loads from them
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,10 +22,13 @@ from tillroll import etl
 from tillroll import oracle as O
 from tillroll.operators import facts as X
 from tillroll.operators import keys as K
-from tillroll.operators.quality import constraint_report
+from tillroll.operators.quality import broken_star, constraint_report
 from tillroll.plans import basket, demographics, growth, rollup, spikes, topn, views
+from tillroll.schemas import RAW_TEXT
+from tillroll.session import input_fingerprint, shared_path
 from tillroll.sources import testdata
-from tillroll.sources.masters import keep_first, keep_last
+from tillroll.sources.masters import keep_first, keep_last, read_product_master
+from tillroll.sources.transactions import read_transactions
 
 try:
     from tillroll.llm import queries as corpus
@@ -35,6 +39,7 @@ except ModuleNotFoundError as e:  # the subpackage is optional
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 Y = O.YEARS
+CUTOVER = "1998-01-01"  # the two-batch loads split the feed at this order date
 
 
 def _star(spark: SparkSession, sf_dir: str):
@@ -61,28 +66,84 @@ def _tx(spark, sf_dir):
     return testdata.transactions(spark, sf_dir)
 
 
+def _streamed(spark, sf_dir, name, join):
+    """The feed as a stream from ``lineitem``, joined by ``join``, drained into Parquet in the shared folder and read back."""
+    fp = f"{input_fingerprint(spark, testdata.table_paths(sf_dir))}-{name}-{uuid.uuid4().hex[:8]}"
+    out, ckpt = shared_path(spark, "streams", fp, "out"), shared_path(spark, "streams", fp, "checkpoint")
+    joined = join(testdata.stream_transactions_from_tables(spark, sf_dir))
+    joined.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start().awaitTermination()
+    return _dbl(spark.read.parquet(out), "price")
+
+
 def stream_product_join(spark, sf_dir):
-    return _dbl(X.product_join(_tx(spark, sf_dir), testdata.product_master(spark, sf_dir)), "price")
+    return _streamed(spark, sf_dir, "product", lambda tx: X.product_join(tx, testdata.product_master(spark, sf_dir)))
 
 
 def stream_customer_join(spark, sf_dir):
-    matched = X.customer_join(
-        X.product_join(_tx(spark, sf_dir), testdata.product_master(spark, sf_dir)),
-        testdata.customer_master(spark, sf_dir),
-    )
-    return _dbl(matched, "price")
+    pm, cm = testdata.product_master(spark, sf_dir), testdata.customer_master(spark, sf_dir)
+    return _streamed(spark, sf_dir, "customer", lambda tx: X.customer_join(X.product_join(tx, pm), cm))
 
 
-def _enriched(spark, sf_dir):
-    return X.enrich(_tx(spark, sf_dir), testdata.product_master(spark, sf_dir), testdata.customer_master(spark, sf_dir))
+def _holed(spark, sf_dir):
+    """The feed joined to masters that lack some ids by fixed rules, so that lines are set aside."""
+    pm = testdata.product_master(spark, sf_dir).where("cast(product_id as bigint) % 17 <> 3")
+    cm = testdata.customer_master(spark, sf_dir).where("cast(customer_id as bigint) % 19 <> 5")
+    return X.enrich(_tx(spark, sf_dir), pm, cm)
 
 
 def unmatched_transactions(spark, sf_dir):
-    return X.quarantined_rows(_enriched(spark, sf_dir))
+    return X.quarantined_rows(_holed(spark, sf_dir)).drop(*RAW_TEXT)
 
 
 def ingest_metrics(spark, sf_dir):
-    return etl.ingest_metrics(_enriched(spark, sf_dir))
+    return etl.ingest_metrics(_holed(spark, sf_dir))
+
+
+def _csv(spark, sf_dir, name, df):
+    path = shared_path(spark, "csv", f"{input_fingerprint(spark, testdata.table_paths(sf_dir))}-{name}-{uuid.uuid4().hex[:8]}")
+    df.write.option("header", True).option("escape", '"').csv(path)
+    return path
+
+
+def csv_masters(spark, sf_dir):
+    """S1 from CSV files with other column order, a column of their own and quoted names."""
+    m = testdata.product_master(spark, sf_dir)
+    raw = m.select(
+        F.concat("store_name", F.lit(' "quoted", one')).alias("storeName"), F.lit("x").alias("own"), F.col("price").alias("price$"),
+        F.col("supplier_id").alias("supplierID"), F.col("product_id").alias("Product_ID"), F.col("store_id").alias("storeID"),
+        F.col("supplier_name").alias("supplierName"), F.col("product_category").alias("Product_Category"),
+    )
+    return _dbl(read_product_master(spark, _csv(spark, sf_dir, "products", raw)), "price")
+
+
+def csv_transactions(spark, sf_dir):
+    """S3 (batch) from CSV files with a leading index column and other column order."""
+    raw = _tx(spark, sf_dir).select(
+        F.monotonically_increasing_id().alias("index"), "date", F.col("product_id").alias("Product_ID"), "quantity",
+        F.col("order_id").alias("orderID"), F.col("customer_id").alias("Customer_ID"),
+    )
+    return read_transactions(spark, _csv(spark, sf_dir, "transactions", raw)).drop(*RAW_TEXT)
+
+
+def _natural(star):
+    """Fact rows in natural keys: surrogates depend on how the feed was cut into batches."""
+    return (
+        star.sales_fact.join(star.customer_dim.select("customer_sk", "customer_id"), "customer_sk")
+        .join(star.product_dim.select("product_sk", "product_id", "store_id", "supplier_id"), "product_sk")
+        .join(star.date_dim.select("date_sk", "date"), "date_sk")
+    )
+
+
+def redo_last_batch(spark, sf_dir):
+    """The second of two batches run again with fewer lines leaves nothing of its first run."""
+    star = etl.testdata_redone_warehouse(spark, sf_dir, CUTOVER).star()
+    return _natural(star).select("order_id", "customer_id", "product_id", "quantity", "date")
+
+
+def stream_dedup(spark, sf_dir):
+    """E15 on a stream: the feed arrives twice, with malformed copies first, and every line loads once."""
+    star = etl.testdata_dedup_stream_warehouse(spark, sf_dir).star()
+    return _natural(star).select("order_id", "product_id", "quantity", "date")
 
 
 def _dim(table: str, money_cols: tuple[str, ...] = ()):
@@ -109,10 +170,9 @@ def fact_key_lookup(spark, sf_dir):
 
 
 def surrogate_keys(spark, sf_dir):
-    """E10 on every distinct order id, through the distributed (range +
-    checkpoint + offsets) path that large key sets take."""
+    """E10 on every distinct order id."""
     orders = _tx(spark, sf_dir).select("order_id").distinct()
-    return K.dense_keys(orders, ["order_id"], "order_sk", single_task_rows=0)
+    return K.dense_keys(orders, ["order_id"], "order_sk")
 
 
 def dedup_orders(spark, sf_dir):
@@ -125,7 +185,6 @@ def dim_last_in_batch(spark, sf_dir):
     return keep_last(tx, ["order_id", "product_id"], "_pos")
 
 
-CUTOVER = "1998-01-01"  # the two-batch load splits the feed at this order date
 
 
 def dim_first_write_wins(spark, sf_dir):
@@ -135,14 +194,9 @@ def dim_first_write_wins(spark, sf_dir):
 
 def stream_ingest_fact(spark, sf_dir):
     """S3-S5, E1, E2, E12, E13 end to end: the fact loaded by the streaming
-    pipeline, in natural keys (surrogates depend on batch cuts)."""
+    pipeline, six files in six micro-batches, with a stop and restart between."""
     star = etl.testdata_stream_warehouse(spark, sf_dir).star()
-    out = (
-        star.sales_fact.join(star.customer_dim.select("customer_sk", "customer_id"), "customer_sk")
-        .join(star.product_dim.select("product_sk", "product_id", "store_id", "supplier_id"), "product_sk")
-        .join(star.date_dim.select("date_sk", "date"), "date_sk")
-        .select("order_id", "customer_id", "product_id", "store_id", "supplier_id", "date", "quantity", "total_price")
-    )
+    out = _natural(star).select("order_id", "customer_id", "product_id", "store_id", "supplier_id", "date", "quantity", "total_price")
     return _dbl(out, "total_price")
 
 
@@ -150,6 +204,10 @@ def constraint_check(spark, sf_dir):
     return constraint_report(_star(spark, sf_dir))
 
 
+def constraint_check_broken(spark, sf_dir):
+    return constraint_report(broken_star(_star(spark, sf_dir)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         # ETL operators
@@ -169,6 +227,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dim_last_in_batch": dim_last_in_batch,
         "dim_first_write_wins": dim_first_write_wins,
         "constraint_check": constraint_check,
+        "constraint_check_broken": constraint_check_broken,
+        "csv_masters": csv_masters,
+        "csv_transactions": csv_transactions,
+        "redo_last_batch": redo_last_batch,
+        "stream_dedup": stream_dedup,
         "stream_ingest_fact": stream_ingest_fact,
         # Analytics
         "fact_row_count": _analytic(views.fact_row_count),

@@ -14,7 +14,7 @@ from tillroll.schemas import CUSTOMER_MASTER, PRODUCT_MASTER, TRANSACTIONS
 def test_dense_keys_equal_row_number(spark):
     df = spark.range(0, 5000).select(F.format_string("id%05d", (F.col("id") * 7919) % 5000).alias("k"))
     want = df.withColumn("sk", F.row_number().over(Window.orderBy("k")) + 100)
-    distributed = dense_keys(df, ["k"], "sk", start=100, num_partitions=7, single_task_rows=0)
+    distributed = dense_keys(df, ["k"], "sk", start=100, num_partitions=7)
     single = dense_keys(df, ["k"], "sk", start=100)
     for got in (distributed, single):
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
@@ -23,7 +23,7 @@ def test_dense_keys_equal_row_number(spark):
 def test_dense_keys_empty(spark):
     df = spark.createDataFrame([], "k string")
     assert dense_keys(df, ["k"], "sk").count() == 0
-    assert dense_keys(df, ["k"], "sk", single_task_rows=0).count() == 0
+    assert dense_keys(df, ["k"], "sk").count() == 0
 
 
 def test_unmatched_rows_are_quarantined(load, wh):

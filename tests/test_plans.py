@@ -16,7 +16,9 @@ def _plan(df) -> str:
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {name: _plan(fn(spark, SF_SMALL)) for name, fn in E.queries().items()}
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    own = {n: fn for n, fn in E.queries().items() if E.corpus is None or n not in E.corpus.QUERIES}
+    return {name: _plan(fn(spark, SF_SMALL)) for name, fn in own.items()}
 
 
 def test_no_cross_or_nested_loop_joins(plans):
