@@ -31,7 +31,7 @@ from tillroll.sources.masters import keep_first, keep_last, read_product_master
 from tillroll.sources.transactions import read_transactions
 
 try:
-    from tillroll.llm import queries as corpus
+    import tillroll.llm.queries as corpus
 except ModuleNotFoundError as e:  # the subpackage is optional
     if not (e.name or "").startswith("tillroll.llm"):
         raise
