@@ -288,9 +288,10 @@ def lookup(index: DataFrame, folder: str, record_ids: list[str]) -> list[tuple[s
 
 
 def folder_for(spark: SparkSession) -> str:
-    """A new folder for bundles in the shared folder."""
-    path = shared_path(spark, "llm", f"warc-{uuid.uuid4().hex}")
-    return path if "://" in path or path.startswith("file:") else f"file://{path}"
+    """URI of a new folder for bundles in the shared folder, on the file system that Spark takes it to be on."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(shared_path(spark, "llm", f"warc-{uuid.uuid4().hex}"))
+    uri = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(jpath).toString()
+    return uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri
 
 
 def archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least: int = LEAST_REVISIT) -> DataFrame:
