@@ -94,6 +94,24 @@ def _kept_lines(src, text):
     return [] if text == "" and src.split("\n")[0] != "" and not any(not x.split() for x in src.split("\n")) else text.split("\n")
 
 
+def test_hot_tokens_are_settled_as_cold_ones_are(spark):
+    """The same classes are found whatever counts as hot."""
+    rng = random.Random(7)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(120):
+        ws = list(base) if i % 3 else base[:30] + [f"x{j}" for j in range(20)]
+        for _ in range(rng.choice([0, 1, 1, 2, 3])):
+            ws[rng.randrange(len(ws))] = f"e{rng.randrange(9)}"
+        rows.append((i, " ".join(ws)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    classes = line_dedup.classes_of(df, "doc_id", "text")
+    found = [{r.cid for r in line_dedup.later_matches(classes, bits=12, least_hot=h).collect()} for h in (0, 3, 60)]
+    assert found[0] == found[1] == found[2] and len(found[0]) > 20
+    kept = {i for i, t in brute_lines(rows) if t}
+    assert {r.first.id for r in classes.filter(~classes.cid.isin(list(found[0]))).collect()} == kept
+
+
 def test_line_dedup_edges(spark):
     schema = "doc_id bigint, text string, lang string"
     assert line_dedup.deduplicate(spark.createDataFrame([], schema)).count() == 0

@@ -42,7 +42,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` to a table of its own in the shared folder and read it back.
 
     This cuts the lineage (a lost executor costs a re-read, not a re-run) and
@@ -54,10 +54,20 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(_CLEANUP)
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.option("compression", "zstd").parquet(path, partitionBy=partition_by)
     finally:
         spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path  # for discard()
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables made by :func:`staged`, once nothing that is still to run reads them."""
+    for t in tables:
+        spark = t.sparkSession
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(t._staged_at)
+        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
 def append_arrow(df: DataFrame, fields: str, make: Callable[[], Callable[[pa.RecordBatch], list]]) -> DataFrame:
@@ -93,6 +103,17 @@ def pa_type(t: T.DataType) -> pa.DataType:
     return to_arrow_type(t)
 
 
+_STATE: dict = {}
+
+
+def worker_state(key, build: Callable):
+    """What a worker keeps between tasks: one operator's state at a time, so that the stages of a pipeline don't add up."""
+    if key not in _STATE:
+        _STATE.clear()
+        _STATE[key] = build()
+    return _STATE[key]
+
+
 def utf8_list(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column, null as empty."""
     return [b or b"" for b in column.cast(pa.binary()).to_pylist()]

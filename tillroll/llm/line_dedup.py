@@ -22,14 +22,15 @@ Candidates are verified on their whole sets.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import discard, staged
 
 SHINGLE = 5
 NUM, DEN = 4, 5  # the similarity 0.8 in whole numbers
 BITS = 18
+LEAST_HOT = 6  # level of a counter below which its tokens count as cold in any case
 _SPACE = r"[\x09-\x0D\x20]+"
 
 
@@ -37,28 +38,42 @@ def _words(line: Column) -> Column:
     return F.filter(F.split(F.lower(line), _SPACE), lambda w: w != "")
 
 
-def _shingles(words: str, size: int = SHINGLE) -> Column:
-    """Distinct shingle hashes of a word array; one for all words if there are fewer."""
-    at = ", ".join(f"{words}[i + {k}]" for k in range(size))
-    return F.expr(
-        f"CASE WHEN size({words}) < {size} THEN array(xxhash64({words})) "
-        f"ELSE array_distinct(transform(sequence(0, size({words}) - {size}), i -> xxhash64({at}))) END"
-    )
+def _gram(at: str, size: int = SHINGLE) -> str:
+    """Hash of the ``size`` words from ``at`` in the array ``h`` of word hashes; of the whole array if it has fewer (at < 0)."""
+    words = ", ".join(f"get(h, {at} + {k})" for k in range(size))
+    return f"CASE WHEN {at} < 0 THEN xxhash64(h) ELSE xxhash64({words}) END"
+
+
+_PLACES = f"CASE WHEN size(h) < {SHINGLE} THEN array(-1) ELSE sequence(0, size(h) - {SHINGLE}) END"
+
+
+def _hashed(words: str = "words") -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w)).alias("h")
+
+
+def _shingles() -> Column:
+    """Distinct shingle hashes of a line, from its word hashes ``h``."""
+    return F.expr(f"array_distinct(transform({_PLACES}, i -> {_gram('i')}))")
 
 
 def _ceil(a: Column, b: int) -> Column:
     return F.floor((a + (b - 1)) / b).cast("int")
 
 
-def _histogram(classes: DataFrame, bits: int) -> Column:
-    """Per counter the logarithm of its shingles, one byte each, as a literal of ``2 ** bits`` bytes."""
+def _histogram(classes: DataFrame, bits: int) -> tuple[Column, int]:
+    """Per counter the level (logarithm) of its shingles, one byte each, as a literal of ``2 ** bits`` bytes; the mean's level."""
     spark = classes.sparkSession
-    counts = classes.select(F.explode(_shingles("words")).alias("s")).groupBy(F.pmod("s", F.lit(1 << bits)).alias("k")).count()
+    # places are exploded, not shingles: their hashes and counters then are generated code
+    places = classes.select(_hashed()).select("h", F.explode(F.expr(_PLACES)).alias("i"))
+    counts = places.select(F.expr(_gram("i")).alias("s")).groupBy(F.pmod("s", F.lit(1 << bits)).alias("k")).count()
     full = spark.range(1 << bits).select(F.col("id").alias("k"), F.lit(0).cast("bigint").alias("count")).unionByName(counts)
     full = full.groupBy("k").agg(F.sum("count").alias("c"))
     level = F.char(F.lit(48) + F.floor(F.log2(F.col("c") + 1)).cast("bigint"))
-    line = full.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", level.alias("l")))), lambda x: x["l"]), "").alias("h"))
-    return F.lit(line.first()["h"].encode())
+    row = full.agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", level.alias("l")))), lambda x: x["l"]), "").alias("h"),
+        F.floor(F.log2(F.avg("c") + 1)).cast("int").alias("mean"),
+    ).first()
+    return F.lit(row["h"].encode()), row["mean"] or 0
 
 
 def _ordered(shingles: Column, histogram: Column, bits: int) -> Column:
@@ -83,34 +98,76 @@ def classes_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     lines = lines.select("place", F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words").alias("h2"), F.array_join("words", " ").alias("norm"))
     classes = lines.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.first("norm").alias("norm"))
     classes = staged(classes.select(F.monotonically_increasing_id().alias("cid"), "first", "norm"), "line-classes")
-    return classes.select("cid", "first", F.split("norm", " ").alias("words"))
+    out = classes.select("cid", "first", F.split("norm", " ").alias("words"))
+    out._staged_at = classes._staged_at
+    return out
 
 
-def later_matches(classes: DataFrame, bits: int = BITS) -> DataFrame:
-    """cid of every class that matches a class which comes first earlier."""
-    histogram = _histogram(classes, bits)
-    tokens = _ordered(_shingles("words"), histogram, bits)
-    t = classes.select("cid", tokens.alias("tokens")).withColumn("n", F.size("tokens"))
+def later_matches(classes: DataFrame, bits: int = BITS, least_hot: int = LEAST_HOT) -> DataFrame:
+    """cid of every class that matches a class which comes first earlier.
+
+    ``least_hot`` is the level from which a token may count as hot (0: all do).
+
+    Prefixes are staged in two parts.  A cold token's counter is at most four
+    times the mean, which bounds its lines by a fixed share of the corpus; its
+    lines are counted and, if it has several, joined.  A hot token would make
+    pairs with the square of its lines.  So its lines are first compared with
+    the earliest of them alone: those that match are later matches, which
+    settles them, and only pairs with an unsettled line are made after that.
+    """
+    histogram, mean = _histogram(classes, bits)
+    t = classes.select("cid", "first", _hashed()).select("cid", "first", _ordered(_shingles(), histogram, bits).alias("tokens")).withColumn("n", F.size("tokens"))
     prefix = F.col("n") - _ceil(F.col("n") * NUM, DEN) + 1
-    posts = t.select("cid", "n", F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("pos", "token"))
-    posts = staged(posts, "line-prefixes")
+    posts = t.select("cid", "first", "n", F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("pos", "token"))
+    least = max(mean + 2, least_hot) if least_hot else 0
+    hot = (F.shiftrightunsigned("token", 57) >= least).cast("int")
+    posts = posts.select("cid", "n", "pos", "token", F.when(hot == 1, F.col("first")).alias("at"), hot.alias("hot"))
+    posts = staged(posts, "line-prefixes", "hot")
+
+    cold = posts.filter("hot = 0").select("token", "cid", "n", "pos")
+    cold = cold.withColumn("_c", F.count("*").over(Window.partitionBy("token"))).filter("_c > 1").drop("_c")
+    cold = staged(cold, "line-shared")
+    some = posts.filter("hot = 1").select("token", "cid", "n", "pos", "at")
+    lead = some.groupBy("token").agg(F.min(F.struct("at", "cid", "n", "pos")).alias("l"))
+    led = some.join(lead, "token").select("cid", "n", "pos", F.col("l.cid").alias("y"), F.col("l.n").alias("ny"), F.col("l.pos").alias("py"))
+    led = led.filter((F.col("cid") != F.col("y")) & _enough("n", "pos", "ny", "py")).select(F.col("cid").alias("x"), "y").distinct()
+    settled = _verified(staged(led, "line-led"), classes)
+    some = some.select("token", "cid", "n", "pos")
+    open_, done = some.join(settled, "cid", "left_anti"), some.join(settled, "cid", "left_semi")
+
+    pairs = _candidates(cold, cold).union(_candidates(open_, some)).union(_candidates(done, open_)).distinct()
+    pairs = staged(pairs, "line-pairs")
+    discard(posts, cold)
+    return staged(settled.union(_verified(pairs, classes)).distinct(), "line-later")
+
+
+def _enough(n: str, pos: str, ny: str, py: str) -> Column:
+    """Length and positional filters at the first common token of two lines."""
+    a, b = F.col(n), F.col(ny)
+    need = _ceil((a + b) * NUM, NUM + DEN)
+    return (F.least(a, b) * DEN >= F.greatest(a, b) * NUM) & (F.least(a - F.col(pos), b - F.col(py)) >= need)
+
+
+def _candidates(probe: DataFrame, index: DataFrame) -> DataFrame:
+    """Pairs (x, y), y the shorter, that pass the prefix, length and positional filters at some common token."""
     short = F.col("pos") < F.col("n") - _ceil(F.col("n") * 2 * NUM, NUM + DEN) + 1
-    index = posts.filter(short).select("token", F.col("cid").alias("y"), F.col("n").alias("ny"), F.col("pos").alias("py"))
-    probe = posts.select("token", F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"))
-    need = _ceil((F.col("nx") + F.col("ny")) * NUM, NUM + DEN)
-    meet = (
-        ((F.col("ny") < F.col("nx")) | ((F.col("ny") == F.col("nx")) & (F.col("y") < F.col("x"))))
-        & (F.col("ny") * DEN >= F.col("nx") * NUM)
-        & (F.least(F.col("ny") - F.col("py"), F.col("nx") - F.col("px")) >= need)
-    )
-    pairs = staged(probe.join(index, "token").filter(meet).select("x", "y").distinct(), "line-pairs")
+    index = index.filter(short).select("token", F.col("cid").alias("y"), F.col("n").alias("ny"), F.col("pos").alias("py"))
+    probe = probe.select("token", F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"))
+    shorter = (F.col("ny") < F.col("nx")) | ((F.col("ny") == F.col("nx")) & (F.col("y") < F.col("x")))
+    return probe.join(index, "token").filter(shorter & _enough("nx", "px", "ny", "py")).select("x", "y").distinct()
+
+
+def _verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """cid of the later class of every pair whose whole sets are similar enough; deletes ``pairs``."""
     ids = pairs.select(F.explode(F.array("x", "y")).alias("cid")).distinct()
-    sets = classes.join(ids, "cid", "left_semi").select("cid", "first", _shingles("words").alias("s"))
-    sets = staged(sets, "line-sets")
+    sets = staged(classes.join(ids, "cid", "left_semi").select("cid", "first", _hashed()).select("cid", "first", _shingles().alias("s")), "line-sets")
     both = pairs.join(sets.toDF("x", "fx", "sx"), "x").join(sets.toDF("y", "fy", "sy"), "y")
     common = F.size(F.array_intersect("sx", "sy"))
     same = common * (NUM + DEN) >= (F.size("sx") + F.size("sy")) * NUM
-    return both.filter(same & (F.col("fx") != F.col("fy"))).select(F.when(F.col("fx") > F.col("fy"), F.col("x")).otherwise(F.col("y")).alias("cid")).distinct()
+    later = both.filter(same & (F.col("fx") != F.col("fy"))).select(F.when(F.col("fx") > F.col("fy"), F.col("x")).otherwise(F.col("y")).alias("cid"))
+    later = staged(later.distinct(), "line-later")
+    discard(pairs, sets)
+    return later
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -123,8 +180,11 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     text all of whose lines match earlier ones becomes empty.
     """
     classes = classes_of(docs, id_col, text_col)
-    kept = classes.join(later_matches(classes), "cid", "left_anti")
+    later = later_matches(classes)
+    kept = classes.join(later, "cid", "left_anti")
     kept = kept.groupBy(F.col("first.none").alias("_none"), F.col("first.id").alias("_id")).agg(F.collect_list("first.line_no").alias("_kept"))
+    kept = staged(kept.select("_id", "_kept"), "line-kept")
+    discard(classes, later)
     rows = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(id_col).alias("_key"), F.split(text_col, "\n", -1).alias("_lines"))
     rows = rows.join(kept, F.col("_key").eqNullSafe(F.col("_id")), "left")
     none = F.expr("cast(array() as array<int>)")
