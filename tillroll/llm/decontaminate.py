@@ -22,7 +22,7 @@ from itertools import repeat
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import append_arrow, staged, utf8_list
+from .common import append_arrow, staged, utf8_list, worker_state
 
 WINDOW = 10
 BLOCK_WORDS = 200_000
@@ -32,7 +32,6 @@ _TABLE = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256)
 )
 _FOUND = "n_words bigint, ranges array<struct<s:bigint,e:bigint>>, items array<string>"
-_BUILT: dict[str, tuple] = {}
 
 
 def words(text: bytes) -> list[bytes]:
@@ -152,10 +151,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **
 def _pass(df: DataFrame, shared, window: int, first: bool) -> DataFrame:
     def make():
         key, block = shared.value
-        if key not in _BUILT:
-            _BUILT.clear()
-            _BUILT[key] = build(block, window)
-        symbols, auto = _BUILT[key]
+        symbols, auto = worker_state(("benchmark", key), lambda: build(block, window))
 
         def fn(b):
             found = [scan(t, symbols, auto) for t in utf8_list(b.column("_text"))]

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow
+from .common import map_arrow, worker_state
 
 TOKENIZERS = "/opt/tokenizers"
 MODEL = "piece_bpe_32k.model"
@@ -45,11 +45,10 @@ SAMPLES = 2
 THETA = 1.0
 MARK = "▁"
 _OPEN = 16  # siblings drawn at a time; those further along a path wait together
-_EDGES = 6_000_000  # of the word lattices a worker keeps
-_WORDS_AT_ONCE = 150_000
+_EDGES = 3_000_000  # of the word lattices a worker keeps
+_WORDS_AT_ONCE = 60_000
 _UNIT = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
 _M = (1 << 64) - 1
-_HELD: dict[str, tuple] = {}
 
 
 def load_vocabulary(folder: str = TOKENIZERS, model: str = MODEL) -> tuple[dict[str, tuple[int, float]], list[int], int]:
@@ -114,7 +113,7 @@ class Lattices(dict):
     once, then the backward sums run from all word ends towards the starts.
     """
 
-    _CHARS = 400_000  # built at a time, or one word
+    _CHARS = 60_000  # built at a time, or one word: some 1 KB each while it lasts
 
     def __init__(self, pieces: dict[str, tuple[int, float]], byte_ids: list[int], size: int, theta: float = THETA):
         super().__init__()
@@ -500,10 +499,7 @@ def encode(
 
     def run(batches):
         token, (pieces, byte_ids, size) = shared.value
-        if (token, theta) not in _HELD:
-            _HELD.clear()
-            _HELD[(token, theta)] = Lattices(pieces, byte_ids, size, theta)
-        lat = _HELD[(token, theta)]
+        lat = worker_state(("lattices", token, theta), lambda: Lattices(pieces, byte_ids, size, theta))
         for b in batches:
             texts = b.column("_text").to_pylist()
             keys = b.column("_key").to_numpy().view(np.uint64).tolist()

@@ -19,14 +19,13 @@ from collections import deque
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import append_arrow, utf8_list
+from .common import append_arrow, utf8_list, worker_state
 
 TOKENIZERS = "/opt/tokenizers"
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 _CACHE = 400_000
 _LONGEST_CACHED = 64
-_HELD: dict[str, tuple] = {}
 
 
 def load_pieces(folder: str = TOKENIZERS, model: str = MODEL) -> tuple[list[str], bool]:
@@ -138,10 +137,7 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def make():
         key, (plain, fallback) = shared.value
-        if key not in _HELD:
-            _HELD.clear()
-            _HELD[key] = _Counts(LongestMatch(plain, fallback))
-        size = _HELD[key].__getitem__
+        size = worker_state(("tokens", key), lambda: _Counts(LongestMatch(plain, fallback))).__getitem__
 
         def fn(b):
             rows = []
