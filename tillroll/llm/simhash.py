@@ -130,7 +130,8 @@ def near_duplicates(
     linked = cc.join(classes, "fp").select("component", "fp", "low")
     lows = linked.groupBy("component").agg(F.min("low").alias("lowest"))
     linked = staged(linked.join(lows, "component").select("fp", "lowest"), "linked")
-    by_fp = classes.join(linked, "fp", "left").select("fp", F.coalesce("lowest", "low").alias("component_id"))
+    # staged, so that the join below is one of two plain exchanges, of which a hot fingerprint's can be split
+    by_fp = staged(classes.join(linked, "fp", "left").select("fp", F.coalesce("lowest", "low").alias("component_id")), "components")
     out = sig.join(by_fp, "fp")
     return out.select(F.col("_id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
