@@ -123,6 +123,23 @@ def test_line_dedup_edges(spark):
     assert [r.text for r in line_dedup.deduplicate(same).collect()] == [hot, hot]
 
 
+def test_line_dedup_of_rows_that_share_an_id_or_have_none(spark):
+    """Their lines are removed as those of other rows are; copies without an id leave one."""
+    hot = "one very common line that all documents share word for word"
+    schema = "doc_id bigint, text string, _row string"
+    for shared in (None, 7):
+        rows = [(shared, f"{hot}\nown {i} line with its very own words {i * 7} {i * 13} {i * 17}", str(i)) for i in range(200)]
+        got = line_dedup.deduplicate(spark.createDataFrame(rows, schema)).collect()
+        assert sorted(r._row for r in got) == sorted(r[2] for r in rows)
+        assert sum(hot in r.text for r in got) == 1 and sum(r.n_removed for r in got) == 199
+        assert all(f"own {r._row} line" in r.text for r in got)
+    copies = spark.createDataFrame([(None, hot, str(i)) for i in range(50)] + [(3, "x\n" + hot.upper(), "n")], schema)
+    got = line_dedup.deduplicate(copies).collect()
+    assert sorted(r.text for r in got) == [""] * 50 + ["x\n" + hot.upper()]
+    near = spark.createDataFrame([(None, f"{hot} and {'a good deal more ' * 8}{w}", w) for w in ("p", "q", "r")], schema)
+    assert sorted(r.n_removed for r in line_dedup.deduplicate(near).collect()) == [0, 1, 1]
+
+
 # ---------------------------------------------------------------- SimHash
 
 

@@ -3,7 +3,7 @@
 A line is the set of its five-word shingles (all its words if it has fewer).
 Two lines match when the Jaccard similarity of their sets is 0.8 or more; a
 line that matches any line earlier in the corpus, by document id and then line
-number, is removed.
+number, is removed; documents that share an id or have none stay apart.
 
 Equal lines form one class first, so copies cost one row.  Shingles are put in
 one order for the whole corpus, rare ones first, by a histogram of hashed
@@ -87,13 +87,33 @@ def _ordered(shingles: Column, histogram: Column, bits: int) -> Column:
     return F.sort_array(F.transform(shingles, number))
 
 
+def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(_doc, _id, _text, _row, _hash): the rows of ``docs`` and what tells them apart besides the id.
+
+    Rows without an id are staged with a number each (few or none, as a rule);
+    rows with one have number 0 and are told apart by the hash of the text.
+    """
+    rows = docs.select(F.struct(*docs.columns).alias("_doc"))
+    at = F.col(f"_doc.`{id_col}`")
+    bare = staged(rows.filter(at.isNull()).withColumn("_row", F.monotonically_increasing_id()), "line-bare")
+    rows = rows.filter(at.isNotNull()).withColumn("_row", F.lit(0).cast("bigint")).unionByName(bare)
+    text = F.col(f"_doc.`{text_col}`")
+    return rows.select("_doc", at.alias("_id"), text.alias("_text"), "_row", F.xxhash64(text).alias("_hash"))
+
+
 def classes_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(cid, first, words): the distinct lines and the place of the first occurrence of each.
 
-    ``first`` orders by document id (null ids last) and line number.
+    ``first`` orders by document id (null ids last), hash of the text, row
+    number and line number.
     """
-    lines = docs.select(F.col(id_col).alias("_id"), F.posexplode(F.split(text_col, "\n", -1)).alias("line_no", "line"))
-    lines = lines.select(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), "line_no").alias("place"), _words(F.col("line")).alias("words"))
+    return _classes(_numbered(docs, id_col, text_col))
+
+
+def _classes(rows: DataFrame) -> DataFrame:
+    lines = rows.select("_id", "_hash", "_row", F.posexplode(F.split("_text", "\n", -1)).alias("line_no", "line"))
+    place = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_hash").alias("hash"), F.col("_row").alias("row"), "line_no")
+    lines = lines.select(place.alias("place"), _words(F.col("line")).alias("words"))
     lines = lines.filter(F.size("words") > 0)
     lines = lines.select("place", F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words").alias("h2"), F.array_join("words", " ").alias("norm"))
     classes = lines.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.first("norm").alias("norm"))
@@ -174,19 +194,24 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """``docs`` with the later matches removed from its texts, and n_lines and n_removed behind its columns.
 
     Lines are cut at line feeds; lines without words stay and match nothing.
-    All columns are returned; a null text stays null.  Rows that share an id
-    (repeated rows, or rows without one) hold the same places, so none of them
-    is later than another: what one may keep at a line number, all may.  A
-    text all of whose lines match earlier ones becomes empty.
+    All columns are returned; a null text stays null.  Rows without an id come
+    last, each as a document of its own; rows that share an id but not the text
+    are documents of their own too, in the order of the texts' hashes.  Only
+    rows equal in id and text are one document that is repeated: they hold the
+    same places and keep the same lines.  A text all of whose lines match
+    earlier ones becomes empty.
     """
-    classes = classes_of(docs, id_col, text_col)
+    rows = _numbered(docs, id_col, text_col)
+    classes = _classes(rows)
     later = later_matches(classes)
-    kept = classes.join(later, "cid", "left_anti")
-    kept = kept.groupBy(F.col("first.none").alias("_none"), F.col("first.id").alias("_id")).agg(F.collect_list("first.line_no").alias("_kept"))
-    kept = staged(kept.select("_id", "_kept"), "line-kept")
+    kept = classes.join(later, "cid", "left_anti").select("first.*")
+    # the lines of one text: no list is longer than that
+    kept = kept.groupBy("id", "hash", "row").agg(F.collect_list("line_no").alias("_kept"))
+    kept = staged(kept, "line-kept")
     discard(classes, later)
-    rows = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(id_col).alias("_key"), F.split(text_col, "\n", -1).alias("_lines"))
-    rows = rows.join(kept, F.col("_key").eqNullSafe(F.col("_id")), "left")
+    rows = rows.select("_doc", "_id", "_hash", "_row", F.split("_text", "\n", -1).alias("_lines"))
+    same = F.col("_id").eqNullSafe(F.col("id")) & (F.col("_hash") == F.col("hash")) & (F.col("_row") == F.col("row"))
+    rows = rows.join(kept, same, "left")
     none = F.expr("cast(array() as array<int>)")
     stays = F.filter("_lines", lambda l, i: (F.size(_words(l)) == 0) | F.array_contains(F.coalesce("_kept", none), i))
     rows = rows.select("_doc", F.size("_lines").alias("_n"), stays.alias("_stays"))
