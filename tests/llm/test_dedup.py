@@ -192,6 +192,18 @@ def test_simhash_matches_brute_force(spark):
     assert simhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_keep_one_decides_by_row(spark):
+    """Rows that share an id or have none are kept or dropped one by one, one of each component."""
+    text = lambda k: " ".join(f"{k}word{i}" for i in range(80))
+    rows = [(0, text("a")), (5, text("a")), (5, text("b")), (5, text("c")), (6, text("c")), (None, text("b"))]
+    rows += [(None, text("d"))] * 30 + [(None, text("e")), (None, text("e").upper()), (8, text("f")), (8, text("f").upper()), (None, None)]
+    df = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id bigint, text string, fp int")
+    kept = simhash.keep_one(df)
+    assert kept.columns == df.columns
+    want = [(0, text("a")), (5, text("b")), (5, text("c")), (None, text("d")), (None, text("e").upper()), (8, text("f").upper()), (None, None)]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
+
+
 def test_simhash_splits_large_keys(spark):
     """Fingerprints crowded under a few keys, cut into many block pairs, link as without cutting."""
     rng = random.Random(4)

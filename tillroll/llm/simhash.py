@@ -125,34 +125,57 @@ def near_duplicates(
     get a row.  Other columns are not read.
     """
     sig = staged(signatures(docs, id_col, text_col, shingle).select(F.col(id_col).alias("_id"), "fp"), "simhash")
+    out = sig.join(_linked(sig, max_bits, segments), "fp")
+    return out.select(F.col("_id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _linked(sig: DataFrame, max_bits: int, segments: int) -> DataFrame:
+    """(fp, component, component_id) of the fingerprints of ``sig`` (_id, fp): a fingerprint that names the component, its smallest id."""
     classes = sig.groupBy("fp").agg(F.min("_id").alias("low"))
     cc = components(links(classes.select("fp"), max_bits, segments)).withColumnsRenamed({"node": "fp"})
     linked = cc.join(classes, "fp").select("component", "fp", "low")
     lows = linked.groupBy("component").agg(F.min("low").alias("lowest"))
-    linked = staged(linked.join(lows, "component").select("fp", "lowest"), "linked")
-    # staged, so that the join below is one of two plain exchanges, of which a hot fingerprint's can be split
-    by_fp = staged(classes.join(linked, "fp", "left").select("fp", F.coalesce("lowest", "low").alias("component_id")), "components")
-    out = sig.join(by_fp, "fp")
-    return out.select(F.col("_id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    linked = staged(linked.join(lows, "component").select("fp", "component", "lowest"), "linked")
+    # staged, so that the join with the rows is one of two plain exchanges, of which a hot fingerprint's can be split
+    by_fp = classes.join(linked, "fp", "left")
+    return staged(by_fp.select("fp", F.coalesce("component", "fp").alias("component"), F.coalesce("lowest", "low").alias("component_id")), "components")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """Rows of ``docs`` (all columns) that name their component; of rows repeating an id, one.
+def keep_one(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = SHINGLE,
+    max_bits: int = MAX_BITS,
+    segments: int = SEGMENTS,
+) -> DataFrame:
+    """One row of ``docs`` (all columns) per component: the least by id (nulls last), then text (nulls last).
 
-    Rows with a null id stay only in components that no id names.
+    Rows that share an id with different texts, and rows without an id, count
+    one by one.  Of rows equal in id and text one stays, the least by its
+    other columns as JSON.
     """
-    near = staged(near_duplicates(docs, id_col, text_col, **options), "near")
-    names = near.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_id")).distinct()
-    rows = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(id_col).alias("_key"), F.col(text_col).alias("_text"))
-    kept = rows.join(names, rows["_key"] == names["_id"], "left_semi")
-    first = Window.partitionBy("_key").orderBy(F.col("_text").asc_nulls_last())
-    one = kept.withColumn("_n", F.row_number().over(first)).filter("_n = 1").select("_doc.*")
-    if not near.filter(F.col(id_col).isNull()).head(1):
-        return one
-    # documents without an id are told apart by their fingerprint
-    shingle = options.get("shingle", SHINGLE)
-    alone = near.filter("component_id is null").select(F.col("fingerprint").alias("_f")).distinct()
-    bare = rows.filter(F.col("_key").isNull())
-    sig = signatures(bare.select("_doc", "_text"), "_doc", "_text", shingle)
-    sig = sig.withColumn("_f", F.lpad(F.lower(F.hex("fp")), 16, "0"))
-    return one.unionByName(sig.join(alone, "_f", "left_semi").select("_doc.*"))
+    # two hashes of id and text stand for both; only these and the fingerprint are staged
+    both = [F.col(id_col).isNull(), F.col(id_col), F.col(text_col).isNull(), F.col(text_col)]
+    hashes = [F.xxhash64(*both).alias("_h1"), F.xxhash64(F.lit(1), *both).alias("_h2")]
+    keyed = docs.select(F.struct(F.col(id_col).alias("id"), *hashes).alias("_key"), F.col(text_col).alias("_text"))
+    sig = signatures(keyed, "_key", "_text", shingle)
+    sig = staged(sig.select(F.col("_key.id").alias("_id"), "_key._h1", "_key._h2", "fp"), "simhash")
+    by_fp = _linked(sig.select("_id", "fp"), max_bits, segments)
+    least = sig.join(by_fp, "fp").filter(F.col("_id").eqNullSafe(F.col("component_id")))
+    least = staged(least.groupBy("component", "_h1", "_h2").agg(F.count("*").alias("copies")), "least")
+    sizes = staged(least.groupBy("component").agg(F.count("*").alias("n"), F.min(F.struct("_h1", "_h2")).alias("m")), "least-sizes")
+    rows = docs.select(F.struct(*docs.columns).alias("_doc"), *hashes)
+    winners = sizes.filter("n = 1").select("m._h1", "m._h2")
+    if sizes.filter("n > 1").head(1):  # several texts of the least id: the least text
+        tied = least.join(sizes.filter("n > 1"), "component", "left_semi").drop("copies")
+        text = F.col(f"_doc.`{text_col}`")
+        texts = rows.select(text.alias("text"), "_h1", "_h2").join(tied, ["_h1", "_h2"])
+        first = texts.groupBy("component").agg(F.min(F.struct(F.col("text").isNull().alias("none"), "text", "_h1", "_h2")).alias("m"))
+        winners = staged(winners.unionByName(first.select("m._h1", "m._h2")), "winners")
+    if least.filter("copies > 1").head(1):
+        rest = [F.col(f"_doc.`{c}`") for c in docs.columns if c not in (id_col, text_col)]
+        order = F.to_json(F.struct(*rest)) if rest else F.col("_h1")
+        # before the join, so that copies are reduced to one a task before they are dealt by key
+        rows = rows.withColumn("_n", F.row_number().over(Window.partitionBy("_h1", "_h2").orderBy(order))).filter("_n = 1")
+    return rows.join(winners, ["_h1", "_h2"], "left_semi").select("_doc.*")
