@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import hashlib
 import itertools
 import math
 from zlib import crc32
@@ -12,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillroll.llm import chat_repair, decontaminate, lattice_sampling, simhash, toxicity
+from tillroll.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
 
@@ -265,3 +267,23 @@ def test_pipeline_stages(spark):
     texts = {r.doc_id: r.text for r in at.collect()}
     for r in out:
         assert lattice_sampling.decode(r.pieces or [], names, byte_ids) == texts[r.doc_id]
+
+
+def test_decoding_on_spark_equals_decoding_one_by_one(spark):
+    pieces, byte_ids, size = lattice_sampling.load_vocabulary()
+    names = {i: p for p, (i, _) in pieces.items()}
+    texts = ["", " two  spaces ", "line\nfeeds\n", "é 漢字 🙂 \x01\t", "▁mark", "a" * 3000, None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = lattice_sampling.encode(df, samples=3).select("doc_id", "pieces")
+    odd = spark.createDataFrame([(90, [byte_ids[0xFF], byte_ids[0x20]]), (91, [byte_ids[0x20], byte_ids[0xC3]]), (92, None)], found.schema)
+    got = lattice_sampling.decode_texts(found.union(odd).withColumn("tag", F.lit("t"))).collect()
+    want = [(r.doc_id, None if r.pieces is None else lattice_sampling.decode(r.pieces, names, byte_ids)) for r in found.union(odd).collect()]
+    assert sorted(((r.doc_id, r.decoded) for r in got), key=str) == sorted(want, key=str) and {r.tag for r in got} == {"t"}
+    assert all(r.decoded == (texts[r.doc_id] or "").replace("▁", " ") for r in got if r.doc_id < 90)
+
+
+def test_op4_decodes_every_sample(spark):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    got = QUERIES["op4_gumbel_topk"](spark, "/root/testdata/sf0.001").collect()
+    assert {r.doc_id for r in got} == set(texts)
+    assert all(r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest() and r.round_trip for r in got)

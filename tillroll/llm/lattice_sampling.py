@@ -34,8 +34,10 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import map_arrow, worker_state
 
@@ -469,6 +471,73 @@ def decode(pieces: Iterable[int], id_to_piece: dict[int, str], byte_ids: list[in
     return text[1:] if text[:1] == " " else text
 
 
+class Texts:
+    """Decodes many segmentations at once: the bytes of every piece by id, and those bytes without a leading space."""
+
+    def __init__(self, pieces: dict[str, tuple[int, float]], byte_ids: list[int], size: int):
+        of: list[bytes | None] = [None] * size
+        for p, (i, _) in pieces.items():
+            of[i] = p.replace(MARK, " ").encode()
+        for b, i in enumerate(byte_ids):
+            of[i] = bytes([b])
+        self.size, self.known = size, np.array([x is not None for x in of])
+        of += [x[1:] if x and x[:1] == b" " else x for x in of]
+        self.bytes_of = pa.array(of, pa.large_binary())
+
+    def decode(self, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+        """One text per count, of the next so many ids; like :func:`decode`."""
+        if len(ids) and not ((ids >= 0) & (ids < self.size)).all() or not self.known[ids].all():
+            raise ValueError("an id is no piece of the vocabulary")
+        ends = np.cumsum(counts)
+        first = (ends - counts)[counts > 0]
+        ids = ids.astype(np.int64)
+        ids[first] += self.size  # the space that every text starts with goes
+        raw = self.bytes_of.take(pa.array(ids))
+        offsets = np.frombuffer(raw.buffers()[1], np.int64)[: len(ids) + 1] if len(ids) else np.zeros(1, np.int64)
+        at = offsets[np.concatenate(([0], ends))]
+        out = pa.Array.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(at.astype(np.int64).tobytes()), raw.buffers()[2]])
+        try:
+            return out.cast(pa.string())
+        except pa.ArrowInvalid:  # byte pieces that are no UTF-8
+            return pa.array([x.decode("utf-8", errors="replace") for x in out.to_pylist()], pa.string())
+
+
+_PIECES_AT_ONCE = 1_000_000
+
+
+def decode_texts(df: DataFrame, pieces_col: str = "pieces", out_col: str = "decoded", folder: str = TOKENIZERS, model: str = MODEL) -> DataFrame:
+    """``df`` without its column of piece ids and with the text that they stand for behind the others; null ids give a null text.
+
+    An id that is no piece or byte of the vocabulary is an error.
+    """
+    vocabulary = load_vocabulary(folder, model)
+    shared = df.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, vocabulary))  # a vocabulary: fixed size
+    others = [c for c in df.columns if c != pieces_col]
+
+    def run(batches):
+        token, parts = shared.value
+        texts = worker_state(("texts", token), lambda: Texts(*parts))
+        for b in batches:
+            column = b.column(b.num_columns - 1)
+            counts = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            flat = column.flatten().to_numpy(zero_copy_only=False)
+            ends = np.cumsum(counts)
+            at = 0
+            while at < len(counts):
+                before = int(ends[at - 1]) if at else 0
+                end = max(at + 1, int(np.searchsorted(ends, before + _PIECES_AT_ONCE, side="right")))
+                out = texts.decode(flat[before : int(ends[end - 1])], counts[at:end])
+                part = b.slice(at, end - at)
+                missing = part.column(b.num_columns - 1).is_null()
+                if column.null_count:
+                    out = pc.if_else(missing, pa.scalar(None, pa.string()), out)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], out], names=[*others, out_col])
+                at = end
+
+    schema = T.StructType([*[df.schema[c] for c in others], T.StructField(out_col, T.StringType())])
+    return map_arrow(df.select(*others, pieces_col), run, schema)
+
+
 FIELDS = "sample int, n_pieces bigint, log_prob double, gumbel double, log_inclusion double, pieces_sha256 string"
 
 
@@ -480,26 +549,32 @@ def encode(
     theta: float = THETA,
     seed: int = 0,
     with_pieces: bool = True,
+    with_source: bool = False,
+    with_decoded: bool = False,
     folder: str = TOKENIZERS,
     model: str = MODEL,
 ) -> DataFrame:
-    """Sampled segmentations of every whole text: id, sample (from 1), n_pieces, log_prob, gumbel, log_inclusion, pieces_sha256 [, pieces].
-
-    The digest is of the ids as little-endian 32-bit numbers.  A text with one
-    segmentation only has one row; empty and null texts have one row without
-    pieces and log_prob 0.  Rows are keyed by id and ``seed``, so repeated rows
-    give equal samples and null ids share a key.  Texts hold the space mark
-    itself as a space.  Other columns are not read.
+    """Sampled segmentations of every whole text: id, sample (from 1), n_pieces, log_prob, gumbel, log_inclusion, pieces_sha256 [, source_sha256] [, decoded] [, pieces].
+
+    source_sha256 is the digest of the text itself, null as empty; decoded is
+    the text that the piece ids give, decoded by the worker that drew them.
+    The other digest is of the ids as little-endian 32-bit numbers.  A text
+    with one segmentation only has one row; empty and null texts have one row
+    without pieces and log_prob 0.  Rows are keyed by id and ``seed``, so
+    repeated rows give equal samples and null ids share a key.  Texts hold the
+    space mark itself as a space.  Other columns are not read.
     """
     vocabulary = load_vocabulary(folder, model)
     shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, vocabulary))  # a vocabulary: fixed size
     key = F.xxhash64(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("\x00")))
-    df = docs.select(F.col(id_col).alias("_id"), key.alias("_key"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    source = [F.sha2(text, 256).alias("_source")] if with_source else []
+    df = docs.select(F.col(id_col).alias("_id"), key.alias("_key"), text.alias("_text"), *source)
     empty = hashlib.sha256(b"").hexdigest()
 
     def run(batches):
         token, (pieces, byte_ids, size) = shared.value
-        lat = worker_state(("lattices", token, theta), lambda: Lattices(pieces, byte_ids, size, theta))
+        lat, texts_of = worker_state(("lattices", token, theta), lambda: (Lattices(pieces, byte_ids, size, theta), Texts(pieces, byte_ids, size)))
         for b in batches:
             texts = b.column("_text").to_pylist()
             keys = b.column("_key").to_numpy().view(np.uint64).tolist()
@@ -523,8 +598,15 @@ def encode(
                 cols = [b.column("_id").take(take), pa.array(rows[1], pa.int32()), pa.array(rows[2], pa.int64())]
                 cols += [pa.array(c, pa.float64()) for c in rows[3:6]] + [pa.array(rows[6], pa.string())]
                 names = ["_id", "sample", "n_pieces", "log_prob", "gumbel", "log_inclusion", "pieces_sha256"]
-                if with_pieces:
+                if with_source:
+                    cols.append(b.column("_source").take(take))
+                    names.append("source_sha256")
+                if with_decoded or with_pieces:
                     flat = [x["pieces"] for paths in found for x in (paths or [{"pieces": np.zeros(0, np.int32)}])]
+                if with_decoded:
+                    cols.append(texts_of.decode(np.concatenate(flat), np.array([len(f) for f in flat], np.int64)))
+                    names.append("decoded")
+                if with_pieces:
                     ends = np.cumsum([0] + [len(f) for f in flat]).astype(np.int32)
                     cols.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(flat).astype(np.int32))))
                     names.append("pieces")
@@ -532,6 +614,6 @@ def encode(
                 at = end
 
     id_type = df.schema["_id"].dataType.simpleString()
-    schema = f"_id {id_type}, {FIELDS}" + (", pieces array<int>" if with_pieces else "")
+    schema = f"_id {id_type}, {FIELDS}" + (", source_sha256 string" if with_source else "") + (", decoded string" if with_decoded else "") + (", pieces array<int>" if with_pieces else "")
     out = map_arrow(df, run, schema)
     return out.withColumnRenamed("_id", id_col)

@@ -27,7 +27,9 @@ def op3_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_gumbel_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lattice_sampling.encode(table(spark, sf_dir, "documents"), with_pieces=False)
+    found = lattice_sampling.encode(table(spark, sf_dir, "documents"), with_pieces=False, with_source=True, with_decoded=True)
+    decoded = F.sha2("decoded", 256)
+    return found.withColumn("decoded_sha256", decoded).withColumn("round_trip", F.col("decoded_sha256") == F.col("source_sha256")).drop("decoded", "source_sha256")
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
