@@ -6,6 +6,8 @@ operator (plain pairwise joins instead of hashing, filters or automata).
 
 from __future__ import annotations
 
+from . import license_rules as R
+
 _KEYWORD = r"""(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
 
 
@@ -108,10 +110,64 @@ SELECT e.vec_id, (SELECT count(*) FROM l WHERE l.a = e.vec_id) AS n_links, m.c A
 FROM embeddings e JOIN (SELECT vec_id, min(t) AS c FROM reach GROUP BY vec_id) m USING (vec_id)
 """
 
+def _quoted(text: object) -> str:
+    return "'" + str(text).replace("'", "''") + "'"
+
+
+# every word between two spaces of its own, so that neighbouring matches share none
+_RULES = ", ".join(
+    f"({i}, {tier}, {_quoted(label)}, {_quoted(' ' + body.replace(' ', '  ') + ' ')})" for i, (label, tier, _, body) in enumerate(R.standard_rules())
+)
+
+OP11 = f"""
+WITH rules(rule, tier, label, rx) AS (VALUES {_RULES}),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS ws FROM documents),
+n AS (SELECT r, ' ' || array_to_string(ws, '  ') || ' ' AS t FROM d WHERE len(ws) > 0),
+cut AS (SELECT r, rule, tier, label, regexp_extract_all(t, rx) AS ms, regexp_split_to_array(t, rx) AS gaps FROM n, rules WHERE regexp_matches(t, rx)),
+lens AS (  -- words of a piece: half its spaces
+  SELECT * REPLACE (list_transform(ms, lambda x: (len(x) - len(replace(x, ' ', ''))) // 2) AS ms,
+                    list_transform(gaps, lambda x: (len(x) - len(replace(x, ' ', ''))) // 2) AS gaps) FROM cut),
+hit AS (
+  SELECT r, rule, tier, label, (list_sum(gaps[1:i]) + coalesce(list_sum(ms[1:i - 1]), 0))::BIGINT AS s,
+    (list_sum(gaps[1:i]) + list_sum(ms[1:i]))::BIGINT AS e
+  FROM lens, unnest(range(1, len(ms) + 1)) AS u(i)),
+rated AS (
+  SELECT *, rule < {R.N_BASE} AS base, NOT EXISTS (
+    SELECT 1 FROM hit b WHERE b.r = a.r AND b.s <= a.s AND b.e >= a.e
+      AND (b.tier < a.tier OR b.tier = a.tier AND (b.e - b.s > a.e - a.s OR b.e - b.s = a.e - a.s AND b.rule < a.rule))) AS kept
+  FROM hit a),
+per AS (
+  SELECT r, count(*) FILTER (base) AS n_base, min(s) FILTER (base) AS first_word, max(s) FILTER (base) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base OR kept) AS labels,
+    count(*) FILTER (kept) AS n_detections,
+    max(CASE tier WHEN 0 THEN {R.CONFIDENCE[0]}::DOUBLE WHEN 1 THEN {R.CONFIDENCE[1]} WHEN 2 THEN {R.CONFIDENCE[2]} ELSE {R.CONFIDENCE[3]} END) FILTER (base OR kept) AS score
+  FROM rated GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+  coalesce(labels, '') AS labels, coalesce(n_detections, 0) AS n_detections, coalesce(score, 0)::DOUBLE AS score
+FROM d LEFT JOIN per USING (r)
+"""
+
+OP13 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS ws FROM documents),
+b AS (SELECT row_number() OVER () AS q, item_id, {_WORDS} AS ws FROM benchmark),
+g AS (SELECT sum((len(ws) > 0)::BIGINT)::BIGINT AS N, sum(len(ws))::BIGINT AS L FROM d),
+t AS (SELECT r, w, count(*) AS tf FROM (SELECT r, unnest(ws) AS w FROM d) GROUP BY r, w),
+i AS (SELECT q, w, count(*) AS c FROM (SELECT q, unnest(ws) AS w FROM b) GROUP BY q, w),
+f AS (SELECT w, floor(1000 * ln((2.0::DOUBLE * N + 2) / (2.0::DOUBLE * df + 1)))::BIGINT AS weight
+      FROM (SELECT w, count(*) AS df FROM t GROUP BY w), g),
+m AS (SELECT r, doc_id, 100 - 75 + ((75 * len(ws) * N) // L) AS m FROM d, g WHERE len(ws) > 0),
+s AS (SELECT q, r, sum(c * weight * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+      FROM i JOIN f USING (w) JOIN t USING (w) JOIN m USING (r) GROUP BY q, r),
+k AS (SELECT q, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id, r)::INTEGER AS rank FROM s JOIN m USING (r) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k JOIN b USING (q) WHERE rank <= 10
+"""
+
 ORACLE: dict[str, str] = {
     "op1_secret_ownership": OP1,
     "op3_seekable_warc": OP3,
     "op5_decontamination": OP5,
     "op6_line_dedup": OP6,
     "op9_pstable_embeddings": OP9,
+    "op11_license_rules": OP11,
 }

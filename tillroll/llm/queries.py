@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_repair, decontaminate, embedding_dedup, lattice_sampling, line_dedup, secret_scan, simhash, token_counts, toxicity, warc
+from . import (
+    chat_repair,
+    decontaminate,
+    embedding_dedup,
+    lattice_sampling,
+    license_scan,
+    line_dedup,
+    secret_scan,
+    simhash,
+    token_counts,
+    toxicity,
+    warc,
+)
 from .common import table
 from .oracle import ORACLE  # noqa: F401
 
@@ -58,6 +70,10 @@ def op10_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_repair.repair(table(spark, sf_dir, "conversations"))
 
 
+def op11_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -75,6 +91,7 @@ QUERIES: dict[str, Query] = {
     "op8_simhash_multi_index": op8_simhash_multi_index,
     "op9_pstable_embeddings": op9_pstable_embeddings,
     "op10_role_repair": op10_role_repair,
+    "op11_license_rules": op11_license_rules,
     "pipeline": pipeline,
 }
 
