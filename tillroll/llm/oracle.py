@@ -170,4 +170,5 @@ ORACLE: dict[str, str] = {
     "op6_line_dedup": OP6,
     "op9_pstable_embeddings": OP9,
     "op11_license_rules": OP11,
+    "op13_dual_tree_search": OP13,
 }

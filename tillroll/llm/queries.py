@@ -12,6 +12,7 @@ from . import (
     decontaminate,
     embedding_dedup,
     lattice_sampling,
+    lexical_search,
     license_scan,
     line_dedup,
     secret_scan,
@@ -74,6 +75,10 @@ def op11_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op13_dual_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -92,6 +97,7 @@ QUERIES: dict[str, Query] = {
     "op9_pstable_embeddings": op9_pstable_embeddings,
     "op10_role_repair": op10_role_repair,
     "op11_license_rules": op11_license_rules,
+    "op13_dual_tree_search": op13_dual_tree_search,
     "pipeline": pipeline,
 }
 
