@@ -73,7 +73,7 @@ zlib ; arising from the use of this software ; in no event will the authors be h
 bsl-1.0 ; boost software ; distributed under the boost software {L} version 1 0
 wtfpl ; do what the fuck ; everyone is permitted to copy and distribute verbatim or modified copies of this{G 20} do what the fuck you want to public {L}
 artistic-2.0 ; artistic ; under the terms of the artistic {L} (?:version )?2 0
-artistic-1.0 ; standard version of the package ; you may make and give away verbatim copies of the source form of the standard version of {T}package
+artistic-1.0 ; standard version of ; you may make and give away verbatim copies of the source form of the standard version of {T}package
 perl ; same terms as perl ; you can redistribute it and or modify it under the same terms as perl(?: itself)?
 ofl-1.1 ; sil open font ; this font software is {LD} under the sil open font {L} version 1 1
 cc0-1.0 ; cc0 ; to the extent possible under law{G 12} waived all copyright and related or neighboring rights{G 20} cc0

@@ -17,6 +17,7 @@ from . import (
     line_dedup,
     secret_scan,
     simhash,
+    structure_repair,
     token_counts,
     toxicity,
     warc,
@@ -75,6 +76,10 @@ def op11_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure_repair.repair_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op13_dual_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -97,6 +102,7 @@ QUERIES: dict[str, Query] = {
     "op9_pstable_embeddings": op9_pstable_embeddings,
     "op10_role_repair": op10_role_repair,
     "op11_license_rules": op11_license_rules,
+    "op12_structure_repair": op12_structure_repair,
     "op13_dual_tree_search": op13_dual_tree_search,
     "pipeline": pipeline,
 }
