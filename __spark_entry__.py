@@ -20,15 +20,17 @@ from pyspark.sql import functions as F
 
 from tillroll import etl
 from tillroll import oracle as O
+from tillroll.catalog import StarCatalog
 from tillroll.operators import facts as X
 from tillroll.operators import keys as K
 from tillroll.operators.quality import broken_star, constraint_report
-from tillroll.plans import basket, demographics, growth, rollup, spikes, topn, views
+from tillroll.plans import basket, demographics, growth, incremental, rollup, spikes, topn, views
 from tillroll.schemas import RAW_TEXT
 from tillroll.session import input_fingerprint, shared_path
 from tillroll.sources import testdata
-from tillroll.sources.masters import keep_first, keep_last, read_product_master
+from tillroll.sources.masters import keep_first, keep_last, read_customer_master, read_product_master
 from tillroll.sources.transactions import read_transactions
+from tillroll.streaming import testfeeds
 
 try:
     import tillroll.llm.queries as corpus
@@ -84,11 +86,13 @@ def stream_customer_join(spark, sf_dir):
     return _streamed(spark, sf_dir, "customer", lambda tx: X.customer_join(X.product_join(tx, pm), cm))
 
 
+def _holes(pm, cm):
+    """Masters that lack some ids by fixed rules, so that lines are set aside."""
+    return pm.where("cast(product_id as bigint) % 17 <> 3"), cm.where("cast(customer_id as bigint) % 19 <> 5")
+
+
 def _holed(spark, sf_dir):
-    """The feed joined to masters that lack some ids by fixed rules, so that lines are set aside."""
-    pm = testdata.product_master(spark, sf_dir).where("cast(product_id as bigint) % 17 <> 3")
-    cm = testdata.customer_master(spark, sf_dir).where("cast(customer_id as bigint) % 19 <> 5")
-    return X.enrich(_tx(spark, sf_dir), pm, cm)
+    return X.enrich(_tx(spark, sf_dir), *_holes(testdata.product_master(spark, sf_dir), testdata.customer_master(spark, sf_dir)))
 
 
 def unmatched_transactions(spark, sf_dir):
@@ -142,10 +146,76 @@ def redo_last_batch(spark, sf_dir):
 
 def stream_dedup(spark, sf_dir):
     """E15 on a stream: the feed arrives twice, with malformed copies first, and every line loads once."""
-    star = etl.testdata_dedup_stream_warehouse(spark, sf_dir).star()
+    star = testfeeds.reread_dedup_warehouse(spark, sf_dir).star()
     return _natural(star).select("order_id", "product_id", "quantity", "date")
 
 
+def stream_dedup_state(spark, sf_dir):
+    """E15 with Spark's state store: what was loaded and what was set aside as late, line by line, and how many lines were repeats."""
+    wh = testfeeds.state_dedup_warehouse(spark, sf_dir)
+    line = ["order_id", "product_id", "quantity", "date"]
+    by = lambda df, outcome: df.groupBy(*line).agg(F.count("*").alias("n_lines")).withColumn("outcome", F.lit(outcome))
+    counted = spark.read.parquet(f"{wh.root}/_counts").agg(F.sum("repeated").alias("n_lines"))
+    empty = counted.select(*[F.lit(None).cast(t).alias(c) for c, t in zip(line, ("string", "string", "int", "date"))], "n_lines", F.lit("repeated").alias("outcome"))
+    return by(_natural(wh.star()), "loaded").unionByName(by(wh.read("quarantine"), "late")).unionByName(empty)
+
+
+def ingest_progress(spark, sf_dir):
+    """E14 live: what the listener heard of each micro-batch."""
+    wh = testfeeds.progress_warehouse(spark, sf_dir, _holes)
+    return spark.read.parquet(f"{wh.root}/_progress").select("batch_id", "input_rows", "matched_rows", "quarantined_rows")
+
+
+def csv_stream_fact(spark, sf_dir):
+    """S3 to S5 from CSV files with headers of their own: loaded lines and, with their text, those set aside."""
+    wh = testfeeds.csv_stream_warehouse(spark, sf_dir)
+    loaded = _natural(wh.star()).select(
+        "order_id", "customer_id", "product_id", F.col("quantity").cast("string").alias("quantity"), F.date_format("date", "yyyy-MM-dd").alias("date"),
+        F.lit("loaded").alias("reason"), "total_price",
+    )
+    aside = wh.read("quarantine").select(
+        "order_id", "customer_id", "product_id", F.col("raw_quantity").alias("quantity"), F.col("raw_date").alias("date"), "reason",
+        F.lit(None).cast("decimal(10,2)").alias("total_price"),
+    )
+    return _dbl(loaded.unionByName(aside), "total_price")
+
+
+def csv_customers(spark, sf_dir):
+    """S2 and D2 from two CSV files in different column orders: the second repeats every third customer with other attributes."""
+    cm = testdata.customer_master(spark, sf_dir)
+    names = ["Customer_ID", "Gender", "Age", "Occupation", "City_Category", "Stay_In_Current_City_Years", "Marital_Status"]
+    first = cm.toDF(*names).withColumn("Marital_Status", F.col("Marital_Status").cast("string"))
+    again = testfeeds.changed_customers(cm.where("cast(customer_id as bigint) % 3 = 0")).toDF(*names)
+    again = again.withColumn("Marital_Status", F.col("Marital_Status").cast("string")).select("Occupation", "Marital_Status", "Customer_ID", "Age", "Gender", "City_Category", "Stay_In_Current_City_Years")
+    folder = shared_path(spark, "csv", f"{input_fingerprint(spark, testdata.table_paths(sf_dir))}-customers-{uuid.uuid4().hex[:8]}")
+    for k, df in enumerate((first, again)):
+        df.coalesce(1).write.option("header", True).option("escape", '"').csv(f"{folder}/{k}")
+    return read_customer_master(spark, [f"{folder}/0", f"{folder}/1"])
+
+
+def _long(dims) -> DataFrame:
+    """(dimension, id, batch_id, attribute, value) of dimension tables, one row an attribute."""
+    out = None
+    for name, df, key in dims:
+        attrs = [c for c in df.columns if c not in (key, "batch_id")]
+        each = F.explode(F.array(*[F.struct(F.lit(c).alias("attribute"), F.col(c).cast("string").alias("value")) for c in attrs])).alias("a")
+        part = df.select(F.lit(name).alias("dimension"), F.col(key).cast("string").alias("id"), "batch_id", each).select("dimension", "id", "batch_id", "a.*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def dim_first_write_attrs(spark, sf_dir):
+    """D1 on masters that change between micro-batches: every attribute as its first batch wrote it."""
+    star = testfeeds.changing_masters_warehouse(spark, sf_dir, CUTOVER).star()
+    return _long([("customer", star.customer_dim.drop("customer_sk"), "customer_id"), ("product", star.product_dim.drop("product_sk"), "product_id")])
+
+
+def dim_name_conflict(spark, sf_dir):
+    """D4 on the second version of the masters, in which a store and a supplier have several names."""
+    star = testfeeds.changing_masters_warehouse(spark, sf_dir, CUTOVER).star()
+    return _long([("store", star.store_dim, "store_id"), ("supplier", star.supplier_dim, "supplier_id")])
+
+
 def _dim(table: str, money_cols: tuple[str, ...] = ()):
     def run(spark, sf_dir):
         return _dbl(getattr(_star(spark, sf_dir), table).drop("batch_id"), *money_cols)
@@ -195,11 +265,36 @@ def dim_first_write_wins(spark, sf_dir):
 def stream_ingest_fact(spark, sf_dir):
     """S3-S5, E1, E2, E12, E13 end to end: the fact loaded by the streaming
     pipeline, six files in six micro-batches, with a stop and restart between."""
-    star = etl.testdata_stream_warehouse(spark, sf_dir).star()
+    star = testfeeds.stream_warehouse(spark, sf_dir).star()
     out = _natural(star).select("order_id", "customer_id", "product_id", "store_id", "supplier_id", "date", "quantity", "total_price")
     return _dbl(out, "total_price")
 
 
+def catalog_round_trip(spark, sf_dir):
+    """Tables and views created in the catalog, read by SQL with one year pruned, and dropped again."""
+    catalog = StarCatalog(etl.testdata_two_batch_warehouse(spark, sf_dir, CUTOVER), f"star_{uuid.uuid4().hex[:12]}")
+    catalog.create()
+    catalog.analyze()
+    out = shared_path(spark, "catalog", catalog.db)
+    catalog.sql("SELECT * FROM STORE_QUARTERLY_SALES WHERE year >= 1998").write.parquet(out)
+    catalog.drop()
+    if spark.catalog.databaseExists(catalog.db):
+        raise RuntimeError(f"{catalog.db} is still there")
+    return spark.read.parquet(out)
+
+
+def _bucketed_star(spark, sf_dir):
+    wh = etl.testdata_warehouse(spark, sf_dir)
+    return StarCatalog(wh, f"bucketed_{wh.root.rsplit('/', 1)[-1].replace('-', '_')}").bucketed_star(buckets=8)
+
+
+def q20_incremental(spark, sf_dir):
+    """A20 as its maintained sums give it, after each of the two loads."""
+    wh = etl.testdata_incremental_warehouse(spark, sf_dir, CUTOVER)
+    after = [incremental.q20_incremental(wh, upto_batch=b).withColumn("after_batch", F.lit(b)) for b in (0, 1)]
+    return after[0].unionByName(after[1])
+
+
 def constraint_check(spark, sf_dir):
     return constraint_report(_star(spark, sf_dir))
 
@@ -232,6 +327,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_transactions": csv_transactions,
         "redo_last_batch": redo_last_batch,
         "stream_dedup": stream_dedup,
+        "stream_dedup_state": stream_dedup_state,
+        "ingest_progress": ingest_progress,
+        "csv_stream_fact": csv_stream_fact,
+        "csv_customers": csv_customers,
+        "dim_first_write_attrs": dim_first_write_attrs,
+        "dim_name_conflict": dim_name_conflict,
         "stream_ingest_fact": stream_ingest_fact,
         # Analytics
         "fact_row_count": _analytic(views.fact_row_count),
@@ -259,6 +360,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q19_spikes": _analytic(spikes.q19_spikes),
         "q19_spike_flags": _analytic(spikes.q19_spike_flags),
         "q20_store_quarterly_view": _analytic(views.q20_store_quarterly_view),
+        "q20_incremental": q20_incremental,
+        "catalog_round_trip": catalog_round_trip,
+        "q2_bucketed": lambda spark, sf_dir: demographics.q2_demographics(_bucketed_star(spark, sf_dir)),
+        "q7_bucketed": lambda spark, sf_dir: demographics.q7_avg_purchase(_bucketed_star(spark, sf_dir)),
         **(corpus.QUERIES if corpus else {}),
     }
 

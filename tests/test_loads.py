@@ -1,4 +1,4 @@
-"""Loads and their manifest, unloadable lines, CSV by header name, basket pairs without caches."""
+"""Batches that are done and batches that are not, unloadable lines, CSV by header name, basket pairs without caches."""
 
 from __future__ import annotations
 
@@ -33,7 +33,7 @@ def test_a_batch_that_is_run_again_leaves_nothing_of_its_first_run(spark, wh):
     assert sorted(r.order_id for r in wh.star().sales_fact.collect()) == ["o0", "o1"]
     assert wh.read("quarantine").count() == 0
     assert {r.product_id for r in wh.star().product_dim.collect()} == {"p1"} and wh.star().store_dim.count() == 1
-    assert wh.vacuum() > 0 and wh.star().sales_fact.count() == 2
+    assert {r.sale_year for r in wh.read_batch("sales_fact", 1).collect()} == {2020}  # its partition of 2021 is gone
 
 
 def test_what_is_not_committed_is_not_seen(spark, wh, monkeypatch):
@@ -47,19 +47,32 @@ def test_what_is_not_committed_is_not_seen(spark, wh, monkeypatch):
     assert {r.product_sk for r in wh.star().product_dim.collect()} == {1, 2}
 
 
-def test_compaction_keeps_every_row_and_key(spark, wh):
-    for b in range(4):
+def test_done_batches_are_ranges_and_a_lost_one_stays_out(spark, wh, monkeypatch):
+    for b in (0, 1, 3, 4):
         load_batch(wh, *_frames(spark, [tx(f"o{b}", "c1", f"p{b % 2 + 1}", b + 1, f"202{b}-01-01")]), b)
-    rows = lambda: sorted(tuple(r) for r in wh.star().sales_fact.collect())
-    before, dims = rows(), sorted(tuple(r) for r in wh.star().product_dim.collect())
-    assert len({r[0] for r in before}) == 4  # sale_id is unique over batches
-    wh.compact()
-    assert len(wh.loads()) == 2 and rows() == before and sorted(tuple(r) for r in wh.star().product_dim.collect()) == dims
-    wh.vacuum()
-    assert rows() == before
-    load_batch(wh, *_frames(spark, [tx("o3", "c1", "p2", 9, "2023-01-01")]), 3)  # the last batch may still be run again
-    load_batch(wh, *_frames(spark, [tx("o9", "c1", "p3", 1, "2023-01-01")], products=[product("p3")]), 4)
-    assert len(rows()) == 5 and {r.product_sk for r in wh.star().product_dim.collect()} == {1, 2, 3}
+    assert wh.done().ranges == [(0, 1), (3, 4)] and wh.done(before_batch=4).ranges == [(0, 1), (3, 3)]
+    assert wh.done().max_keys["product_dim"] == 2 and wh.last_batch() == 4
+    assert len({r.sale_id for r in wh.star().sales_fact.collect()}) == 4  # unique over batches
+    monkeypatch.setattr(wh, "commit", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    for lost in (4, 5):  # the last batch run again, and a new one
+        with pytest.raises(RuntimeError):
+            load_batch(wh, *_frames(spark, [tx("x", "c1", "p3", 1, "2025-01-01")], products=[product("p3")]), lost)
+    monkeypatch.undo()
+    assert wh.done().ranges == [(0, 1), (3, 3)]
+    assert {r.order_id for r in wh.star().sales_fact.collect()} == {"o0", "o1", "o3"}
+    load_batch(wh, *_frames(spark, [tx("o6", "c1", "p9", 1, "2025-01-01")], products=[product("p9")]), 6)
+    assert wh.done().ranges == [(0, 1), (3, 3), (6, 6)]
+    assert {r.product_id: r.product_sk for r in wh.star().product_dim.collect()} == {"p1": 1, "p2": 2, "p9": 3}
+    plan = wh.star().sales_fact._jdf.queryExecution().executedPlan().toString()
+    assert "batch_id" in plan.split("PartitionFilters: ")[1].split("]")[0] and "Join" not in plan
+
+
+def test_a_new_batch_without_lines_writes_nothing(spark, wh):
+    load_batch(wh, *_frames(spark, [tx("o0", "c1", "p1", 1, "2020-01-01")]), 0)
+    load_batch(wh, *_frames(spark, []), 1)
+    assert wh.committed_batches() == [0]
+    load_batch(wh, *_frames(spark, []), 0)  # but an empty run replaces what was there
+    assert wh.star().sales_fact.count() == 0 and wh.committed_batches() == [0]
 
 
 def test_every_line_that_cannot_be_loaded_is_set_aside_with_its_text(spark):
@@ -86,6 +99,9 @@ def test_csv_by_header_name_with_standard_quotes(spark, tmp_path):
     (tmp_path / "t.csv").write_text("index,date,Product_ID,quantity,orderID,Customer_ID\n0,2020-01-02,P1,3,O1,C1\n")
     t = read_transactions(spark, str(tmp_path / "t.csv")).first()
     assert (t.order_id, t.customer_id, t.product_id, t.quantity, str(t.date)) == ("O1", "C1", "P1", 3, "2020-01-02")
+    (tmp_path / "u.csv").write_text("orderID,Customer_ID,Product_ID,quantity,date\nO2,C1,P1,4,2020-01-03\n")
+    both = read_transactions(spark, [str(tmp_path / "t.csv"), str(tmp_path / "u.csv")]).collect()  # each by its own header
+    assert {(r.order_id, r.quantity, str(r.date)) for r in both} == {("O1", 3, "2020-01-02"), ("O2", 4, "2020-01-03")}
     (tmp_path / "bad.csv").write_text("orderID,Product_ID,quantity,date\nO1,P1,3,2020-01-02\n")
     with pytest.raises(ValueError, match="Customer_ID"):
         read_transactions(spark, str(tmp_path / "bad.csv"))

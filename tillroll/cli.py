@@ -78,7 +78,7 @@ def _stored_master(wh: Warehouse, name: str, master):
 
 def cmd_table(spark: SparkSession, a: argparse.Namespace) -> None:
     wh = _warehouse(spark, a.warehouse)
-    {"create": wh.create, "drop": wh.drop_all, "compact": wh.compact, "vacuum": wh.vacuum}[a.cmd]()
+    {"create": wh.create, "drop": wh.drop_all}[a.cmd]()
     print(f"{a.cmd}: {wh.root}")
 
 
@@ -91,7 +91,7 @@ def cmd_load(spark: SparkSession, a: argparse.Namespace) -> None:
         results = backfill(wh, a.transactions, products, customers, fmt=a.format,
                            max_bytes_per_trigger=a.max_bytes, dedup_keys=dedup or None)
     else:
-        batch = a.batch_id if a.batch_id is not None else max(wh.committed_batches(), default=-1) + 1
+        batch = a.batch_id if a.batch_id is not None else wh.last_batch() + 1
         tx = read_transactions(spark, a.transactions, a.format, with_position=bool(dedup))
         results = [etl.load_batch(wh, tx, products, customers, batch, dedup_keys=dedup or None)]
     for r in results:
@@ -149,10 +149,7 @@ def main(argv: list[str] | None = None) -> None:
             q.add_argument("text")
             q.add_argument("--suffix", default="", help="view-name suffix, e.g. _v2")
 
-    for name, help_ in (
-        ("create", "create the tables, empty, where absent"), ("drop", "drop the tables"),
-        ("compact", "merge the loads of earlier batches"), ("vacuum", "delete files of replaced loads"),
-    ):
+    for name, help_ in (("create", "create the tables, empty, where absent"), ("drop", "drop the tables")):
         sub.add_parser(name, help=help_).add_argument("--warehouse")
 
     a = p.parse_args(argv)

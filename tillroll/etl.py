@@ -3,11 +3,13 @@
 ``load_batch`` joins raw transactions to the masters and hands the result to
 ``load_enriched``, which is also what the streaming sink calls for every
 micro-batch (the stream does the master joins in its own plan).  Dimensions are
-written before the fact, all under one load id, and the load is committed last.
+written before the fact, and the batch is committed last.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -15,12 +17,17 @@ from pyspark.sql import functions as F
 
 from tillroll.operators import dims as D
 from tillroll.operators import facts as X
+from tillroll.plans import incremental
 from tillroll.schemas import RAW_TEXT
 from tillroll.session import fs_exists, fs_write_text, input_fingerprint
 from tillroll.sources import testdata
 from tillroll.warehouse import Star, Warehouse
 
 
+#: Brings an aggregate up to what a batch has written.
+Maintain = Callable[[Warehouse, int], None]
+
+
 @dataclass
 class BatchResult:
     batch_id: int
@@ -37,9 +44,10 @@ def load_batch(
     customers: DataFrame,
     batch_id: int,
     dedup_keys: list[str] | None = None,
+    maintain: Iterable[Maintain] = (),
 ) -> BatchResult:
     """E1-E3 then ``load_enriched``: one batch of raw transactions."""
-    return load_enriched(wh, X.enrich(transactions, products, customers), batch_id, products, customers, dedup_keys)
+    return load_enriched(wh, X.enrich(transactions, products, customers), batch_id, products, customers, dedup_keys, maintain=maintain)
 
 
 # What the quarantine and the fact need from a master-joined row; dimension
@@ -59,18 +67,22 @@ def load_enriched(
     customers: DataFrame,
     dedup_keys: list[str] | None = None,
     dedup_stored: bool = False,
+    maintain: Iterable[Maintain] = (),
 ) -> BatchResult:
     """Write one batch of master-joined rows: quarantine, dimensions, fact.
 
     The narrow copy of the batch and the master rows it uses are staged once in
     the warehouse folder.  Nothing is visible before the commit at the end, and
-    a batch that is run again replaces the earlier run in every table.
+    a batch that is run again replaces the earlier run in every table.  A new
+    batch without rows writes nothing.
 
     ``dedup_keys`` keeps the first line per key among the lines that can be
     loaded; with ``dedup_stored`` lines whose keys earlier batches loaded go too.
+    ``maintain`` functions bring aggregates up to the batch before it is committed.
     """
-    load = wh.new_load(batch_id)
-    stage = wh.path(f"_staging/{load}")
+    again = wh.begin(batch_id)
+    folder = f"_staging/{batch_id}-{uuid.uuid4().hex[:12]}"
+    stage = wh.path(folder)
 
     def staged(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{stage}/{name}")
@@ -79,32 +91,36 @@ def load_enriched(
     try:
         extra = [c for c in ("_pos", *RAW_TEXT) if c in enriched.columns]
         seen = Observation()  # E14: counted while the rows pass
-        rows = staged(enriched.select(*BATCH_COLUMNS, *extra).observe(seen, *_counters()), "batch")
+        rows = staged(enriched.select(*BATCH_COLUMNS, *extra).observe(seen, *counters()), "batch")
         m = seen.get
-        wh.write("quarantine", X.quarantined_rows(rows).withColumn("batch_id", F.lit(batch_id)), load)
+        if not m["input_rows"] and not again:
+            return BatchResult(batch_id, 0, 0, 0)
+        wh.write("quarantine", X.quarantined_rows(rows), batch_id)
         matched = X.matched_rows(rows).drop(*RAW_TEXT)
         if dedup_keys:
             matched = staged(X.dedup_lines(matched, dedup_keys), "lines")
         matched = matched.drop("_pos")
         own_products = staged(D.seen_products(matched, products), "products")
         own_customers = staged(D.seen_customers(matched, customers), "customers")
-        keys, max_keys = D.upsert_all(wh, matched, batch_id, load, own_products, own_customers)
+        keys, max_keys = D.upsert_all(wh, matched, batch_id, own_products, own_customers)
         fact = X.build_fact(matched, keys, batch_id)
         if dedup_keys and dedup_stored:
             fact = X.without_stored(fact, wh.read("sales_fact", before_batch=batch_id), dedup_keys)
-        wh.write("sales_fact", X.number_and_cluster(fact, batch_id), load)
+        wh.write("sales_fact", X.number_and_cluster(fact, batch_id), batch_id)
         dropped = 0
         if dedup_keys:
-            dropped = int(m["matched_rows"]) - wh.read("sales_fact", loads=[load]).count()
-        wh.commit(batch_id, load, max_keys)
+            dropped = int(m["matched_rows"]) - wh.read_batch("sales_fact", batch_id).count()
+        for update in maintain:
+            update(wh, batch_id)
+        wh.commit(batch_id, max_keys)
     finally:
-        wh.drop(f"_staging/{load}")
+        wh.drop(folder)
     return BatchResult(
         batch_id, int(m["input_rows"]), int(m["matched_rows"]) - dropped, int(m["quarantined_rows"]), dropped
     )
 
 
-def _counters() -> list:
+def counters() -> list:
     return [
         F.count(F.lit(1)).alias("input_rows"),
         F.count(F.when(F.col("reason").isNull(), 1)).alias("matched_rows"),
@@ -114,11 +130,11 @@ def _counters() -> list:
 
 def ingest_metrics(enriched: DataFrame) -> DataFrame:
     """Rows read, matched and set aside, as one row."""
-    return enriched.agg(*_counters())
+    return enriched.agg(*counters())
 
 
 # ---------------------------------------------------------------------------
-# The warehouse over the test tables (one batch), built once per input.
+# Warehouses over the test tables, each built once per input.
 
 _BUILT: dict[tuple[str, str], Warehouse] = {}
 
@@ -142,121 +158,67 @@ def testdata_inputs(
     return testdata.transactions(spark, sf_dir), pm, cm
 
 
-def testdata_warehouse(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Warehouse:
-    """Load the test tables into a warehouse in the shared folder.
+Build = Callable[[Warehouse, DataFrame, DataFrame, DataFrame], None]
+
+
+def built_warehouse(spark: SparkSession, sf_dir: str, name: str, build: Build, rebuild: bool = False) -> Warehouse:
+    """A warehouse in the shared folder that ``build`` loads from the test tables (transactions, products, customers).
 
-    Keyed by a fingerprint of the input files, so a second call (or a second
-    process on the same shared folder) reuses a finished build.
+    Keyed by a fingerprint of the input files and of the code, so a second call
+    (or a second process on the same shared folder) reuses a finished build.
     """
-    fp = input_fingerprint(spark, testdata.table_paths(sf_dir))
+    fp = f"{input_fingerprint(spark, testdata.table_paths(sf_dir))}-{name}"
     memo = (spark.sparkContext.applicationId, fp)
     if memo in _BUILT and not rebuild:
         return _BUILT[memo]
     wh = Warehouse.in_shared_dir(spark, fp)
     done = f"{wh.root}/_BUILD_OK"
     if rebuild or not fs_exists(spark, done):
-        wh.drop_all()
-        tx, pm, cm = testdata_inputs(spark, sf_dir, stage_root=f"{wh.root}/_masters")
-        load_batch(wh, tx, pm, cm, batch_id=0)
+        wh.drop("")
+        build(wh, *testdata_inputs(spark, sf_dir, stage_root=f"{wh.root}/_masters"))
         fs_write_text(spark, done, "ok\n")
     _BUILT[memo] = wh
     return wh
 
 
+def testdata_warehouse(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Warehouse:
+    """All of the feed as one batch."""
+    return built_warehouse(spark, sf_dir, "all", lambda wh, tx, pm, cm: load_batch(wh, tx, pm, cm, 0), rebuild)
+
+
 def testdata_star(spark: SparkSession, sf_dir: str) -> Star:
     return testdata_warehouse(spark, sf_dir).star()
 
 
+def before(cutover: str):
+    """Whether a line is dated before the day that splits the feed into two batches."""
+    return F.coalesce(F.col("date") < F.lit(cutover).cast("date"), F.lit(False))
+
+
 def testdata_two_batch_warehouse(spark: SparkSession, sf_dir: str, cutover: str) -> Warehouse:
     """The same feed loaded as two batches split at an order date: ids first
     seen in the second batch are numbered after all ids of the first (D1, E10)."""
-    fp = input_fingerprint(spark, testdata.table_paths(sf_dir)) + "-2b-" + cutover
-    memo = (spark.sparkContext.applicationId, fp)
-    if memo in _BUILT:
-        return _BUILT[memo]
-    wh = Warehouse.in_shared_dir(spark, fp)
-    if not fs_exists(spark, f"{wh.root}/_BUILD_OK"):
-        wh.drop_all()
-        tx, pm, cm = testdata_inputs(spark, sf_dir, stage_root=f"{wh.root}/_masters")
-        early = F.coalesce(F.col("date") < F.lit(cutover).cast("date"), F.lit(False))
-        load_batch(wh, tx.where(early), pm, cm, batch_id=0)
-        load_batch(wh, tx.where(~early), pm, cm, batch_id=1)
-        fs_write_text(spark, f"{wh.root}/_BUILD_OK", "ok\n")
-    _BUILT[memo] = wh
-    return wh
+    def build(wh, tx, pm, cm):
+        load_batch(wh, tx.where(before(cutover)), pm, cm, 0)
+        load_batch(wh, tx.where(~before(cutover)), pm, cm, 1)
 
+    return built_warehouse(spark, sf_dir, f"two-{cutover}", build)
 
-def testdata_stream_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The test feed loaded through the Structured Streaming path
-    (readStream -> stream-static joins -> foreachBatch), availableNow."""
-    from tillroll.schemas import TRANSACTIONS
-    from tillroll.sources.transactions import stream_transactions
-    from tillroll.streaming.pipeline import run_to_end
 
-    fp = input_fingerprint(spark, testdata.table_paths(sf_dir)) + "-stream"
-    memo = (spark.sparkContext.applicationId, fp)
-    if memo in _BUILT:
-        return _BUILT[memo]
-    wh = Warehouse.in_shared_dir(spark, fp)
-    if not fs_exists(spark, f"{wh.root}/_BUILD_OK"):
-        wh.drop_all()
-        for t in ("_stream_checkpoint", "_feed"):
-            wh.drop(t)
-        _, pm, cm = testdata_inputs(spark, sf_dir, stage_root=f"{wh.root}/_masters")
-        # the feed arrives as six files, two of them after the stream has stopped once
-        feed = f"{wh.root}/_feed"
-        lines = testdata.transactions(spark, sf_dir).withColumn("_f", F.pmod(F.xxhash64("order_id"), F.lit(6)))
-        for part in (F.col("_f") < 4, F.col("_f") >= 4):
-            lines.where(part).repartition(6, "_f").drop("_f").write.mode("append").option("maxRecordsPerFile", 0).parquet(feed)
-            run_to_end(wh, stream_transactions(spark, feed, fmt="parquet", max_files_per_trigger=1, schema=TRANSACTIONS), pm, cm)
-        fs_write_text(spark, f"{wh.root}/_BUILD_OK", "ok\n")
-    _BUILT[memo] = wh
-    return wh
+def testdata_incremental_warehouse(spark: SparkSession, sf_dir: str, cutover: str) -> Warehouse:
+    """The feed loaded as two batches with the store quarter aggregate kept up to date."""
+    def build(wh, tx, pm, cm):
+        load_batch(wh, tx.where(before(cutover)), pm, cm, 0, maintain=[incremental.maintain])
+        load_batch(wh, tx.where(~before(cutover)), pm, cm, 1, maintain=[incremental.maintain])
+
+    return built_warehouse(spark, sf_dir, f"incremental-{cutover}", build)
 
 
 def testdata_redone_warehouse(spark: SparkSession, sf_dir: str, cutover: str) -> Warehouse:
     """The feed loaded as two batches, the second of them run again without its lines of a quantity below 10."""
-    fp = input_fingerprint(spark, testdata.table_paths(sf_dir)) + "-redo-" + cutover
-    memo = (spark.sparkContext.applicationId, fp)
-    if memo in _BUILT:
-        return _BUILT[memo]
-    wh = Warehouse.in_shared_dir(spark, fp)
-    if not fs_exists(spark, f"{wh.root}/_BUILD_OK"):
-        wh.drop_all()
-        tx, pm, cm = testdata_inputs(spark, sf_dir, stage_root=f"{wh.root}/_masters")
-        early = F.coalesce(F.col("date") < F.lit(cutover).cast("date"), F.lit(False))
-        load_batch(wh, tx.where(early), pm, cm, batch_id=0)
-        load_batch(wh, tx.where(~early), pm, cm, batch_id=1)
-        load_batch(wh, tx.where(~early & (F.col("quantity") >= 10)), pm, cm, batch_id=1)
-        fs_write_text(spark, f"{wh.root}/_BUILD_OK", "ok\n")
-    _BUILT[memo] = wh
-    return wh
-
+    def build(wh, tx, pm, cm):
+        load_batch(wh, tx.where(before(cutover)), pm, cm, 0)
+        load_batch(wh, tx.where(~before(cutover)), pm, cm, 1)
+        load_batch(wh, tx.where(~before(cutover) & (F.col("quantity") >= 10)), pm, cm, 1)
 
-def testdata_dedup_stream_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The feed streamed twice with de-duplication on (order, product, quantity, date), malformed copies of lines first."""
-    from tillroll.schemas import TRANSACTIONS
-    from tillroll.sources.transactions import stream_transactions
-    from tillroll.streaming.pipeline import run_to_end
-
-    fp = input_fingerprint(spark, testdata.table_paths(sf_dir)) + "-dedup"
-    memo = (spark.sparkContext.applicationId, fp)
-    if memo in _BUILT:
-        return _BUILT[memo]
-    wh = Warehouse.in_shared_dir(spark, fp)
-    if not fs_exists(spark, f"{wh.root}/_BUILD_OK"):
-        wh.drop_all()
-        for t in ("_stream_checkpoint", "_feed"):
-            wh.drop(t)
-        tx, pm, cm = testdata_inputs(spark, sf_dir, stage_root=f"{wh.root}/_masters")
-        bad = tx.withColumn("customer_id", F.lit("nobody"))  # same order, product, quantity and date
-        feed = f"{wh.root}/_feed"
-        for rows in (bad.where(F.pmod(F.xxhash64("order_id"), F.lit(3)) == 0).unionByName(tx), tx):
-            rows.coalesce(2).write.mode("append").parquet(feed)
-            run_to_end(
-                wh, stream_transactions(spark, feed, fmt="parquet", max_files_per_trigger=2, schema=TRANSACTIONS), pm, cm,
-                dedup_keys=["order_id", "product_id", "quantity", "date"],
-            )
-        fs_write_text(spark, f"{wh.root}/_BUILD_OK", "ok\n")
-    _BUILT[memo] = wh
-    return wh
+    return built_warehouse(spark, sf_dir, f"redo-{cutover}", build)

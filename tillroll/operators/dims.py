@@ -2,8 +2,8 @@
 
 A batch reads the rows stored by *earlier* batches, anti-joins its candidates
 against them (first write wins: stored rows are never refreshed), numbers the
-new ids after the largest earlier key, and adds them to its own load.  Running
-the batch again reproduces the same rows in a new load.
+new ids after the largest earlier key, and writes them as its own partition.
+Running the batch again reproduces the same rows.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tillroll.operators.keys import dense_keys
 from tillroll.schemas import CUSTOMER_ATTRS, DIMENSIONS, PRODUCT_ATTRS
-from tillroll.warehouse import Warehouse
+from tillroll.warehouse import Done, Warehouse
 
 
 def _seen(master: DataFrame, matched: DataFrame, key: str, attrs: list[str]) -> DataFrame:
@@ -77,9 +77,9 @@ def assign_new_keys(new: DataFrame, start: int, natural: str, sk: str) -> DataFr
 
 
 def upsert_dimension(
-    wh: Warehouse, table: str, candidates: DataFrame, batch_id: int, load: str, ids: DataFrame
+    wh: Warehouse, table: str, candidates: DataFrame, batch_id: int, done: Done, ids: DataFrame
 ) -> tuple[DataFrame, int]:
-    """Insert-if-absent for one batch.
+    """Insert-if-absent for one batch; ``done`` are the batches before it.
 
     Returns the key map (natural key, surrogate key) of this batch's members
     only -- read back from storage, so it holds exactly the written keys --
@@ -87,14 +87,13 @@ def upsert_dimension(
     out so far.
     """
     _, natural, sk = DIMENSIONS[table]
-    start = wh.max_key(table, batch_id)
-    earlier = wh.read(table, before_batch=batch_id)
+    start = done.max_keys.get(table, 0)
+    earlier = wh.read(table, done=done)
     new = new_members(candidates, earlier, natural) if start else candidates
-    keyed = assign_new_keys(new, start, natural, sk).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    wh.write(table, keyed, load)
-    own = wh.read(table, loads=[load])
+    wh.write(table, assign_new_keys(new, start, natural, sk), batch_id)
+    own = wh.read_batch(table, batch_id)
     top = int(own.agg(F.max(sk)).first()[0] or start)  # one scalar
-    stored = earlier.select(natural, sk).unionByName(own.select(natural, sk))
+    stored = earlier.select(natural, sk).unionByName(own.select(natural, sk)) if start else own.select(natural, sk)
     return stored.join(ids, natural, "left_semi"), top
 
 
@@ -102,7 +101,6 @@ def upsert_all(
     wh: Warehouse,
     matched: DataFrame,
     batch_id: int,
-    load: str,
     products: DataFrame,
     customers: DataFrame,
     parallel: bool = True,
@@ -122,9 +120,11 @@ def upsert_all(
         "date_dim": date_candidates(matched),
     }
 
+    done = wh.done(before_batch=batch_id)
+
     def run(t: str) -> tuple[DataFrame, int]:
         natural = DIMENSIONS[t][1]
-        return upsert_dimension(wh, t, candidates[t], batch_id, load, candidates[t].select(natural))
+        return upsert_dimension(wh, t, candidates[t], batch_id, done, candidates[t].select(natural))
 
     if parallel:
         with ThreadPoolExecutor(max_workers=len(UPSERT_ORDER)) as pool:

@@ -17,6 +17,7 @@ from tillroll.schemas import CUSTOMER_ATTRS, PRODUCT_ATTRS, RAW_TEXT, TRANSACTIO
 from tillroll.sources.masters import keep_first
 
 # Quarantine reasons, in the order the pipeline meets them.
+LATE = "late"
 UNMATCHED_PRODUCT = "unmatched_product"
 UNMATCHED_CUSTOMER = "unmatched_customer"
 MALFORMED_DATE = "malformed_date"
@@ -39,13 +40,15 @@ def customer_join(tx: DataFrame, customers: DataFrame, how: str = "inner") -> Da
 def enrich(tx: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
     """E1 + E2 + E3 in one pass: left joins, then a ``reason`` for rows that fail.
 
-    One left join per master replaces an inner join plus an anti join each.
+    One left join per master replaces an inner join plus an anti join each.  A
+    boolean column ``late``, if there is one, marks lines to set aside as such.
     """
     p = products.select(*PRODUCT_ATTRS).withColumn("_p_hit", F.lit(True))
     c = customers.select(*CUSTOMER_ATTRS).withColumn("_c_hit", F.lit(True))
     j = tx.join(p, "product_id", "left").join(c, "customer_id", "left")
     reason = (
-        F.when(F.col("_p_hit").isNull(), F.lit(UNMATCHED_PRODUCT))
+        F.when(F.col("late") if "late" in tx.columns else F.lit(False), F.lit(LATE))
+        .when(F.col("_p_hit").isNull(), F.lit(UNMATCHED_PRODUCT))
         .when(F.col("_c_hit").isNull(), F.lit(UNMATCHED_CUSTOMER))
         .when(F.col("date").isNull(), F.lit(MALFORMED_DATE))
         .when(F.col("quantity").isNull(), F.lit(MALFORMED_QUANTITY))
@@ -106,11 +109,12 @@ def number_and_cluster(fact: DataFrame, batch_id: int) -> DataFrame:
     The id is made of the batch, the partition and the place in its sorted
     rows.  Rows are sorted on all their columns, so a partition that is
     computed again numbers them alike.  Dealing by hash needs no sampling pass,
-    and the salt spreads a busy date.
+    and the salt spreads a busy date.  A batch is dealt to 8192 partitions at
+    most, each of up to 2**30 rows, and a warehouse has up to 2**20 batches.
     """
-    n = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if n > 1 << _PART_BITS or batch_id >= 1 << _BATCH_BITS:
-        raise ValueError(f"sale_id holds {1 << _PART_BITS} partitions and {1 << _BATCH_BITS} batches")
+    n = min(int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 << _PART_BITS)
+    if batch_id >= 1 << _BATCH_BITS:
+        raise ValueError(f"sale_id holds {1 << _BATCH_BITS} batches")
     cols = ["sale_year", "date_sk", *[c for c in fact.columns if c not in ("sale_year", "date_sk", "batch_id")]]
     dealt = fact.repartition(n, "sale_year", "date_sk", F.pmod(F.xxhash64("order_id"), F.lit(DATE_SALTS))).sortWithinPartitions(*cols)
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
@@ -136,6 +140,12 @@ _FACT_KEYS = {"order_id": "order_id", "customer_id": "customer_sk", "product_id"
 
 
 def without_stored(fact: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
-    """E15 (opt-in, stream): drops fact rows whose keys an earlier batch has loaded."""
-    on = [_FACT_KEYS[k] for k in keys]
-    return fact.join(stored.select(*on).distinct(), on, "left_anti")
+    """E15 (opt-in, stream): drops fact rows whose keys an earlier batch has loaded.
+
+    The stored fact is reduced to the batch's keys by a semi join before
+    anything of it is shuffled; with the date among the keys only the batch's
+    years are read of it.
+    """
+    on = [_FACT_KEYS[k] for k in keys] + (["sale_year"] if "date" in keys else [])
+    known = stored.select(*on).join(fact.select(*on).distinct(), on, "left_semi")
+    return fact.join(known, on, "left_anti")

@@ -83,8 +83,8 @@ DATE_DIM = _with_key("date_sk", [
     T.StructField("day", T.IntegerType(), True),
 ])
 
-# The fact keeps the reference's columns; ``sale_year`` is its outer partition
-# column, so that a year's rows lie together whatever batch brought them.
+# The fact keeps the reference's columns; ``sale_year`` partitions it inside a
+# batch, so that a year's query reads that year's folders only.
 SALES_FACT = T.StructType([
     T.StructField("sale_id", KEY, False),
     T.StructField("order_id", T.StringType(), True),
@@ -109,6 +109,24 @@ QUARANTINE = T.StructType([
     BATCH,
 ])
 
+# What is kept per batch of the store quarter view (plans.incremental).
+_STORE_QUARTER = [T.StructField("store_sk", KEY, True), T.StructField("quarter", T.IntegerType(), True)]
+STORE_QUARTER_SUMS = T.StructType([
+    *_STORE_QUARTER,
+    T.StructField("revenue", T.DecimalType(38, 2), True),
+    T.StructField("quantity", KEY, True),
+    T.StructField("n_lines", KEY, True),
+    T.StructField("new_customers", KEY, True),
+    BATCH,
+    T.StructField("year", T.IntegerType(), True),
+])
+STORE_QUARTER_CUSTOMERS = T.StructType([
+    *_STORE_QUARTER,
+    T.StructField("customer_sk", KEY, True),
+    BATCH,
+    T.StructField("year", T.IntegerType(), True),
+])
+
 # Table name -> (schema, natural key, surrogate key, partition columns).
 DIMENSIONS = {
     "customer_dim": (CUSTOMER_DIM, "customer_id", "customer_sk"),
@@ -121,11 +139,21 @@ TABLE_SCHEMAS = {
     **{name: spec[0] for name, spec in DIMENSIONS.items()},
     "sales_fact": SALES_FACT,
     "quarantine": QUARANTINE,
+    "store_quarter_sums": STORE_QUARTER_SUMS,
+    "store_quarter_customers": STORE_QUARTER_CUSTOMERS,
 }
-# Every table is also partitioned by LOAD, the id of one attempt to load a batch.
-LOAD = "_load"
+# Every table is partitioned by the batch that wrote it.
 TABLE_PARTITIONS = {
-    **{name: [LOAD] for name in DIMENSIONS},
-    "sales_fact": ["sale_year", LOAD],
-    "quarantine": [LOAD],
+    **{name: ["batch_id"] for name in DIMENSIONS},
+    "sales_fact": ["batch_id", "sale_year"],
+    "quarantine": ["batch_id"],
+    "store_quarter_sums": ["batch_id"],
+    "store_quarter_customers": ["batch_id", "year"],
 }
+
+# One row per batch: whether it is done and the largest keys it gave out.
+LOADS = T.StructType([
+    T.StructField("done", T.BooleanType(), True),
+    T.StructField("max_keys", T.MapType(T.StringType(), T.LongType()), True),
+    T.StructField("batch_id", T.LongType(), True),
+])

@@ -67,6 +67,17 @@ def fs_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
+def fs_mkdirs(spark: SparkSession, path: str) -> None:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(jpath)
+
+
+def fs_delete(spark: SparkSession, path: str) -> None:
+    """Deletes a file or folder; no error where there is none."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
 def fs_write_text(spark: SparkSession, path: str, text: str) -> None:
     jvm = spark._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)

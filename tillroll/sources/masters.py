@@ -10,8 +10,13 @@ so a heavily repeated id never lands whole in one task.
 
 from __future__ import annotations
 
+from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.schemas import (
     CUSTOMER_ATTRS,
@@ -20,6 +25,7 @@ from tillroll.schemas import (
     RAW_CUSTOMER,
     RAW_PRODUCT,
 )
+from tillroll.session import fs_read_text
 
 POSITION = "_pos"
 
@@ -52,7 +58,7 @@ def keep_first(df: DataFrame, key: str | list[str], position: str = POSITION) ->
 
 
 def csv_options(multi_line: bool = False) -> dict[str, str]:
-    """Standard CSV: a header, quotes doubled inside quotes; a file whose header differs from the first one fails."""
+    """Standard CSV: a header, quotes doubled inside quotes; a file whose header differs from the scan's first one fails."""
     return {"header": "true", "encoding": "UTF-8", "quote": '"', "escape": '"', "enforceSchema": "false", "multiLine": str(multi_line).lower()}
 
 
@@ -64,10 +70,40 @@ def by_header(df: DataFrame, columns: list[str]) -> DataFrame:
     return df
 
 
-def _read_raw(spark: SparkSession, path: str, fmt: str, schema, multi_line: bool = False) -> DataFrame:
+def list_files(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """Files of a folder, a pattern or a list of them, by Spark's own listing; their contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+    return sorted(r.path for r in files.collect())
+
+
+def csv_scans(spark: SparkSession, files: list[str], columns: list[str], multi_line: bool = False) -> list[DataFrame]:
+    """Scans of CSV files, each file bound by its own header.
+
+    Files are grouped by their header line and each group is one scan, so
+    columns may stand in any order, and differ, from file to file.  A file
+    without one of the columns is an error that names it.
+    """
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        headers = list(pool.map(lambda f: fs_read_text(spark, f), files))  # one line of each file
+    by_first_line = defaultdict(list)
+    for file, header in zip(files, headers):
+        by_first_line[header].append(file)
+    scans = []
+    for group in by_first_line.values():
+        try:
+            scans.append(by_header(spark.read.options(**csv_options(multi_line)).csv(group), columns))
+        except ValueError as e:
+            raise ValueError(f"{group[0]}: {e}") from None
+    return scans
+
+
+def _read_raw(spark: SparkSession, path: str | list[str], fmt: str, schema, multi_line: bool = False) -> DataFrame:
+    """The schema's columns and the ingest position."""
     if fmt == "csv":
-        return by_header(spark.read.options(**csv_options(multi_line)).csv(path), schema.names)
-    return by_header(spark.read.format(fmt).load(path), schema.names)
+        scans = csv_scans(spark, list_files(spark, path), schema.names, multi_line)
+    else:
+        scans = [by_header(spark.read.format(fmt).load(path), schema.names)]
+    return reduce(DataFrame.unionByName, [with_ingest_position(x).select(*[f"`{c}`" for c in schema.names], POSITION) for x in scans])
 
 
 def normalise_products(raw: DataFrame) -> DataFrame:
@@ -97,13 +133,49 @@ def normalise_customers(raw: DataFrame) -> DataFrame:
     )
 
 
-def read_product_master(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = False) -> DataFrame:
+def read_product_master(spark: SparkSession, path: str | list[str], fmt: str = "csv", multi_line: bool = False) -> DataFrame:
     """Product master, one row per product_id (last row wins)."""
-    raw = with_ingest_position(_read_raw(spark, path, fmt, RAW_PRODUCT, multi_line))
+    raw = _read_raw(spark, path, fmt, RAW_PRODUCT, multi_line)
     return keep_last(normalise_products(raw), "product_id").select(*PRODUCT_ATTRS)
 
 
-def read_customer_master(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = False) -> DataFrame:
+def read_customer_master(spark: SparkSession, path: str | list[str], fmt: str = "csv", multi_line: bool = False) -> DataFrame:
     """Customer master, one row per customer_id (last row wins)."""
-    raw = with_ingest_position(_read_raw(spark, path, fmt, RAW_CUSTOMER, multi_line))
+    raw = _read_raw(spark, path, fmt, RAW_CUSTOMER, multi_line)
     return keep_last(normalise_customers(raw), "customer_id").select(*CUSTOMER_ATTRS)
+
+
+class VersionedMaster:
+    """A master that changes while a stream runs: one folder per version, the latest is the one in force.
+
+    Called, it reads the latest version; the ingest calls it once for every
+    micro-batch, so that a version published meanwhile is joined from the next
+    one on, and no micro-batch sees two versions.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType):
+        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
+
+    def _folder(self, version: int) -> str:
+        return f"{self.root}/version={version:010d}"
+
+    def versions(self) -> list[int]:
+        """Complete versions: a write that was lost has no success mark."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/version=*/_SUCCESS")
+        found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path) or []
+        return sorted(int(st.getPath().getParent().getName().split("=")[1]) for st in found)
+
+    def publish(self, master: DataFrame) -> int:
+        """Adds the next version and returns its number."""
+        version = max(self.versions(), default=-1) + 1
+        master.select(*self.schema.names).write.mode("overwrite").parquet(self._folder(version))
+        return version
+
+    def at(self, version: int) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self._folder(version))
+
+    def __call__(self) -> DataFrame:
+        versions = self.versions()
+        if not versions:
+            raise ValueError(f"{self.root} holds no version of the master")
+        return self.at(versions[-1])

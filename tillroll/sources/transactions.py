@@ -7,11 +7,13 @@ the job (the reference's join thread dies on one bad value).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.schemas import RAW_TRANSACTIONS, TRANSACTION_COLS
-from tillroll.sources.masters import by_header, csv_options, with_ingest_position
+from tillroll.sources.masters import by_header, csv_options, csv_scans, list_files, with_ingest_position
 
 DATE_FORMAT = "yyyy-MM-dd"
 
@@ -32,7 +34,7 @@ def parse_transactions(raw: DataFrame) -> DataFrame:
 
 
 def read_transactions(
-    spark: SparkSession, path: str, fmt: str = "csv", with_position: bool = False, multi_line: bool = False
+    spark: SparkSession, path: str | list[str], fmt: str = "csv", with_position: bool = False, multi_line: bool = False
 ) -> DataFrame:
     """Batch scan of transaction files (all strings for CSV).
 
@@ -40,8 +42,7 @@ def read_transactions(
     ingest order that the opt-in de-duplication keeps the first line by.
     """
     if fmt == "csv":
-        raw = by_header(spark.read.options(**csv_options(multi_line)).csv(path), RAW_TRANSACTIONS.names)
-        return parse_transactions(with_ingest_position(raw) if with_position else raw)
+        return read_csv_files(spark, list_files(spark, path), with_position, multi_line)
     df = spark.read.format(fmt).load(path)
     return (with_ingest_position(df) if with_position else df).select(
         *TRANSACTION_COLS, *(["_pos"] if with_position else [])
@@ -76,3 +77,23 @@ def stream_transactions(
         raw = reader.schema(schema or (head.schema if head.columns else RAW_TRANSACTIONS)).options(**csv_options()).csv(path)
         return parse_transactions(by_header(raw, RAW_TRANSACTIONS.names))
     return reader.schema(schema).format(fmt).load(path)
+
+
+#: Columns of Spark's file listing source; the content is not read unless it is asked for.
+_FILE = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def stream_file_names(
+    spark: SparkSession, path: str, max_files_per_trigger: int = 1000, max_bytes_per_trigger: int | None = None, glob: str = "*.csv"
+) -> DataFrame:
+    """S3 + S4: new files of a folder as a stream of their paths; what a micro-batch admits is bounded as for their lines."""
+    reader = spark.readStream.schema(_FILE).format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+    # a source takes one of the two limits
+    limit = ("maxBytesPerTrigger", max_bytes_per_trigger) if max_bytes_per_trigger else ("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.option(limit[0], int(limit[1])).load(path).select("path")
+
+
+def read_csv_files(spark: SparkSession, files: list[str], with_position: bool = False, multi_line: bool = False) -> DataFrame:
+    """Lines of CSV files, each bound by its own header (``masters.csv_scans``)."""
+    scans = csv_scans(spark, files, RAW_TRANSACTIONS.names, multi_line)
+    return reduce(DataFrame.unionByName, [parse_transactions(with_ingest_position(x) if with_position else x) for x in scans])

@@ -1,31 +1,30 @@
-"""Warehouse storage (S5-S9): Parquet tables whose files belong to loads.
-
-Every attempt to load a batch writes files of its own, under a load id of its
-own.  A load becomes visible, in all tables at once, when a new manifest that
-names it is written; a batch that is run again is a new load which replaces the
-old one in the manifest.  So readers see whole batches only, and nothing of an
-earlier attempt is left over.
-
-The manifest lists the live loads with their batch and the largest keys they
-gave out.  :meth:`Warehouse.compact` merges all loads but the last into one, so
-neither the list nor the number of files grows with the number of batches.
-One writer at a time is assumed.
+"""Warehouse storage (S5-S9): Parquet tables partitioned by batch.
+
+A batch writes its own partition of every table with a plain Spark overwrite,
+so a run that is repeated replaces all of the earlier one.  ``loads`` is a table
+like the others, with one row per batch: what a batch wrote is read once its row
+says that it is done, in all tables at once.  A batch that is run again is taken
+out of ``loads`` first and put back at the end.  One writer at a time is assumed.
+
+Batches that are done and follow one another are one range, so a read is a scan
+with a few ranges of the partition column however many batches there are.
+``loads`` also keeps the largest keys that a batch gave out, which is all that
+later batches need to know to give out theirs.
 """
 
 from __future__ import annotations
 
 import json
-import uuid
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tillroll.schemas import LOAD, TABLE_PARTITIONS, TABLE_SCHEMAS
-from tillroll.session import fs_exists, fs_read_text, fs_write_text, shared_path
+from tillroll.schemas import LOADS, TABLE_PARTITIONS, TABLE_SCHEMAS
+from tillroll.session import fs_delete, fs_exists, fs_mkdirs, shared_path
 
-TABLES = ("sales_fact", "quarantine", "supplier_dim", "store_dim", "date_dim", "product_dim", "customer_dim")
+TABLES = tuple(TABLE_SCHEMAS)
 
 
 @dataclass
@@ -52,6 +51,17 @@ class Star:
         return names
 
 
+@dataclass
+class Done:
+    """Batches that can be read, as ranges with both ends, and the largest keys of the last one."""
+
+    ranges: list[tuple[int, int]]
+    max_keys: dict[str, int]
+
+    def holds(self, batch_id: Column) -> Column:
+        return reduce(lambda a, b: a | b, [batch_id.between(lo, hi) for lo, hi in self.ranges], F.lit(False))
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -69,125 +79,92 @@ class Warehouse:
 
     # -- loads -----------------------------------------------------------
 
-    def _hadoop(self, path: str):
-        jpath = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()), jpath
-
-    def _manifests(self) -> list[int]:
-        fs, p = self._hadoop(self.path("_loads"))
-        if not fs.exists(p):
-            return []
-        names = [st.getPath().getName() for st in fs.listStatus(p)]  # the last two only are kept
-        return sorted(int(n) for n in names if n.isdigit())
-
-    def loads(self) -> list[dict]:
-        """Live loads in batch order: batch (the last one, of merged loads), first, load, max (key by table)."""
-        found = self._manifests()
-        return json.loads(fs_read_text(self.spark, f"{self.path('_loads')}/{found[-1]}")) if found else []
-
-    def _publish(self, loads: list[dict]) -> None:
-        found = self._manifests()
-        seq = (found[-1] if found else -1) + 1
-        fs, folder = self._hadoop(self.path("_loads"))
-        fs_write_text(self.spark, f"{self.path('_loads')}/.{seq}", json.dumps(sorted(loads, key=lambda e: e["batch"])) + "\n")
-        fs, new = self._hadoop(f"{self.path('_loads')}/{seq}")
-        if not fs.rename(self._hadoop(f"{self.path('_loads')}/.{seq}")[1], new):
-            raise RuntimeError(f"manifest {seq} exists: another writer is at work")
-        for old in found[:-1]:
-            fs.delete(self._hadoop(f"{self.path('_loads')}/{old}")[1], False)
-
-    def new_load(self, batch_id: int) -> str:
-        """Id for an attempt to load a batch; only the last batch may be loaded again."""
-        done = self.committed_batches()
-        if done and batch_id < done[-1]:
+    def loads(self) -> DataFrame:
+        """One row per batch that is done, or is the last one and being run again."""
+        if not self.exists("loads"):
+            return self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in LOADS.fields])
+        return self.spark.read.schema(LOADS).parquet(self.path("loads")).select(*LOADS.names)
+
+    def _note(self, batch_id: int, done: bool, max_keys: dict[str, int]) -> None:
+        keys = F.from_json(F.lit(json.dumps(max_keys)), LOADS["max_keys"].dataType).alias("max_keys")
+        row = self.spark.range(0, 1, numPartitions=1).select(F.lit(done).alias("done"), keys)
+        row.write.mode("overwrite").parquet(f"{self.path('loads')}/batch_id={batch_id}")
+
+    def done(self, before_batch: int | None = None) -> Done:
+        """The batches that are done, of all or of the earlier ones: what a reader may see now."""
+        if not self.exists("loads"):
+            return Done([], {})
+        own = self.loads().where("done" if before_batch is None else F.col("done") & (F.col("batch_id") < F.lit(before_batch)))
+        place = F.row_number().over(Window.orderBy("batch_id"))  # of 2**20 batches at most
+        ranges = own.withColumn("_run", F.col("batch_id") - place).groupBy("_run").agg(
+            F.min("batch_id").alias("first"), F.max("batch_id").alias("last"), F.max_by("max_keys", "batch_id").alias("keys")
+        )
+        rows = sorted(ranges.collect(), key=lambda r: r["first"])  # one row more than batches that failed and were passed over
+        return Done([(r["first"], r["last"]) for r in rows], rows[-1]["keys"] if rows else {})
+
+    def last_batch(self) -> int:
+        """The latest batch, -1 without any."""
+        return self.loads().agg(F.coalesce(F.max("batch_id"), F.lit(-1))).first()[0] if self.exists("loads") else -1
+
+    def begin(self, batch_id: int) -> bool:
+        """Opens a batch; whether it is the last one again, which is not read until it is done anew."""
+        last = self.last_batch()
+        if batch_id < last:
             raise ValueError(
-                f"batch {batch_id} is older than the last committed batch {done[-1]}: batches load in "
-                "increasing order, and only the latest may be run again"
+                f"batch {batch_id} is older than the last batch {last}: batches load in increasing order, "
+                "and only the latest may be run again"
             )
-        return f"{batch_id}-{uuid.uuid4().hex[:12]}"
+        if batch_id == last:
+            self._note(batch_id, False, {})
+        return batch_id == last
 
-    def commit(self, batch_id: int, load: str, max_keys: dict[str, int]) -> None:
-        """Makes a load the content of its batch, in all tables at once."""
-        others = [e for e in self.loads() if e["batch"] != batch_id]
-        self._publish([*others, {"batch": batch_id, "first": batch_id, "load": load, "max": max_keys}])
+    def commit(self, batch_id: int, max_keys: dict[str, int]) -> None:
+        """Makes what a batch wrote readable, in all tables at once."""
+        self._note(batch_id, True, max_keys)
 
     def committed_batches(self) -> list[int]:
-        return [e["batch"] for e in self.loads()]
-
-    def max_key(self, table: str, before_batch: int) -> int:
-        """Largest key that batches before ``before_batch`` gave out in a dimension."""
-        return max([e["max"].get(table, 0) for e in self.loads() if e["batch"] < before_batch], default=0)
-
-    def compact(self) -> None:
-        """Merges all loads but the last, which may still be run again, into one."""
-        loads = self.loads()
-        old = loads[:-1]
-        if len(old) < 2:
-            return
-        load = f"{old[-1]['batch']}-{uuid.uuid4().hex[:12]}"
-        for table in TABLES:
-            if self.exists(table):
-                rows = self.read(table, loads=[e["load"] for e in old])
-                parts = [c for c in TABLE_PARTITIONS[table] if c != LOAD]
-                self.write(table, rows.repartition(*parts, F.pmod(F.xxhash64(*rows.columns), F.lit(16))) if parts else rows, load)
-        keys = {t: max(e["max"].get(t, 0) for e in old) for e in old for t in e["max"]}
-        self._publish([{"batch": old[-1]["batch"], "first": old[0]["first"], "load": load, "max": keys}, loads[-1]])
-
-    def vacuum(self) -> int:
-        """Deletes the files of loads that are not live; number of folders deleted."""
-        live = {e["load"] for e in self.loads()}
-        n = 0
-        for table in TABLES:
-            depth = "/*" * (len(TABLE_PARTITIONS[table]) - 1)
-            fs, p = self._hadoop(f"{self.path(table)}{depth}/{LOAD}=*")
-            for st in fs.globStatus(p) or []:
-                if st.getPath().getName().split("=", 1)[1] not in live:
-                    fs.delete(st.getPath(), True)
-                    n += 1
-        return n
+        return sorted(r.batch_id for r in self.loads().where("done").select("batch_id").collect())
 
     # -- tables ----------------------------------------------------------
 
-    def read(
-        self, table: str, before_batch: int | None = None, upto_batch: int | None = None, loads: list[str] | None = None
-    ) -> DataFrame:
-        """Rows of the live loads, or of the given ones (a load that is being written)."""
-        schema = TABLE_SCHEMAS[table]
-        last = upto_batch if before_batch is None else before_batch - 1
-        if loads is None:
-            loads = [e["load"] for e in self.loads() if last is None or e["first"] <= last]
-        if not loads or not self.exists(table):
-            return self.spark.createDataFrame([], schema)
-        stored = T.StructType([*schema.fields, T.StructField(LOAD, T.StringType(), True)])
-        df = self.spark.read.schema(stored).option("basePath", self.path(table)).parquet(self.path(table))
-        df = df.where(F.col(LOAD).isin(loads)).select(*schema.names)
-        return df if last is None else df.where(F.col("batch_id") <= F.lit(last))
-
-    def write(self, table: str, df: DataFrame, load: str) -> None:
-        """Adds rows to a load; nobody sees them before it is committed."""
+    def _stored(self, table: str) -> DataFrame:
         schema = TABLE_SCHEMAS[table]
-        out = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields], F.lit(load).alias(LOAD))
-        out.write.mode("append").partitionBy(*TABLE_PARTITIONS[table]).parquet(self.path(table))
+        if not self.exists(table):
+            return self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+        return self.spark.read.schema(schema).parquet(self.path(table)).select(*schema.names)
+
+    def read(self, table: str, before_batch: int | None = None, upto_batch: int | None = None, done: Done | None = None) -> DataFrame:
+        """Rows of the batches that are done, of all or of the earlier ones."""
+        if done is None:
+            done = self.done(before_batch if upto_batch is None else upto_batch + 1)
+        return self._stored(table).where(done.holds(F.col("batch_id")))
+
+    def read_batch(self, table: str, batch_id: int) -> DataFrame:
+        """What one batch has written so far, done or not; the other partitions are not read."""
+        return self._stored(table).where(F.col("batch_id") == F.lit(batch_id))
+
+    def write(self, table: str, df: DataFrame, batch_id: int) -> None:
+        """Makes ``df`` the batch's part of the table; nobody sees it before the batch is done."""
+        fields = [f for f in TABLE_SCHEMAS[table].fields if f.name != "batch_id"]
+        out = df.select(*[F.col(f.name).cast(f.dataType) for f in fields])
+        inner = [c for c in TABLE_PARTITIONS[table] if c != "batch_id"]
+        out.write.mode("overwrite").parquet(f"{self.path(table)}/batch_id={batch_id}", partitionBy=inner or None)
 
     def create(self) -> None:
         """Create every table empty if absent."""
-        for table in TABLES:
-            fs, p = self._hadoop(self.path(table))
-            fs.mkdirs(p)
+        for table in ("loads", *TABLES):
+            fs_mkdirs(self.spark, self.path(table))
 
     def drop_all(self) -> None:
-        """DROP TABLE IF EXISTS for every table, fact first."""
-        for table in (*TABLES, "_loads"):
+        """DROP TABLE IF EXISTS for every table, what refers to others first."""
+        for table in ("loads", *reversed(TABLES)):
             self.drop(table)
 
     def drop(self, table: str) -> None:
         """DROP TABLE IF EXISTS."""
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path(table))
-        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if fs.exists(p):
-            fs.delete(p, True)
+        fs_delete(self.spark, self.path(table))
 
     def star(self, upto_batch: int | None = None) -> Star:
-        r = lambda t: self.read(t, upto_batch=upto_batch)
+        done = self.done(None if upto_batch is None else upto_batch + 1)  # the same batches in all tables
+        r = lambda t: self.read(t, done=done)
         return Star(r("customer_dim"), r("product_dim"), r("store_dim"), r("supplier_dim"), r("date_dim"), r("sales_fact"))
