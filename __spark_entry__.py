@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from tillroll import etl
 from tillroll import oracle as O
 from tillroll.catalog import StarCatalog
+from tillroll.operators import constraints
 from tillroll.operators import facts as X
 from tillroll.operators import keys as K
 from tillroll.operators.quality import broken_star, constraint_report
@@ -295,6 +296,26 @@ def q20_incremental(spark, sf_dir):
     return after[0].unionByName(after[1])
 
 
+def constraint_on_load(spark, sf_dir):
+    """D5 on write: a third batch on offer that repeats stored sales and customers and refers to keys that nobody has.
+
+    Its facts are the stored ones of orders divisible by 50, under their own
+    sale_id where the order is divisible by 100 and under new ones elsewhere;
+    odd products among them and dates of 25 pieces or more are unknown.
+    """
+    wh = etl.testdata_incremental_warehouse(spark, sf_dir, CUTOVER)
+    star = wh.star()
+    order = F.col("order_id").cast("bigint")
+    fact = star.sales_fact.where(order % 50 == 0)
+    fact = (
+        fact.withColumn("sale_id", F.when(order % 100 == 0, F.col("sale_id")).otherwise(-F.col("sale_id") - 1))
+        .withColumn("product_sk", F.when(F.col("product_sk") % 2 == 1, -F.col("product_sk")).otherwise(F.col("product_sk")))
+        .withColumn("date_sk", F.when(F.col("quantity") >= 25, F.col("date_sk") + 1_000_000).otherwise(F.col("date_sk")))
+    )
+    customers = star.customer_dim.where("customer_sk % 9 = 0")
+    return constraints.check_load(wh, {"sales_fact": fact, "customer_dim": customers.unionByName(customers.withColumn("customer_sk", -F.col("customer_sk")))}, 2)
+
+
 def constraint_check(spark, sf_dir):
     return constraint_report(_star(spark, sf_dir))
 
@@ -323,6 +344,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dim_first_write_wins": dim_first_write_wins,
         "constraint_check": constraint_check,
         "constraint_check_broken": constraint_check_broken,
+        "constraint_on_load": constraint_on_load,
         "csv_masters": csv_masters,
         "csv_transactions": csv_transactions,
         "redo_last_batch": redo_last_batch,

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.operators import constraints
 from tillroll.operators import dims as D
 from tillroll.operators import facts as X
 from tillroll.plans import incremental
@@ -206,10 +207,11 @@ def testdata_two_batch_warehouse(spark: SparkSession, sf_dir: str, cutover: str)
 
 
 def testdata_incremental_warehouse(spark: SparkSession, sf_dir: str, cutover: str) -> Warehouse:
-    """The feed loaded as two batches with the store quarter aggregate kept up to date."""
+    """The feed loaded as two batches with the store quarter aggregate and the key filters kept up to date."""
     def build(wh, tx, pm, cm):
-        load_batch(wh, tx.where(before(cutover)), pm, cm, 0, maintain=[incremental.maintain])
-        load_batch(wh, tx.where(~before(cutover)), pm, cm, 1, maintain=[incremental.maintain])
+        keep = [incremental.maintain, constraints.note_keys]
+        load_batch(wh, tx.where(before(cutover)), pm, cm, 0, maintain=keep)
+        load_batch(wh, tx.where(~before(cutover)), pm, cm, 1, maintain=keep)
 
     return built_warehouse(spark, sf_dir, f"incremental-{cutover}", build)
 

@@ -56,9 +56,12 @@ def constraint_report(star: Star) -> DataFrame:
 
 def broken_star(star: Star) -> Star:
     """The star with dimension rows missing and repeated by fixed rules, to see the report find them."""
-    c = star.customer_dim
+    c, s, u, f = star.customer_dim, star.store_dim, star.supplier_dim, star.sales_fact
     return replace(
         star,
+        sales_fact=f.unionByName(f.where("cast(order_id as bigint) % 13 = 4")),
+        store_dim=s.unionByName(s.where("store_sk % 4 = 1").withColumn("store_sk", F.col("store_sk") + 1000)),
+        supplier_dim=u.unionByName(u.where("supplier_sk % 3 = 2").withColumn("supplier_id", F.lit("again"))),
         product_dim=star.product_dim.where("product_sk % 7 <> 3"),
         date_dim=star.date_dim.where("date_sk % 5 <> 1"),
         customer_dim=c.unionByName(c.where("customer_sk % 11 = 0")),

@@ -127,6 +127,15 @@ STORE_QUARTER_CUSTOMERS = T.StructType([
     T.StructField("year", T.IntegerType(), True),
 ])
 
+# Bloom filters of a batch's keys (operators.constraints): words of 2**words words.
+KEY_FILTERS = T.StructType([
+    T.StructField("kind", T.StringType(), True),
+    T.StructField("words", T.IntegerType(), True),
+    T.StructField("slot", KEY, True),
+    T.StructField("bits", KEY, True),
+    BATCH,
+])
+
 # Table name -> (schema, natural key, surrogate key, partition columns).
 DIMENSIONS = {
     "customer_dim": (CUSTOMER_DIM, "customer_id", "customer_sk"),
@@ -141,6 +150,7 @@ TABLE_SCHEMAS = {
     "quarantine": QUARANTINE,
     "store_quarter_sums": STORE_QUARTER_SUMS,
     "store_quarter_customers": STORE_QUARTER_CUSTOMERS,
+    "key_filters": KEY_FILTERS,
 }
 # Every table is partitioned by the batch that wrote it.
 TABLE_PARTITIONS = {
@@ -149,6 +159,7 @@ TABLE_PARTITIONS = {
     "quarantine": ["batch_id"],
     "store_quarter_sums": ["batch_id"],
     "store_quarter_customers": ["batch_id", "year"],
+    "key_filters": ["batch_id"],
 }
 
 # One row per batch: whether it is done and the largest keys it gave out.
