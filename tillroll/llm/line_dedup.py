@@ -17,11 +17,15 @@ collisions only blur the order, which need not be exact).  With it:
 * positional filter: at their first common shingle, what remains behind it in
   either line must suffice for the overlap.
 
-Candidates are verified on their whole sets.
+Candidates are verified on their whole sets.  As one earlier match settles a
+line, lines meet the earliest line of each of their tokens first
+(:func:`later_matches`).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,12 +34,14 @@ from .common import discard, staged
 SHINGLE = 5
 NUM, DEN = 4, 5  # the similarity 0.8 in whole numbers
 BITS = 18
-LEAST_HOT = 6  # level of a counter below which its tokens count as cold in any case
-_SPACE = r"[\x09-\x0D\x20]+"
+ROUNDS = 1
+_SPACE, _WORD = r"[\x09-\x0D\x20]+", r"[^\x09-\x0D\x20]"
 
 
-def _words(line: Column) -> Column:
-    return F.filter(F.split(F.lower(line), _SPACE), lambda w: w != "")
+def _norm(line: Column) -> Column:
+    """The line's words in lower case with one space between them; most lines have no other space to replace."""
+    odd = line.rlike(r"[\x09-\x0D]|\x20\x20")
+    return F.trim(F.lower(F.when(odd, F.regexp_replace(line, _SPACE, " ")).otherwise(line)))
 
 
 def _gram(at: str, size: int = SHINGLE) -> str:
@@ -60,8 +66,8 @@ def _ceil(a: Column, b: int) -> Column:
     return F.floor((a + (b - 1)) / b).cast("int")
 
 
-def _histogram(classes: DataFrame, bits: int) -> tuple[Column, int]:
-    """Per counter the level (logarithm) of its shingles, one byte each, as a literal of ``2 ** bits`` bytes; the mean's level."""
+def _histogram(classes: DataFrame, bits: int) -> Column:
+    """Per counter the level (logarithm) of its shingles, one byte each, as a literal of ``2 ** bits`` bytes."""
     spark = classes.sparkSession
     # places are exploded, not shingles: their hashes and counters then are generated code
     places = classes.select(_hashed()).select("h", F.explode(F.expr(_PLACES)).alias("i"))
@@ -71,9 +77,8 @@ def _histogram(classes: DataFrame, bits: int) -> tuple[Column, int]:
     level = F.char(F.lit(48) + F.floor(F.log2(F.col("c") + 1)).cast("bigint"))
     row = full.agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", level.alias("l")))), lambda x: x["l"]), "").alias("h"),
-        F.floor(F.log2(F.avg("c") + 1)).cast("int").alias("mean"),
     ).first()
-    return F.lit(row["h"].encode()), row["mean"] or 0
+    return F.lit(row["h"].encode())
 
 
 def _ordered(shingles: Column, histogram: Column, bits: int) -> Column:
@@ -113,9 +118,8 @@ def classes_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _classes(rows: DataFrame) -> DataFrame:
     lines = rows.select("_id", "_hash", "_row", F.posexplode(F.split("_text", "\n", -1)).alias("line_no", "line"))
     place = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_hash").alias("hash"), F.col("_row").alias("row"), "line_no")
-    lines = lines.select(place.alias("place"), _words(F.col("line")).alias("words"))
-    lines = lines.filter(F.size("words") > 0)
-    lines = lines.select("place", F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words").alias("h2"), F.array_join("words", " ").alias("norm"))
+    lines = lines.select(place.alias("place"), _norm(F.col("line")).alias("norm")).filter("norm <> ''")
+    lines = lines.select("place", F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit(1), "norm").alias("h2"), "norm")
     classes = lines.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.first("norm").alias("norm"))
     classes = staged(classes.select(F.monotonically_increasing_id().alias("cid"), "first", "norm"), "line-classes")
     out = classes.select("cid", "first", F.split("norm", " ").alias("words"))
@@ -123,42 +127,43 @@ def _classes(rows: DataFrame) -> DataFrame:
     return out
 
 
-def later_matches(classes: DataFrame, bits: int = BITS, least_hot: int = LEAST_HOT) -> DataFrame:
+def later_matches(classes: DataFrame, bits: int = BITS, rounds: int = ROUNDS) -> DataFrame:
     """cid of every class that matches a class which comes first earlier.
 
-    ``least_hot`` is the level from which a token may count as hot (0: all do).
-
-    Prefixes are staged in two parts.  A cold token's counter is at most four
-    times the mean, which bounds its lines by a fixed share of the corpus; its
-    lines are counted and, if it has several, joined.  A hot token would make
-    pairs with the square of its lines.  So its lines are first compared with
-    the earliest of them alone: those that match are later matches, which
-    settles them, and only pairs with an unsettled line are made after that.
+    One earlier match settles a line, so lines are settled in rounds: each open
+    line is compared with the earliest open line of each of its prefix tokens,
+    one pair a token and line, and of a group of similar lines all but the
+    first leave in one round.  After ``rounds`` of them, the lines that are
+    still open meet all earlier lines of their tokens.  Pairs between two later
+    lines, of which a group has the square, are never made.
     """
-    histogram, mean = _histogram(classes, bits)
-    t = classes.select("cid", "first", _hashed()).select("cid", "first", _ordered(_shingles(), histogram, bits).alias("tokens")).withColumn("n", F.size("tokens"))
+    histogram = _histogram(classes, bits)
+    t = classes.select("cid", _hashed()).select("cid", _ordered(_shingles(), histogram, bits).alias("tokens")).withColumn("n", F.size("tokens"))
     prefix = F.col("n") - _ceil(F.col("n") * NUM, DEN) + 1
-    posts = t.select("cid", "first", "n", F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("pos", "token"))
-    least = max(mean + 2, least_hot) if least_hot else 0
-    hot = (F.shiftrightunsigned("token", 57) >= least).cast("int")
-    posts = posts.select("cid", "n", "pos", "token", F.when(hot == 1, F.col("first")).alias("at"), hot.alias("hot"))
-    posts = staged(posts, "line-prefixes", "hot")
-
-    cold = posts.filter("hot = 0").select("token", "cid", "n", "pos")
-    cold = cold.withColumn("_c", F.count("*").over(Window.partitionBy("token"))).filter("_c > 1").drop("_c")
-    cold = staged(cold, "line-shared")
-    some = posts.filter("hot = 1").select("token", "cid", "n", "pos", "at")
-    lead = some.groupBy("token").agg(F.min(F.struct("at", "cid", "n", "pos")).alias("l"))
-    led = some.join(lead, "token").select("cid", "n", "pos", F.col("l.cid").alias("y"), F.col("l.n").alias("ny"), F.col("l.pos").alias("py"))
-    led = led.filter((F.col("cid") != F.col("y")) & _enough("n", "pos", "ny", "py")).select(F.col("cid").alias("x"), "y").distinct()
-    settled = _verified(staged(led, "line-led"), classes)
-    some = some.select("token", "cid", "n", "pos")
-    open_, done = some.join(settled, "cid", "left_anti"), some.join(settled, "cid", "left_semi")
-
-    pairs = _candidates(cold, cold).union(_candidates(open_, some)).union(_candidates(done, open_)).distinct()
-    pairs = staged(pairs, "line-pairs")
-    discard(posts, cold)
-    return staged(settled.union(_verified(pairs, classes)).distinct(), "line-later")
+    posts = t.select("cid", "n", F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("pos", "token"))
+    posts = posts.withColumn("_c", F.count("*").over(Window.partitionBy("token"))).filter("_c > 1").drop("_c")
+    posts = staged(posts, "line-shared")
+    shared = staged(posts.join(classes.select("cid", F.col("first").alias("at")), "cid"), "line-posts")
+    discard(posts)
+
+    later = []
+    open_ = shared
+    for _ in range(rounds):
+        lead = open_.groupBy("token").agg(F.min(F.struct("at", "cid", "n", "pos")).alias("l"))
+        led = open_.join(lead, "token").select("cid", "n", "pos", F.col("l.cid").alias("y"), F.col("l.n").alias("ny"), F.col("l.pos").alias("py"))
+        led = led.filter((F.col("cid") != F.col("y")) & _enough("n", "pos", "ny", "py")).select(F.col("cid").alias("x"), "y").distinct()
+        settled = _verified(staged(led, "line-led"), classes)
+        later.append(settled)
+        rest = staged(open_.join(settled, "cid", "left_anti"), "line-open")
+        if open_ is not shared:
+            discard(open_)
+        open_ = rest
+    pairs = staged(_candidates(open_, shared), "line-pairs")
+    later.append(_verified(pairs, classes))
+    discard(shared, open_)
+    out = staged(reduce(DataFrame.union, later).distinct(), "line-later")
+    discard(*later)
+    return out
 
 
 def _enough(n: str, pos: str, ny: str, py: str) -> Column:
@@ -168,13 +173,19 @@ def _enough(n: str, pos: str, ny: str, py: str) -> Column:
     return (F.least(a, b) * DEN >= F.greatest(a, b) * NUM) & (F.least(a - F.col(pos), b - F.col(py)) >= need)
 
 
-def _candidates(probe: DataFrame, index: DataFrame) -> DataFrame:
-    """Pairs (x, y), y the shorter, that pass the prefix, length and positional filters at some common token."""
-    short = F.col("pos") < F.col("n") - _ceil(F.col("n") * 2 * NUM, NUM + DEN) + 1
-    index = index.filter(short).select("token", F.col("cid").alias("y"), F.col("n").alias("ny"), F.col("pos").alias("py"))
-    probe = probe.select("token", F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"))
-    shorter = (F.col("ny") < F.col("nx")) | ((F.col("ny") == F.col("nx")) & (F.col("y") < F.col("x")))
-    return probe.join(index, "token").filter(shorter & _enough("nx", "px", "ny", "py")).select("x", "y").distinct()
+def _candidates(open_: DataFrame, index: DataFrame) -> DataFrame:
+    """Pairs (x, y) of an open line and an earlier one that pass the prefix, length and positional filters at some common token.
+
+    Of two matching lines the shorter one has the token within a shorter prefix.
+    """
+
+    def short(n: str, pos: str) -> Column:
+        return F.col(pos) < F.col(n) - _ceil(F.col(n) * 2 * NUM, NUM + DEN) + 1
+
+    y = index.select("token", F.col("cid").alias("y"), F.col("n").alias("ny"), F.col("pos").alias("py"), F.col("at").alias("ay"))
+    x = open_.select("token", F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"), F.col("at").alias("ax"))
+    shorter = F.when(F.col("nx") <= F.col("ny"), short("nx", "px")).otherwise(short("ny", "py"))
+    return x.join(y, "token").filter((F.col("ay") < F.col("ax")) & _enough("nx", "px", "ny", "py") & shorter).select("x", "y").distinct()
 
 
 def _verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -213,7 +224,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     same = F.col("_id").eqNullSafe(F.col("id")) & (F.col("_hash") == F.col("hash")) & (F.col("_row") == F.col("row"))
     rows = rows.join(kept, same, "left")
     none = F.expr("cast(array() as array<int>)")
-    stays = F.filter("_lines", lambda l, i: (F.size(_words(l)) == 0) | F.array_contains(F.coalesce("_kept", none), i))
+    stays = F.filter("_lines", lambda l, i: ~l.rlike(_WORD) | F.array_contains(F.coalesce("_kept", none), i))
     rows = rows.select("_doc", F.size("_lines").alias("_n"), stays.alias("_stays"))
     out = [F.array_join("_stays", "\n").alias(c) if c == text_col else F.col(f"_doc.`{c}`") for c in docs.columns]
     n = F.coalesce(F.when(F.col(f"_doc.`{text_col}`").isNotNull(), F.col("_n")), F.lit(0)).cast("bigint")
