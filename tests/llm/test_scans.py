@@ -60,6 +60,20 @@ def test_ownership_separates_copied_from_owned(spark):
     assert [r.n_assign for r in twice] == [1, 1]
 
 
+def test_very_many_secrets_in_one_text_take_linear_time(spark):
+    import time
+
+    took = []
+    for n in (10, 16_000, 64_000):
+        text = " ".join(f"token=Abc{i:06d}xyz" for i in range(n))
+        df = docs_of(spark, [(1, text, "s")])
+        t = time.time()
+        r = secret_scan.scan(df).first()
+        took.append(time.time() - t)
+        assert r.n_assign == n and r.spans == brute_spans(text)
+    assert took[1] < 10 and took[2] < 6 * took[1], took
+
+
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 

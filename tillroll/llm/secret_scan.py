@@ -8,7 +8,7 @@ and that looks like a real credential is reported as live.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import staged
@@ -23,49 +23,45 @@ PLACEHOLDER = r"(?i)example|sample|dummy|changeme|placeholder|your|test|xxxx|123
 LEAST_DISTINCT = 8
 
 
-def _spans(matches: str, kind: int, secret: str) -> Column:
-    """Matches in order as structs with their code-point spans.
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    The first occurrence of a match's text behind the previous match is the
-    match itself: an earlier one would itself have been the leftmost match.
-    """
-    return F.expr(f"""
-        aggregate({matches},
-          named_struct('p', 1, 'o', cast(array() as array<struct<start:int,kind:int,end:int,secret:string>>)),
-          (acc, m) -> named_struct(
-            'p', locate(m, _text, acc.p) + char_length(m),
-            'o', concat(acc.o, array(named_struct(
-                   'start', locate(m, _text, acc.p) - 1, 'kind', {kind},
-                   'end', locate(m, _text, acc.p) - 1 + char_length(m), 'secret', {secret})))),
-          acc -> acc.o)""")
 
+def _pieces(pattern: str, kind: int) -> Column:
+    """Matches in order, each with the length of the text between it and the one before.
 
-def _encode(spans: Column) -> Column:
-    name = lambda k: F.when(k == 0, KINDS[0]).when(k == 1, KINDS[1]).otherwise(KINDS[2])
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", name(s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
+    The text is cut at its matches, so gaps and matches alternate and a running
+    sum of their lengths gives every position; nothing is searched for again.
+    """
+    match = f"x.`_m{kind}`"
+    secret = f"regexp_extract({match}, {_quoted(pattern)}, 2)" if kind == 0 else match
+    return F.expr(f"""
+        transform(arrays_zip(slice(split(_text, {_quoted(pattern)}, -1), 1, size(_m{kind})), _m{kind}), (x, i) -> named_struct(
+          'kind', {kind}, 'i', i, 'gap', char_length(x.`0`), 'len', char_length({match}), 'secret', {secret}))""")
 
 
 def find(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
-    """``keep`` columns and ``spans``: every candidate of every whole text, by start and then kind.
+    """``keep`` columns and ``pieces``: every match of every whole text, by kind and in order.
 
     Per kind the matches are leftmost and do not overlap; an assignment whose
-    value is too short uses up its text and is then dropped.  Null texts are
-    empty.
+    value is too short uses up its text too.  Null texts are empty.
     """
     df = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    df = df.select(
-        *keep,
-        "_text",
-        F.regexp_extract_all("_text", F.lit(ASSIGN), F.lit(0)).alias("_assign"),
-        F.regexp_extract_all("_text", F.lit(ACCESS), F.lit(0)).alias("_access"),
-        F.regexp_extract_all("_text", F.lit(HEX), F.lit(0)).alias("_hex"),
-    )
-    value = "regexp_extract(m, '" + ASSIGN.replace("\\", "\\\\").replace("'", "\\'") + "', 2)"
-    assign = F.filter(_spans("_assign", 0, value), lambda s: F.length(s["secret"]) >= LEAST_ASSIGN)
-    spans = F.array_sort(F.concat(assign, _spans("_access", 1, "m"), _spans("_hex", 2, "m")))
-    none = (F.size("_assign") + F.size("_access") + F.size("_hex")) == 0
-    empty = F.expr("cast(array() as array<struct<start:int,kind:int,end:int,secret:string>>)")
-    return df.select(*keep, F.when(none, empty).otherwise(spans).alias("spans"))
+    patterns = (ASSIGN, ACCESS, HEX)
+    df = df.select(*keep, "_text", *[F.regexp_extract_all("_text", F.lit(p), F.lit(0)).alias(f"_m{k}") for k, p in enumerate(patterns)])
+    pieces = [_pieces(p, k) for k, p in enumerate(patterns)]
+    none = F.expr("cast(array() as array<struct<kind:int,i:int,gap:int,len:int,secret:string>>)")
+    found = [F.when(F.size(f"_m{k}") > 0, p).otherwise(none) for k, p in enumerate(pieces)]
+    return df.select(*keep, F.concat(*found).alias("pieces"))
+
+
+def candidates(found: DataFrame, row: str, keep: list[str]) -> DataFrame:
+    """One row per candidate of ``found`` (with ``pieces``): ``row``, ``keep``, kind, start, end (exclusive), secret."""
+    each = found.filter(F.size("pieces") > 0).select(row, *keep, F.inline("pieces"))
+    so_far = Window.partitionBy(row, "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)  # the matches of one text
+    each = each.withColumn("end", F.sum(F.col("gap").cast("bigint") + F.col("len")).over(so_far))
+    each = each.select(row, *keep, "kind", (F.col("end") - F.col("len")).alias("start"), "end", "secret")
+    return each.filter((F.col("kind") > 0) | (F.length("secret") >= LEAST_ASSIGN))
 
 
 def live_looking(secret: Column) -> Column:
@@ -108,41 +104,38 @@ def scan(
     Owner is ``source`` and a repository is a source's documents of one
     language, unless given.  Empty and null texts have no spans; null ids,
     owners and repositories are values of their own; each repeated row gets its
-    own row, and counts.  Other columns are not read.
+    own row, and counts; an empty table gives no rows.  A very long text, or one
+    with very many secrets, takes time in proportion.  Other columns are not read.
     """
     owner = F.col("source") if owner is None else owner
     repo = F.concat_ws("/", "source", "lang") if repo is None else repo
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"), owner.alias("_owner"), repo.alias("_repo"))
     found = find(rows, ["_id", "_owner", "_repo"], "_t").withColumn("_row", F.monotonically_increasing_id())
     found = staged(found, "secrets")  # fixes _row
-    each = found.select("_row", "_owner", "_repo", F.inline("spans"))
+    each = candidates(found, "_row", ["_owner", "_repo"])
     freq = ownership(each, "_repo", "_owner")
     rated = each.withColumn("secret_hash", F.sha2("secret", 256)).join(freq, "secret_hash")
     kind = F.when(F.col("n_owners") >= copied_owners, "copied").when(live_looking(F.col("secret")), "live").otherwise("placeholder")
     name = F.element_at(F.array(*map(F.lit, KINDS)), F.col("kind") + 1)
-    rated = rated.select(
-        "_row",
-        kind.alias("class"),
-        "n_owners",
-        "n_repositories",
-        F.struct("start", "kind", F.concat_ws(":", name, F.col("start").cast("string"), F.col("end").cast("string"), kind).alias("t")).alias("s"),
-    )
-    count = lambda c: F.count(F.when(F.col("class") == c, 1))
+    place = F.concat_ws(":", name, F.col("start").cast("string"), F.col("end").cast("string"))
+    rated = rated.select("_row", "kind", kind.alias("class"), "n_owners", "n_repositories", F.struct("start", "kind", place.alias("t"), kind.alias("class")).alias("s"))
+    count = lambda c: F.count(F.when(c, 1))
+    in_order = lambda part: F.array_join(F.transform(F.array_sort(F.collect_list("s")), part), ",")
     per_row = rated.groupBy("_row").agg(
-        count("copied").alias("n_copied"),
-        count("live").alias("n_live"),
-        count("placeholder").alias("n_placeholder"),
+        *[count(F.col("kind") == i).alias(f"n_{k}") for i, k in enumerate(KINDS)],
+        *[count(F.col("class") == c).alias(f"n_{c}") for c in ("copied", "live", "placeholder")],
         F.max("n_owners").alias("max_owners"),
         F.max("n_repositories").alias("max_repositories"),
-        F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda x: x["t"]), ",").alias("classes"),
+        in_order(lambda x: x["t"]).alias("spans"),
+        in_order(lambda x: F.concat_ws(":", x["t"], x["class"])).alias("classes"),
     )
-    n = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("bigint")
     zero = lambda c: F.coalesce(c, F.lit(0).cast("bigint")).alias(c)
-    return found.join(per_row, "_row", "left").select(
+    spans = F.coalesce("spans", F.lit(""))
+    return found.select("_row", "_id").join(per_row, "_row", "left").select(
         F.col("_id").alias(id_col),
-        *[n(i).alias(f"n_{k}") for i, k in enumerate(KINDS)],
-        F.sha2(_encode(F.col("spans")), 256).alias("base_sha256"),
-        _encode(F.col("spans")).alias("spans"),
+        *[zero(f"n_{k}") for k in KINDS],
+        F.sha2(spans, 256).alias("base_sha256"),
+        spans.alias("spans"),
         *[zero(c) for c in ("n_copied", "n_live", "n_placeholder", "max_owners", "max_repositories")],
         F.coalesce("classes", F.lit("")).alias("classes"),
     )
