@@ -29,6 +29,7 @@ from .common import map_arrow, staged
 LEAST_REVISIT = 1000
 FRAME_BYTES = 1 << 20
 BUNDLE_BYTES = 1 << 28
+READ_BYTES, READ_FRAMES = 4 << 20, 4  # stored bytes that one task reads back, and frames that it reads in a row
 LEVEL = 3
 
 # Fixed values of the formats.
@@ -215,15 +216,18 @@ def write(chosen: DataFrame, folder: str, frame_bytes: int = FRAME_BYTES, bundle
 READ = "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, record_id string, target_uri string, payload binary"
 
 
-def read(index: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
+def read(index: DataFrame, folder: str, with_payload: bool = True, read_bytes: int = READ_BYTES) -> DataFrame:
     """Every record of the indexed bundles, frame by frame, with payload digests checked.
 
     A frame is opened through its bundle's seek table, which must agree with
     the index.  The payload of a revisit is null; its length and digest are
     those of the payload it refers to.
     """
-    frames = index.select("bundle", "frame", "frame_offset").distinct()
-    frames = frames.repartition(F.col("bundle"), F.floor(F.col("frame") / 16)).sortWithinPartitions("bundle", "frame")
+    frames = index.select("bundle", "frame", "frame_offset", "frame_bytes").distinct()
+    # dealt by what is to be read, not by the size of the index: neighbouring frames in runs of READ_FRAMES
+    total = frames.agg(F.sum("frame_bytes")).first()[0] or 0
+    frames = frames.select("bundle", "frame", "frame_offset").repartition(-(-total // read_bytes) or 1, "bundle", F.floor(F.col("frame") / READ_FRAMES))
+    frames = frames.sortWithinPartitions("bundle", "frame")
 
     def run(batches):
         import zstandard
@@ -300,6 +304,8 @@ def archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     Null html is an empty payload.  Rows that repeat the largest page_id of
     equal payloads are all responses; a null page_id revisits like any other
     but is referred to by none; equal payloads without any id are responses.
+    A very long payload is one record, in a frame of its own size; an empty
+    table makes no bundle and gives no rows; other columns are not read.
     Control characters of a url are percent-encoded, a null url is left out.
     """
     folder = folder_for(pages.sparkSession)
