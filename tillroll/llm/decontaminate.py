@@ -22,7 +22,7 @@ from itertools import repeat
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import append_arrow, staged, utf8_list, worker_state
+from .common import append_arrow, discard, staged, utf8_list, worker_state
 
 WINDOW = 10
 BLOCK_WORDS = 200_000
@@ -127,17 +127,25 @@ def contamination(
     strings), items_sha256, contaminated and spans (code points, end
     exclusive).  Null texts have no words.  Item rows with a null or wordless
     text hold no window; rows that repeat an item_id count as one item; a null
-    item_id is the empty id.  Repeated documents are scanned each on its own;
-    other columns of either table are not read.
+    item_id is the empty id.  Repeated documents are scanned each on its own; a
+    very long text is scanned whole, in one row; without documents there are no
+    rows, without items nothing is found.  Other columns of either table are
+    not read.
     """
     spark = docs.sparkSession
     df = docs.select(*keep, F.col(text_col).alias("_text"))
-    blocks = list(_blocks(benchmark, item_col, item_text, window, block_words))
-    for k, block in enumerate(blocks):
+    blocks = _blocks(benchmark, item_col, item_text, window, block_words)
+    block, before = next(blocks), None
+    while block is not None:  # the driver holds this block and the next one
+        following = next(blocks, None)
         shared = spark.sparkContext.broadcast((uuid.uuid4().hex, block))
-        df = _pass(df, shared, window, first=k == 0)
-        if k + 1 < len(blocks):
-            df = staged(df, "contamination")
+        df = _pass(df, shared, window, first=before is None)
+        if following is not None:
+            df, old = staged(df, "contamination"), before
+            shared.destroy()
+            if old is not None:
+                discard(old)
+        block, before = following, df
     return _report(df, keep)
 
 

@@ -63,7 +63,7 @@ FROM g
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 OP5 = f"""
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS ws FROM documents),
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS ws, regexp_split_to_array(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS gaps FROM documents),
 b AS (SELECT item_id, {_WORDS} AS ws FROM benchmark),
 w AS (
   SELECT DISTINCT item_id, least(len(ws), 10) AS n, array_to_string(ws[i:i + least(len(ws), 10) - 1], ' ') AS s
@@ -72,11 +72,19 @@ pos AS (
   SELECT r, i, n, array_to_string(ws[i:i + n - 1], ' ') AS s
   FROM d, (SELECT DISTINCT n FROM w), unnest(range(1, len(ws) - n + 2)) AS u(i)),
 found AS (SELECT r, i, n, item_id FROM pos JOIN w USING (n, s)),
-hits AS (SELECT r, count(DISTINCT k) AS n_hit FROM found, unnest(range(i, i + n)) AS u(k) GROUP BY r),
+hit AS (SELECT DISTINCT r, k FROM found, unnest(range(i, i + n)) AS u(k)),
+hits AS (SELECT r, count(*) AS n_hit FROM hit GROUP BY r),
+-- runs of hit words, as places in the text: lengths of the words and of what lies between them
+runs AS (SELECT r, min(k) AS a, max(k) AS b FROM (SELECT r, k, k - row_number() OVER (PARTITION BY r ORDER BY k) AS g FROM hit) GROUP BY r, g),
+places AS (
+  SELECT r, list_sum(list_transform(gaps[1:a], lambda x: length(x))) + coalesce(list_sum(list_transform(ws[1:a - 1], lambda x: length(x))), 0) AS s,
+    list_sum(list_transform(gaps[1:b], lambda x: length(x))) + list_sum(list_transform(ws[1:b], lambda x: length(x))) AS e
+  FROM runs JOIN d USING (r)),
+spans AS (SELECT r, string_agg(s::BIGINT || ':' || e::BIGINT, ',' ORDER BY s) AS spans FROM places GROUP BY r),
 items AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT r, item_id::VARCHAR AS id FROM found) GROUP BY r)
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN hits USING (r) LEFT JOIN items USING (r)
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(spans, '') AS spans
+FROM d LEFT JOIN hits USING (r) LEFT JOIN items USING (r) LEFT JOIN spans USING (r)
 """
 
 OP6 = r"""

@@ -48,7 +48,8 @@ def op4_gumbel_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
-    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    spans = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", spans.alias("spans"))
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
