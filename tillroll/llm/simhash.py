@@ -75,6 +75,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENTS, bl
     if 64 % segments:
         raise ValueError("segments must divide 64")
     width, radius = 64 // segments, max_bits // segments
+    # a fingerprint makes dozens of probes: dealt by their number, not by the bytes they start from
+    fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     part = lambda i: F.shiftrightunsigned("fp", i * width).bitwiseAND(F.lit((1 << width) - 1) if width < 64 else F.lit(-1))
     index = fps.select("fp", F.explode(F.array(*[F.struct(F.lit(i).alias("seg"), part(i).alias("key")) for i in range(segments)])).alias("_"))
     index = index.select("fp", "_.seg", "_.key")
@@ -122,7 +124,8 @@ def near_duplicates(
     reach.  Texts without words have fingerprint zero and are linked like any
     other.  Rows with a null id take part in linking but name no component: it
     is null only where all rows of a component lack an id.  Repeated rows each
-    get a row.  Other columns are not read.
+    get a row.  A very long text is one fingerprint; an empty table gives no
+    rows.  Other columns are not read.
     """
     sig = staged(signatures(docs, id_col, text_col, shingle).select(F.col(id_col).alias("_id"), "fp"), "simhash")
     out = sig.join(_linked(sig, max_bits, segments), "fp")
