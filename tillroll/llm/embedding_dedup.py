@@ -4,9 +4,13 @@ Vectors are normalised and hashed in ``tables`` tables, each the
 ``projections`` quantised values ``floor((x . a + b) / width)`` of Gaussian
 projections.  Of unit vectors with cosine 0.93 (Euclidean distance 0.374) the
 default parameters bring 93 % together in some table, of closer ones more;
-with cosine 0.98 over 99.9 %.  Every vector is hashed and every bucket is
+with cosine 0.98 over 99 %.  Every vector is hashed and every bucket is
 compared whole, so nothing but that chance is lost.
 
+The number of projections grows with the logarithm of the number of vectors, so
+that a vector meets about as many strangers in a table whatever the size, and
+the number of tables with it, so that the chance at the threshold stays.
+
 Equal vectors of a label are one class with a multiplicity.  Large buckets are
 cut into block pairs; a unit of work returns link counts and a spanning forest,
 not pairs.  A pair that shares several buckets counts in the first table only.
@@ -14,6 +18,8 @@ not pairs.  A pair that shares several buckets counts in the first table only.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,9 +29,11 @@ from .common import append_arrow, block_pairs, by_unit, grouped, map_arrow, span
 from .components import components
 
 MIN_COSINE = 0.93
-TABLES = 12
-PROJECTIONS = 10
 WIDTH = 2.0
+#: Chance that one projection puts two unit vectors into one cell: at cosine 0.93, and at cosine 0.
+NEAR, FAR = 0.851, 0.486
+#: Projections of a table for up to so many vectors, and the chance to meet at cosine 0.93 that the tables are to give.
+PROJECTIONS, FEW, RECALL = 10, 8192, 0.93
 BLOCK = 512
 SEED = 9
 
@@ -43,7 +51,13 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum())
 
 
-def hash_keys(x: np.ndarray, tables: int = TABLES, projections: int = PROJECTIONS, width: float = WIDTH, seed: int = SEED) -> np.ndarray:
+def parameters(n: int) -> tuple[int, int]:
+    """(tables, projections) for ``n`` vectors."""
+    projections = PROJECTIONS + max(0, math.ceil(math.log(max(n, 1) / FEW) / -math.log(FAR)))
+    return math.ceil(math.log(1 - RECALL) / math.log(1 - NEAR**projections)), projections
+
+
+def hash_keys(x: np.ndarray, tables: int, projections: int, width: float = WIDTH, seed: int = SEED) -> np.ndarray:
     """Bucket keys of unit vectors (rows), one column a table; the projections depend on the dimension and seed only."""
     rng = np.random.default_rng([seed, x.shape[1]])
     a = rng.standard_normal((x.shape[1], tables * projections))
@@ -85,8 +99,8 @@ def near_duplicates(
     vec_col: str = "embedding",
     label_col: str = "label",
     min_cosine: float = MIN_COSINE,
-    tables: int = TABLES,
-    projections: int = PROJECTIONS,
+    tables: int | None = None,
+    projections: int | None = None,
     width: float = WIDTH,
     block: int = BLOCK,
 ) -> DataFrame:
@@ -98,8 +112,11 @@ def near_duplicates(
     n_links counts other rows, repeated ones too; component_id is the smallest
     id reached (null ids are not counted as smallest); kept is id =
     component_id (false for a null id in a component with an id, else true).
-    Other columns are not read.
+    Repeated rows each get a row; a very long vector is compared as any other;
+    an empty table gives no rows.  Other columns are not read.
     """
+    if tables is None or projections is None:
+        tables, projections = parameters(vectors.count())
     rows = vectors.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label"), F.col(vec_col).cast("array<double>").alias("_vec"))
     rows = staged(_prepare(rows, tables, projections, width), "vectors")
     able = F.col("_label").isNotNull() & F.col("_unit_vec").isNotNull()
