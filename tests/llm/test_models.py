@@ -187,8 +187,8 @@ def test_repair_has_the_least_cost():
             assert total_cost(roles, solved, tail) == brute_cost(roles), roles
 
 
-@pytest.mark.parametrize("block", [4096, 4])
-def test_conversations_are_repaired_in_blocks_as_in_one(spark, block):
+@pytest.mark.parametrize(("block", "group"), [(4096, 1024), (4, 1024), (4, 3)])
+def test_conversations_are_repaired_in_blocks_as_in_one(spark, block, group):
     rng = np.random.default_rng(8)
     rows = []
     for conv in range(30):
@@ -198,7 +198,7 @@ def test_conversations_are_repaired_in_blocks_as_in_one(spark, block):
     rows += [(78, None, None, None), (78, 0, "user", ""), (79, 1, "user", "same"), (79, 1, "user", "same"), (None, 0, "user", "no id"), (None, 1, "assistant", "<|im_end|>x")]
     df = spark.createDataFrame([(*r, 1) for r in rows], "conv_id bigint, turn bigint, role string, text string, position int").repartition(3)
     got = collections.defaultdict(list)
-    for r in chat_repair.repair(df, block=block).collect():
+    for r in chat_repair.repair(df, block=block, group=group).collect():
         got[r.conv_id].append(r)
     assert sum(map(len, got.values())) == len(rows)
     for conv, rs in got.items():

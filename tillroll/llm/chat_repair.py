@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import grouped, map_arrow, staged
+from .common import discard, grouped, map_arrow, staged
 
 ROLES = ("system", "user", "assistant")
 ALIASES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant", "ai": "assistant"}
@@ -31,7 +31,7 @@ LEGAL = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT:
 FINAL = ASSISTANT
 MERGE, RELABEL, INSERT = 2, 3, 4
 UNKNOWN = 1  # relabelling a turn without a known role
-BLOCK = 4096
+BLOCK, GROUP = 4096, 1024
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 _FAR = 1 << 40
 
@@ -166,7 +166,56 @@ def _runs(t: pa.Table) -> list[tuple[int, int]]:
     return list(zip(edges, edges[1:]))
 
 
-def repair(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", block: int = BLOCK) -> DataFrame:
+def _inside(pdf):
+    """States at the cuts of a run of blocks, from its ``start`` to its ``end`` (-1: wherever it finishes best)."""
+    pdf = pdf.sort_values("_cut")
+    ms = [np.array(m, np.int64).reshape(4, 4) for m in pdf["m"]]
+    end = int(pdf["end"].iloc[0])
+    ahead = [END if end < 0 else np.where(np.arange(4) == end, 0, _FAR)]  # cheapest way on from each state, behind each block
+    for m in reversed(ms):
+        ahead.append(np.minimum((m + ahead[-1][None, :]).min(1), _FAR))
+    ahead = ahead[::-1]
+    state, starts, ends = int(pdf["start"].iloc[0]), [], []
+    for i, m in enumerate(ms):
+        starts.append(state)
+        state = int((m[state] + ahead[i + 1]).argmin())
+        ends.append(state if i + 1 < len(ms) else end)
+    return pdf[["_conv", "_cut"]].assign(start=starts, end=ends)
+
+
+def _bounds(blocks: DataFrame, conv_type: str, group: int) -> DataFrame:
+    """(_conv, _cut, start, end) of every block; end is -1 in a conversation's last.
+
+    Matrices of up to ``group`` neighbouring blocks are multiplied up to one, level by
+    level, until no conversation has more than ``group``; its states are then
+    found from the top down, so that no task sees more than ``group`` matrices.
+    """
+    node, bound = f"_conv {conv_type}, _cut bigint, m array<bigint>", f"_conv {conv_type}, _cut bigint, start int, end int"
+
+    def up(pdf):
+        pdf = pdf.sort_values("_cut")
+        m = None
+        for x in pdf["m"]:
+            x = np.array(x, np.int64).reshape(4, 4)
+            m = x if m is None else compose(m, x)
+        return pdf[["_conv"]].head(1).assign(_cut=pdf["_cut"].iloc[0] // group, m=[m.ravel().tolist()])
+
+    above = F.floor(F.col("_cut") / F.lit(group))
+    levels = [blocks]
+    while (levels[-1].groupBy("_conv").count().agg(F.max("count")).first()[0] or 0) > group:
+        levels.append(staged(levels[-1].groupBy("_conv", above.alias("_above")).applyInPandas(up, node), "turn-matrices"))
+    free = levels[-1].withColumn("start", F.lit(START)).withColumn("end", F.lit(-1))
+    known = staged(free.groupBy("_conv").applyInPandas(_inside, bound), "turn-cuts")
+    for level in reversed(levels[:-1]):
+        k = known.toDF("_c", "_k", "start", "end")
+        own = level.withColumn("_above", above)
+        own = own.join(k, own["_conv"].eqNullSafe(k["_c"]) & (own["_above"] == k["_k"])).drop("_c", "_k")
+        known = staged(own.groupBy("_conv", "_above").applyInPandas(_inside, bound), "turn-cuts")
+    discard(*levels)
+    return known
+
+
+def repair(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", block: int = BLOCK, group: int = GROUP) -> DataFrame:
     """One row per given turn: conversation, turn, position, role, new_role, action, inserted, piece.
 
     position orders the turns of a conversation; new_role is the role of the
@@ -179,7 +228,8 @@ def repair(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     text; repeated rows are turns of their own, which merge.  A null
     conversation id is one conversation.  Roles are trimmed, lower-cased and
     known aliases resolved; any other or null role costs little to relabel.
-    Null texts are empty.  Other columns are not read.
+    Null texts are empty, a very long text is one turn; an empty table gives no
+    rows.  Other columns are not read.
     """
     rows = _ordered(turns, conv_col, turn_col, role_col, text_col, block)
     conv_type = rows.schema["_conv"].dataType.simpleString()
@@ -201,22 +251,7 @@ def repair(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     dealt = some.repartition(F.col("_unit")).sortWithinPartitions("_unit", *order)
     blocks = map_arrow(dealt, matrices, f"_conv {conv_type}, _cut bigint, m array<bigint>")
 
-    def cuts(pdf):
-        """States at the cuts of one conversation: 16 numbers for every ``block`` turns."""
-        pdf = pdf.sort_values("_cut")
-        ms = [np.array(m, np.int64).reshape(4, 4) for m in pdf["m"]]
-        ahead = [END]  # cheapest way to finish from each state, behind each block
-        for m in reversed(ms):
-            ahead.append(np.minimum((m + ahead[-1][None, :]).min(1), _FAR))
-        ahead = ahead[::-1]
-        state, starts, ends = START, [], []
-        for i, m in enumerate(ms):
-            starts.append(state)
-            state = int((m[state] + ahead[i + 1]).argmin())
-            ends.append(state if i + 1 < len(ms) else -1)
-        return pdf[["_conv", "_cut"]].assign(start=starts, end=ends)
-
-    bounds = staged(blocks.groupBy("_conv").applyInPandas(cuts, f"_conv {conv_type}, _cut bigint, start int, end int"), "turn-cuts")
+    bounds = _bounds(staged(blocks, "turn-matrices"), conv_type, group)
     b = bounds.toDF("_bconv", "_bcut", "_start", "_end")
     rows = rows.join(b, rows["_conv"].eqNullSafe(b["_bconv"]) & (rows["_cut"] == b["_bcut"]), "left").drop("_bconv", "_bcut")
 
