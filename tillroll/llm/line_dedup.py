@@ -53,8 +53,8 @@ def _gram(at: str, size: int = SHINGLE) -> str:
 _PLACES = f"CASE WHEN size(h) < {SHINGLE} THEN array(-1) ELSE sequence(0, size(h) - {SHINGLE}) END"
 
 
-def _hashed(words: str = "words") -> Column:
-    return F.transform(words, lambda w: F.xxhash64(w)).alias("h")
+def _hashed() -> Column:
+    return F.transform(F.split("norm", " "), lambda w: F.xxhash64(w)).alias("h")
 
 
 def _shingles() -> Column:
@@ -107,7 +107,7 @@ def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def classes_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(cid, first, words): the distinct lines and the place of the first occurrence of each.
+    """(cid, first, norm): the distinct lines, as words with one space between them, and the place of the first occurrence of each.
 
     ``first`` orders by document id (null ids last), hash of the text, row
     number and line number.
@@ -121,10 +121,7 @@ def _classes(rows: DataFrame) -> DataFrame:
     lines = lines.select(place.alias("place"), _norm(F.col("line")).alias("norm")).filter("norm <> ''")
     lines = lines.select("place", F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit(1), "norm").alias("h2"), "norm")
     classes = lines.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.first("norm").alias("norm"))
-    classes = staged(classes.select(F.monotonically_increasing_id().alias("cid"), "first", "norm"), "line-classes")
-    out = classes.select("cid", "first", F.split("norm", " ").alias("words"))
-    out._staged_at = classes._staged_at
-    return out
+    return staged(classes.select(F.monotonically_increasing_id().alias("cid"), "first", "norm"), "line-classes")
 
 
 def later_matches(classes: DataFrame, bits: int = BITS, rounds: int = ROUNDS) -> DataFrame:
@@ -141,7 +138,10 @@ def later_matches(classes: DataFrame, bits: int = BITS, rounds: int = ROUNDS) ->
     t = classes.select("cid", _hashed()).select("cid", _ordered(_shingles(), histogram, bits).alias("tokens")).withColumn("n", F.size("tokens"))
     prefix = F.col("n") - _ceil(F.col("n") * NUM, DEN) + 1
     posts = t.select("cid", "n", F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("pos", "token"))
-    posts = posts.withColumn("_c", F.count("*").over(Window.partitionBy("token"))).filter("_c > 1").drop("_c")
+    # two small numbers in one: most rows of this shuffle are of tokens that no other line has
+    posts = posts.select("token", "cid", F.shiftleft(F.col("n").cast("bigint"), 32).bitwiseOR(F.col("pos").cast("bigint")).alias("_np"))
+    posts = posts.withColumn("_c", F.count("*").over(Window.partitionBy("token"))).filter("_c > 1")
+    posts = posts.select("token", "cid", F.shiftright("_np", 32).cast("int").alias("n"), F.col("_np").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("pos"))
     posts = staged(posts, "line-shared")
     shared = staged(posts.join(classes.select("cid", F.col("first").alias("at")), "cid"), "line-posts")
     discard(posts)
@@ -191,7 +191,8 @@ def _candidates(open_: DataFrame, index: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """cid of the later class of every pair whose whole sets are similar enough; deletes ``pairs``."""
     ids = pairs.select(F.explode(F.array("x", "y")).alias("cid")).distinct()
-    sets = staged(classes.join(ids, "cid", "left_semi").select("cid", "first", _hashed()).select("cid", "first", _shingles().alias("s")), "line-sets")
+    texts = classes.join(ids, "cid", "left_semi")  # moved as text, which is smaller than its words
+    sets = staged(texts.select("cid", "first", _hashed()).select("cid", "first", _shingles().alias("s")), "line-sets")
     both = pairs.join(sets.toDF("x", "fx", "sx"), "x").join(sets.toDF("y", "fy", "sy"), "y")
     common = F.size(F.array_intersect("sx", "sy"))
     same = common * (NUM + DEN) >= (F.size("sx") + F.size("sy")) * NUM
@@ -220,9 +221,9 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     kept = kept.groupBy("id", "hash", "row").agg(F.collect_list("line_no").alias("_kept"))
     kept = staged(kept, "line-kept")
     discard(classes, later)
-    rows = rows.select("_doc", "_id", "_hash", "_row", F.split("_text", "\n", -1).alias("_lines"))
+    rows = rows.select("_doc", "_id", "_hash", "_row")  # one copy of the text is moved
     same = F.col("_id").eqNullSafe(F.col("id")) & (F.col("_hash") == F.col("hash")) & (F.col("_row") == F.col("row"))
-    rows = rows.join(kept, same, "left")
+    rows = rows.join(kept, same, "left").withColumn("_lines", F.split(F.col(f"_doc.`{text_col}`"), "\n", -1))
     none = F.expr("cast(array() as array<int>)")
     stays = F.filter("_lines", lambda l, i: ~l.rlike(_WORD) | F.array_contains(F.coalesce("_kept", none), i))
     rows = rows.select("_doc", F.size("_lines").alias("_n"), stays.alias("_stays"))
