@@ -112,7 +112,8 @@ class Lattices(dict):
 
     Words are noted as they are looked up and built together by
     :meth:`settle`: a trie of the pieces is walked from all their positions at
-    once, then the backward sums run from all word ends towards the starts.
+    once, then the backward sums run from all word ends towards the starts,
+    over the edges that there are.  No number of a word depends on the others.
     """
 
     _CHARS = 60_000  # built at a time, or one word: some 1 KB each while it lasts
@@ -173,14 +174,12 @@ class Lattices(dict):
         if not self.pending:
             return starts
         node = np.empty(len(self.pending), np.int64)
-        i = 0
+        ends = np.cumsum(np.fromiter(map(len, self.pending), np.int64, len(self.pending)))
+        i = held = 0
         while i < len(self.pending):
-            j, held = i, 0
-            while j < len(self.pending) and (j == i or held + len(self.pending[j]) <= self._CHARS):
-                held += len(self.pending[j])
-                j += 1
+            j = max(i + 1, int(np.searchsorted(ends, held + self._CHARS, side="right")))
             node[i:j] = self._build(self.pending[i:j])
-            i = j
+            i, held = j, int(ends[j - 1])
         self.update(zip(self.pending, node.tolist()))
         self.pending = []
         return np.where(starts < 0, node[-np.minimum(starts, -1) - 1], starts)
@@ -207,53 +206,81 @@ class Lattices(dict):
         limit = np.repeat(end, size + 1)
         is_end = np.zeros(n, bool)
         is_end[end] = True
-        weight = np.zeros((n, self.depth))
-        ids = np.zeros((n, self.depth), np.int32)
         pos = np.flatnonzero(~is_end)
         at = self._step(np.zeros(len(pos), np.int32), letter[pos])
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # per length: positions, ids, weights
+        bare = ~is_end
         for k in range(self.depth):
             on = at > 0
             pos, at = pos[on], at[on]
-            weight[pos, k] = self.trie_weight[at]
-            ids[pos, k] = self.trie_id[at]
+            w = self.trie_weight[at]
+            on = np.flatnonzero(w > 0)
+            found.append((pos[on], self.trie_id[at[on]], w[on]))
             on = pos + k + 1 < limit[pos]
             pos, at = pos[on], at[on]
             if not len(pos):
                 break
             at = self._step(at, letter[pos + k + 1])
-        for i in np.flatnonzero((weight[:, 0] == 0) & ~is_end).tolist():
-            raw = chr(text[i]).encode("utf-8", "surrogatepass")
-            weight[i, 0] = self.unknown ** len(raw)
-            ids[i, 0] = self.byte_ids[raw[0]] if len(raw) == 1 else self.size + int(text[i])
-        # backward sums, by distance from the word's end
-        z = np.zeros(n + self.depth)
+        bare[found[0][0]] = False
+        bare = np.flatnonzero(bare)
+        codes = text[bare].tolist()
+        raws = [chr(c).encode("utf-8", "surrogatepass") for c in codes]
+        lone = [self.byte_ids[r[0]] if len(r) == 1 else self.size + c for r, c in zip(raws, codes)]
+        single = (bare, np.array(lone, np.int32), np.array([self.unknown ** len(r) for r in raws]))
+        count = np.zeros(n, np.int32)
+        for pos, _, _ in (*found, single):
+            count[pos] += 1
+        # edges by their node's distance from the word's end, those of a node side by side, longest first
+        pos = np.flatnonzero(~is_end)
+        far_off = limit[pos] - pos
+        most = int(far_off.max(initial=0))
+        rows = pos[np.argsort(far_off.astype(np.uint16) if most < 1 << 16 else far_off, kind="stable")]
+        own = count[rows]
+        last = np.cumsum(own, dtype=np.int64)
+        begin = last - own
+        first = np.zeros(n, np.int64)
+        first[rows] = begin
+        total_edges = int(own.sum())
+        weight, ids, to = np.empty(total_edges), np.empty(total_edges, np.int32), np.empty(total_edges, np.int64)
+        free = first.copy()
+        for length, (pos, i, w) in ((1, single), *reversed(list(enumerate(found, 1)))):
+            k = free[pos]
+            weight[k], ids[k], to[k] = w, i, pos + length
+            free[pos] += 1
+        # backward sums
+        z = np.zeros(n)
         z[end] = 1.0
-        ahead = np.arange(1, self.depth + 1)
-        order = np.argsort(-size, kind="stable")
-        by_size = -size[order]
-        for d in range(1, int(size.max(initial=0)) + 1):
-            rows = end[order[: np.searchsorted(by_size, -d, side="right")]] - d
-            part = weight[rows] * z[rows[:, None] + ahead]
-            total = part.sum(1)
-            z[rows] = total
-            weight[rows] = part / total[:, None]
+        cuts = np.concatenate(([0], np.cumsum(np.bincount(far_off, minlength=1)[1:]))).tolist()
+        edge_cuts = [0, *last[np.array(cuts[1:], np.int64) - 1].tolist()]
+        for d in range(most):
+            r, e = slice(cuts[d], cuts[d + 1]), slice(edge_cuts[d], edge_cuts[d + 1])
+            part = weight[e] * z[to[e]]
+            total = np.add.reduceat(part, begin[r] - edge_cuts[d])
+            z[rows[r]] = total
+            weight[e] = part / np.repeat(total, own[r])
             far = np.flatnonzero((total < 1e-100) | (total > 1e100))
             for i in far.tolist():  # of a long word: only ratios to what follows are used
-                z[rows[i] : limit[rows[i]] + 1][: self.depth] /= total[i]
-        weight, ids = weight[:, ::-1], ids[:, ::-1]
-        there = weight > 0
-        count = there.sum(1).astype(np.int32)
-        cum = np.cumsum(weight, axis=1).astype(np.float32)[there]
-        cum[np.cumsum(count)[count > 0] - 1] = 2.0  # whatever the rounding, the last edge is taken
-        to = np.arange(n)[:, None] + ahead[None, ::-1]
-        nxt = np.where(to < limit[:, None], to + self.nodes, -1)[there]
+                at = rows[cuts[d] + i]
+                z[at : limit[at] + 1][: self.depth] /= total[i]
+        # sums along the edges of each node, one edge of all nodes at a time: a node's do not depend on the others
+        cum = weight.copy()
+        k = begin[own > 1] + 1
+        stop = last[own > 1]
+        while len(k):
+            cum[k] += cum[k - 1]
+            k += 1
+            more = k < stop
+            k, stop = k[more], stop[more]
+        cum = cum.astype(np.float32)
+        cum[last - 1] = 2.0  # whatever the rounding, the last edge is taken
+        nxt = np.where(is_end[to], -1, to + self.nodes)
+        p = np.where(np.repeat(own == 1, own), 1.0, weight)
         base = self.nodes
-        first = self.n_edges + np.cumsum(count) - count
-        p = np.where(count[:, None] == 1, 1.0, weight)[there]
+        first += self.n_edges
         for name, new, held in (
             ("first", first, self.nodes),
             ("count", count, self.nodes),
-            ("e_id", ids[there], self.n_edges),
+            ("e_id", ids, self.n_edges),
             ("e_next", nxt, self.n_edges),
             ("e_p", p, self.n_edges),
             ("e_cum", cum, self.n_edges),
@@ -561,8 +588,12 @@ def encode(
     The other digest is of the ids as little-endian 32-bit numbers.  A text
     with one segmentation only has one row; empty and null texts have one row
     without pieces and log_prob 0.  Rows are keyed by id and ``seed``, so
-    repeated rows give equal samples and null ids share a key.  Texts hold the
-    space mark itself as a space.  Other columns are not read.
+    repeated rows give equal samples and null ids share a key.  Equal perturbed
+    values are taken in the order in which the search made them.  Very long
+    texts and words are one lattice each, read whole.  Texts hold the space
+    mark itself as a space.  A table without rows gives none.  Other columns
+    are not read, whatever their names.  Draws on a walk have 24 bits: an edge
+    of a probability below 2^-24 given its node may never be drawn there.
     """
     vocabulary = load_vocabulary(folder, model)
     shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, vocabulary))  # a vocabulary: fixed size
