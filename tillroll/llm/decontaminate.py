@@ -150,7 +150,12 @@ def contamination(
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    """Rows of ``docs`` (all columns) without a benchmark window."""
+    """Rows of ``docs`` (all columns) without a benchmark window.
+
+    Null and empty texts have no words and stay; very long ones are read whole;
+    repeated rows stay or go together; a table without rows, of documents or of
+    the benchmark, is no error.  Columns of any name pass through.
+    """
     wrapped = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(text_col).alias("_t"))
     found = contamination(wrapped, benchmark, ["_doc"], "_t", **options)
     return found.filter(~F.col("contaminated")).select("_doc.*")

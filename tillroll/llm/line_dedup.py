@@ -202,8 +202,8 @@ def _verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return later
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the later matches removed from its texts, and n_lines and n_removed behind its columns.
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: bool = True) -> DataFrame:
+    """``docs`` with the later matches removed from its texts, and with ``counts`` n_lines and n_removed behind its columns.
 
     Lines are cut at line feeds; lines without words stay and match nothing.
     All columns are returned; a null text stays null.  Rows without an id come
@@ -211,7 +211,9 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     are documents of their own too, in the order of the texts' hashes.  Only
     rows equal in id and text are one document that is repeated: they hold the
     same places and keep the same lines.  A text all of whose lines match
-    earlier ones becomes empty.
+    earlier ones becomes empty.  Empty texts stay; very long texts and lines
+    are read whole.  A table without rows gives none.  Columns of any name pass
+    through; one called n_lines or n_removed asks for ``counts`` false.
     """
     rows = _numbered(docs, id_col, text_col)
     classes = _classes(rows)
@@ -230,4 +232,4 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     out = [F.array_join("_stays", "\n").alias(c) if c == text_col else F.col(f"_doc.`{c}`") for c in docs.columns]
     n = F.coalesce(F.when(F.col(f"_doc.`{text_col}`").isNotNull(), F.col("_n")), F.lit(0)).cast("bigint")
     removed = F.when(F.col(f"_doc.`{text_col}`").isNotNull(), F.col("_n") - F.size("_stays")).otherwise(0).cast("bigint")
-    return rows.select(*out, n.alias("n_lines"), removed.alias("n_removed"))
+    return rows.select(*out, *([n.alias("n_lines"), removed.alias("n_removed")] if counts else []))

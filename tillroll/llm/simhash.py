@@ -156,7 +156,9 @@ def keep_one(
 
     Rows that share an id with different texts, and rows without an id, count
     one by one.  Of rows equal in id and text one stays, the least by its
-    other columns as JSON.
+    other columns as JSON.  Null, empty and blank texts have fingerprint zero
+    and are duplicates of each other; very long texts are read whole; a table
+    without rows gives none.  Columns of any name pass through.
     """
     # two hashes of id and text stand for both; only these and the fingerprint are staged
     both = [F.col(id_col).isNull(), F.col(id_col), F.col(text_col).isNull(), F.col(text_col)]

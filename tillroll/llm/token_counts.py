@@ -130,7 +130,10 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id, n_words, n_tokens, n_bytes) of every whole text.
 
     Words are separated by ASCII white space.  Null and empty texts have
-    none; repeated rows each get a row; other columns are not read.
+    none; a null id stays null; repeated rows each get a row, and a table
+    without rows gives none.  Very long texts and words are read whole, once.
+    Longest match leaves no ties.  Other columns are not read, whatever their
+    names.
     """
     pieces = load_pieces(folder, model)
     shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, pieces))  # a vocabulary: fixed size
