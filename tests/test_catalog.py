@@ -61,6 +61,22 @@ def test_view_prunes_and_tables_have_statistics(spark, wh, catalog):
     assert not spark.catalog.databaseExists(catalog.db) and wh.star().sales_fact.count() == 10  # the files stay
 
 
+def test_temp_views_hide_no_table(spark, wh, catalog):
+    """Names that the session has as temp views too (S7's, S10's) mean the catalog's."""
+    _load(spark, wh, [tx("o1", "c1", "p1", 2, "2020-01-04")], 0)
+    catalog.create()
+    names = ("STORE_QUARTERLY_SALES", "sales_fact")
+    try:
+        for name in names:
+            spark.range(0).createOrReplaceTempView(name)
+        assert [r.quarterly_quantity for r in catalog.sql("SELECT * FROM STORE_QUARTERLY_SALES").collect()] == [2]
+        assert [r.order_id for r in catalog.sql("SELECT * FROM sales_fact").collect()] == ["o1"]
+        assert spark.table("sales_fact").count() == 0  # the caller's session is as it was
+    finally:
+        for name in names:
+            spark.catalog.dropTempView(name)
+
+
 def test_customer_breakdowns_do_not_move_a_bucketed_fact(spark):
     wh = etl.testdata_warehouse(spark, SF_SMALL)
     c = StarCatalog(wh, "star_buckets")

@@ -86,13 +86,17 @@ class StarCatalog:
             self.spark.sql(f"ANALYZE TABLE {self._files(table)} COMPUTE STATISTICS {columns}")
 
     def sql(self, text: str) -> DataFrame:
-        """Runs a statement with this database as the current one."""
-        before = self.spark.catalog.currentDatabase()
-        self.spark.catalog.setCurrentDatabase(self.db)
-        try:
-            return self.spark.sql(text)
-        finally:
-            self.spark.catalog.setCurrentDatabase(before)
+        """Runs a statement with this database as the current one.
+
+        In a session of its own with the same settings: a temp view of the
+        caller's hides no table or view of the same name.
+        """
+        own = self.spark.newSession()
+        for key, value in self.spark.conf.getAll.items():
+            if own.conf.isModifiable(key):
+                own.conf.set(key, value)
+        own.catalog.setCurrentDatabase(self.db)
+        return own.sql(text)
 
     # -- drop ------------------------------------------------------------
 
