@@ -75,8 +75,9 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENTS, bl
     if 64 % segments:
         raise ValueError("segments must divide 64")
     width, radius = 64 // segments, max_bits // segments
-    # a fingerprint makes dozens of probes: dealt by their number, not by the bytes they start from
-    fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    # a fingerprint makes dozens of probes: dealt by their number, not by the bytes they start from, and by a hash of
+    # their own, as Spark leaves out a second shuffle by the column that they are distinct in
+    fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("fp"))
     part = lambda i: F.shiftrightunsigned("fp", i * width).bitwiseAND(F.lit((1 << width) - 1) if width < 64 else F.lit(-1))
     index = fps.select("fp", F.explode(F.array(*[F.struct(F.lit(i).alias("seg"), part(i).alias("key")) for i in range(segments)])).alias("_"))
     index = index.select("fp", "_.seg", "_.key")
