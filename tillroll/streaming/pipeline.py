@@ -19,7 +19,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tillroll.etl import BatchResult, Maintain, counters, load_enriched
+from tillroll.etl import BatchResult, Maintain, batch_columns, counters, load_enriched
 from tillroll.operators import facts as X
 from tillroll.schemas import TRANSACTIONS
 from tillroll.sources.transactions import read_csv_files, stream_file_names, stream_transactions
@@ -92,8 +92,9 @@ def start_ingest(
         if on_batch is not None:
             on_batch(r)
 
-    # Counted in the stream's own plan, for a StreamingQueryListener (streaming.progress)
-    rows = stream if late_join else X.enrich(stream, products, customers).observe(OBSERVED, *counters())
+    # Counted in the stream's own plan, for a StreamingQueryListener (streaming.progress);
+    # what the sink selects does not prune that plan, so it is narrowed here
+    rows = stream if late_join else batch_columns(X.enrich(stream, products, customers)).observe(OBSERVED, *counters())
     writer = rows.writeStream.queryName(name).foreachBatch(sink).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
