@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.schemas import DIMENSIONS
+from tillroll.session import shared_dir
 from tillroll.warehouse import Done, Warehouse
 
 KEYS_PER_WORD = 4
@@ -75,7 +76,8 @@ def candidates(wh: Warehouse, keys: DataFrame, done: Done) -> DataFrame:
 
 def stored(wh: Warehouse, keys: DataFrame, done: Done) -> DataFrame:
     """(kind, key) of the keys that earlier batches hold: candidates joined exactly, in the partitions they may be in."""
-    may = candidates(wh, keys, done)
+    shared_dir(wh.spark)  # checkpoints go to the shared folder
+    may = candidates(wh, keys, done).checkpoint()  # the filters are looked up once, not once a kind
     parts = []
     for name, (table, column) in kinds().items():
         own = may.where(F.col("kind") == name).select("kind", F.col("key").alias("_k"), F.col("batch_id").alias("_b"))

@@ -23,17 +23,17 @@ def maintain(wh: Warehouse, batch_id: int) -> None:
     done = wh.done(before_batch=batch_id)
     dates = wh.read("date_dim", done=done).unionByName(wh.read_batch("date_dim", batch_id))
     dates = dates.where(F.col("date").isNotNull()).select("date_sk", "year", F.quarter("date").cast("int").alias("quarter"))
-    lines = wh.read_batch("sales_fact", batch_id).select("store_sk", "date_sk", "customer_sk", "total_price", "quantity")
-    per_customer = lines.join(dates, "date_sk").groupBy(*KEY, "customer_sk").agg(
-        F.sum("total_price").alias("revenue"), F.sum("quantity").cast("bigint").alias("quantity"), F.count(F.lit(1)).alias("n_lines")
-    )
+    lines = wh.read_batch("sales_fact", batch_id).select("store_sk", "date_sk", "customer_sk", "total_price", "quantity").join(dates, "date_sk")
+    seen = lines.select(*KEY, "customer_sk").distinct()
     # null keys are a store (a customer) like any other: eqNullSafe, as GROUP BY has it
     stored = wh.read("store_quarter_customers", done=done)
-    same = [per_customer[c].eqNullSafe(stored[c]) for c in KEY[:1]] + [per_customer[c] == stored[c] for c in [*KEY[1:], "customer_sk"]]
-    new = per_customer.join(stored, same, "left_anti").select(*KEY, "customer_sk")
+    same = [seen[c].eqNullSafe(stored[c]) for c in KEY[:1]] + [seen[c] == stored[c] for c in [*KEY[1:], "customer_sk"]]
+    new = seen.join(stored, same, "left_anti").select(*KEY, "customer_sk")
     wh.write("store_quarter_customers", new, batch_id)
     first = wh.read_batch("store_quarter_customers", batch_id).groupBy(*KEY).agg(F.count(F.lit(1)).alias("new_customers"))
-    sums = per_customer.groupBy(*KEY).agg(*[F.sum(c).alias(c) for c in ("revenue", "quantity", "n_lines")])
+    sums = lines.groupBy(*KEY).agg(  # of lines, not of customers: tasks add up a store's quarter before anything moves
+        F.sum("total_price").alias("revenue"), F.sum("quantity").cast("bigint").alias("quantity"), F.count(F.lit(1)).alias("n_lines")
+    )
     on = [sums["store_sk"].eqNullSafe(first["store_sk"]), sums["year"] == first["year"], sums["quarter"] == first["quarter"]]
     both = sums.join(first, on, "left").select(*[sums[c] for c in sums.columns], F.coalesce("new_customers", F.lit(0)).cast("bigint").alias("new_customers"))
     wh.write("store_quarter_sums", both, batch_id)
