@@ -287,3 +287,16 @@ def test_op4_decodes_every_sample(spark):
     got = QUERIES["op4_gumbel_topk"](spark, "/root/testdata/sf0.001").collect()
     assert {r.doc_id for r in got} == set(texts)
     assert all(r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest() and r.round_trip for r in got)
+
+
+def test_word_lattices_take_bounded_memory():
+    import random
+
+    letters = random.Random(5)
+    lat = lattice_sampling.Lattices(PIECES, BYTES, 400)
+    held = 0
+    for at in range(55):
+        words = ["".join(letters.choices("abcdehlorw", k=12)) for _ in range(4000)]
+        lattice_sampling.sample([" ".join(words)], [at], lat, 2)
+        held = max(held, sum(getattr(lat, c).nbytes for c in ("first", "count", "e_id", "e_next", "e_p", "e_cum")))
+    assert held < 50e6

@@ -47,8 +47,8 @@ SAMPLES = 2
 THETA = 1.0
 MARK = "▁"
 _OPEN = 16  # siblings drawn at a time; those further along a path wait together
-_EDGES = 3_000_000  # of the word lattices a worker keeps
-_WORDS_AT_ONCE = 60_000
+_EDGES = 1_000_000  # of the word lattices a worker keeps
+_WORDS_AT_ONCE = 10_000
 _UNIT = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
 _M = (1 << 64) - 1
 
@@ -116,7 +116,7 @@ class Lattices(dict):
     over the edges that there are.  No number of a word depends on the others.
     """
 
-    _CHARS = 60_000  # built at a time, or one word: some 1 KB each while it lasts
+    _CHARS = 10_000  # built at a time, or one word: some 1 KB each while it lasts
 
     def __init__(self, pieces: dict[str, tuple[int, float]], byte_ids: list[int], size: int, theta: float = THETA):
         super().__init__()
@@ -607,15 +607,15 @@ def encode(
         token, (pieces, byte_ids, size) = shared.value
         lat, texts_of = worker_state(("lattices", token, theta), lambda: (Lattices(pieces, byte_ids, size, theta), Texts(pieces, byte_ids, size)))
         for b in batches:
-            texts = b.column("_text").to_pylist()
+            sizes = pc.utf8_length(b.column("_text")).to_pylist()
             keys = b.column("_key").to_numpy().view(np.uint64).tolist()
             at = 0
-            while at < len(texts):
+            while at < len(sizes):
                 end, held = at, 0
-                while end < len(texts) and (end == at or held + len(texts[end]) // 6 <= _WORDS_AT_ONCE):
-                    held += len(texts[end]) // 6
+                while end < len(sizes) and (end == at or held + sizes[end] // 6 <= _WORDS_AT_ONCE):
+                    held += sizes[end] // 6
                     end += 1
-                found = sample(texts[at:end], keys[at:end], lat, samples)
+                found = sample(b.column("_text").slice(at, end - at).to_pylist(), keys[at:end], lat, samples)
                 rows: list[list] = [[] for _ in range(7)]
                 for i, paths in enumerate(found, at):
                     if not paths:
