@@ -319,3 +319,19 @@ def test_embedding_links_of_the_test_table(spark):
     got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(df).collect()}
     assert sum(want.values()) >= 2000  # 1000 links, each counted at both ends
     assert sum(got.values()) >= 0.95 * sum(want.values()) and all(got[i] <= want[i] for i in got)
+
+
+def test_texts_that_are_not_compared_are_not_moved(spark):
+    from pyspark.sql import functions as F
+
+    classes = spark.range(20_000).select((F.col("id") * 8_589_934_593).alias("cid"), F.lit("a line").alias("norm"))
+    for ids in (classes.filter("cid % 100 = 0").select("cid"), classes.limit(0).select("cid"), classes.select("cid")):
+        want = {r.cid for r in ids.collect()}
+        likely = line_dedup._likely(classes, ids)
+        assert likely.columns == classes.columns
+        got = [r.cid for r in likely.collect()]
+        assert want <= set(got) and len(got) == len(set(got)) and len(got) <= len(want) * 2
+    # in the join that follows, the rows are filtered before they are moved
+    plan = likely.join(ids, "cid")._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    depth = lambda word: next(i for i, l in enumerate(plan) if word in l)
+    assert depth("rightHint=(strategy=broadcast)") > depth("Join Inner")

@@ -35,6 +35,7 @@ SHINGLE = 5
 NUM, DEN = 4, 5  # the similarity 0.8 in whole numbers
 BITS = 18
 ROUNDS = 1
+_BITMAP, _BITMAPS = 1 << 15, 2048  # bits of a bitmap, and how many there are at most
 _SPACE, _WORD = r"[\x09-\x0D\x20]+", r"[^\x09-\x0D\x20]"
 
 
@@ -188,17 +189,34 @@ def _candidates(open_: DataFrame, index: DataFrame) -> DataFrame:
     return x.join(y, "token").filter((F.col("ay") < F.col("ax")) & _enough("nx", "px", "ny", "py") & shorter).select("x", "y").distinct()
 
 
+def _likely(classes: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``classes`` whose cid is among ``ids``, and few others.
+
+    Tests a bit of a hash of the cid, of eight bits an id in bitmaps of 4 KB
+    that are broadcast: 2048 of them at most, so that beyond 8 million ids more
+    other rows stay.
+    """
+    n = min(ids.count() * 8 // _BITMAP + 1, _BITMAPS)
+    place = F.pmod(F.xxhash64("cid"), F.lit(n * _BITMAP).cast("bigint")) + 1
+    bit, bucket = F.bitmap_bit_position(place), F.bitmap_bucket_number(place)
+    bits = ids.groupBy(bucket.alias("_bucket")).agg(F.bitmap_construct_agg(bit).alias("_bits"))
+    rows = classes.select("*", bit.cast("int").alias("_bit"), bucket.alias("_bucket")).join(F.broadcast(bits), "_bucket")
+    byte = F.conv(F.hex(F.expr("substring(_bits, shiftright(_bit, 3) + 1, 1)")), 16, 10).cast("int")
+    return rows.withColumn("_byte", byte).filter("shiftright(_byte, _bit & 7) & 1 = 1").select(*classes.columns)
+
+
 def _verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """cid of the later class of every pair whose whole sets are similar enough; deletes ``pairs``."""
-    ids = pairs.select(F.explode(F.array("x", "y")).alias("cid")).distinct()
-    texts = classes.join(ids, "cid", "left_semi")  # moved as text, which is smaller than its words
+    ids = staged(pairs.select(F.explode(F.array("x", "y")).alias("cid")).distinct(), "line-ids")
+    # moved as text, which is smaller than its words; a semi join would be made before the filter
+    texts = _likely(classes, ids).join(ids, "cid")
     sets = staged(texts.select("cid", "first", _hashed()).select("cid", "first", _shingles().alias("s")), "line-sets")
     both = pairs.join(sets.toDF("x", "fx", "sx"), "x").join(sets.toDF("y", "fy", "sy"), "y")
     common = F.size(F.array_intersect("sx", "sy"))
     same = common * (NUM + DEN) >= (F.size("sx") + F.size("sy")) * NUM
     later = both.filter(same & (F.col("fx") != F.col("fy"))).select(F.when(F.col("fx") > F.col("fy"), F.col("x")).otherwise(F.col("y")).alias("cid"))
     later = staged(later.distinct(), "line-later")
-    discard(pairs, sets)
+    discard(pairs, ids, sets)
     return later
 
 
