@@ -8,7 +8,7 @@ The micro-batch id is the warehouse ``batch_id``.  Structured Streaming
 replays an unfinished micro-batch with the same id and the same input after a
 restart, and a batch that is run again replaces what it wrote before, so a replay
 cannot duplicate rows.  Catalyst broadcasts a master that is under the broadcast
-threshold and uses a shuffle join otherwise.
+threshold and has at most ``keys.BROADCAST_ROWS`` rows, and uses a shuffle join otherwise.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillroll.etl import BatchResult, Maintain, batch_columns, counters, load_enriched
 from tillroll.operators import facts as X
+from tillroll.operators.keys import by_rows
 from tillroll.schemas import TRANSACTIONS
 from tillroll.sources.transactions import read_csv_files, stream_file_names, stream_transactions
 from tillroll.warehouse import Warehouse
@@ -86,7 +87,7 @@ def start_ingest(
     def sink(batch: DataFrame, batch_id: int) -> None:
         p, c = now(products), now(customers)
         rows = read(batch) if read is not None else batch
-        rows = X.enrich(rows, p, c) if late_join else rows
+        rows = X.enrich(rows, by_rows(p), by_rows(c)) if late_join else rows
         r = load_enriched(wh, rows, base + int(batch_id), p, c, dedup_keys, dedup_stored=True, maintain=maintain)
         results.append(r)
         if on_batch is not None:
@@ -94,7 +95,7 @@ def start_ingest(
 
     # Counted in the stream's own plan, for a StreamingQueryListener (streaming.progress);
     # what the sink selects does not prune that plan, so it is narrowed here
-    rows = stream if late_join else batch_columns(X.enrich(stream, products, customers)).observe(OBSERVED, *counters())
+    rows = stream if late_join else batch_columns(X.enrich(stream, by_rows(products), by_rows(customers))).observe(OBSERVED, *counters())
     writer = rows.writeStream.queryName(name).foreachBatch(sink).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
